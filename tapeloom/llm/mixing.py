@@ -28,7 +28,7 @@ WEIGHTS, SHARE, EPOCHS, SLOTS = (5.0, 2.0, 1.0), 1.5, 2, 4096
 def sizes(docs: DataFrame) -> DataFrame:
     """``(doc_id, source, size, place, slot)``; rows keep their number ``_n`` so that repeats stay apart."""
     place = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.coalesce(F.col("source"), F.lit("")))
-    out = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), place.alias("place"))
+    out = docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), place.alias("place"))
     out = out.withColumn("_n", F.monotonically_increasing_id())
     return stash(out.withColumn("slot", F.shiftright("place", 52) + SLOTS // 2), "mix-sizes")
 
@@ -90,4 +90,15 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     counts = taken.groupBy("_n").agg(F.count("*").alias("copies"))
     out = sized.join(goal.withColumnRenamed("source", "_g"), sized["source"].eqNullSafe(F.col("_g"))).join(counts, "_n", "left")
     copies = F.coalesce("copies", F.lit(0))
-    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), "source", "place")
+    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), "source", "place", "text_hash")
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with their columns."""
+    columns = docs.columns
+    copies = mix(docs, **how).groupBy("doc_id", "text_hash", "source").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0")
+    copies = stash(copies, "mix-taken").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_s"), "_copies", "_rows")
+    same = docs["doc_id"].eqNullSafe(copies["_id"]) & docs["source"].eqNullSafe(copies["_s"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == copies["_hash"])
+    found = docs.join(copies, same)
+    single = found.where("_rows = 1").unionByName(found.where("_rows > 1").dropDuplicates(["_id", "_hash", "_s"]))  # repeated rows share one count
+    return single.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*columns)

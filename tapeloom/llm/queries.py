@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality
+from . import bpe, jaccard, mixing, quality, repair, secrets, substring
 from .common import read
 
 
@@ -17,15 +18,32 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(substring.dedup(read(spark, sf_dir, "documents")))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(read(spark, sf_dir, "documents"))
     return out.select("doc_id", *quality.FEATURES, "base_failed", "kept")
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(repair.written(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "no", "start", F.length("candidate").alias("n_chars"), F.sha2("candidate", 256).alias("candidate_sha256"), "probability", "is_secret")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

@@ -44,7 +44,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text", most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text: str = "text", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes of text each, whole rows only."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
