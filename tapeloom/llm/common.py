@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of one Arrow batch. Texts can be very long, so batches are kept short.
-ARROW_ROWS = 2000
+#: Rows and bytes of one Arrow batch. Texts can be very long, so batches are kept short.
+ARROW_ROWS, ARROW_BYTES = 2000, "8m"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -43,9 +43,10 @@ def stash(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def short_batches(spark: SparkSession) -> None:
+def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Keep Arrow batches of whole texts small enough for a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -106,4 +107,4 @@ def components(edges: DataFrame, what: str) -> DataFrame:
     return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-__all__ = ["ARROW_ROWS", "WORD", "arrow_map", "components", "partitions", "read", "shared_folder", "shared_keys", "short_batches", "stash"]
+__all__ = ["WORD", "arrow_map", "components", "partitions", "read", "shared_folder", "shared_keys", "short_batches", "stash"]

@@ -253,7 +253,7 @@ def document(row: dict, k: int) -> np.ndarray:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` of every document in the files; ids as little-endian unsigned 32-bit integers."""
     shards = spark.read.parquet(path)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    short_batches(spark, 1)
     before = F.sum("n_ids").over(Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1))  # one row for each shard
     places = shards.select("part", "shard", "n_ids").select(F.col("part").alias("_p"), F.col("shard").alias("_s"), F.coalesce(before, F.lit(0)).alias("begin"))
     both = shards.join(places, (F.col("part") == F.col("_p")) & (F.col("shard") == F.col("_s"))).drop("_p", "_s")
