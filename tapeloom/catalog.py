@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import registry
-from .plans import q_bars  # noqa: F401  (registers its queries)
+from .plans import q_bars, q_merge  # noqa: F401  (they register their queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
