@@ -12,8 +12,10 @@ Documents with equal sets count as one row of the matrix (the smallest id
 stands for them), so copies are not multiplied. Only what connectivity needs is
 multiplied out: in a few rounds every block compares all its documents with one
 member of it; after that, just the pairs of a block whose documents are still
-in different components are left, and all of these are compared. No candidate
-is dropped or capped.
+in different components are left. Of these, the ones that the bounds on sizes
+and on differing n-grams allow are all compared; the bounds are part of the
+join's condition, so the others are never formed. No candidate is dropped or
+capped.
 
 Null texts, and texts without words, have an empty set and no links; so do rows
 without a doc_id. Rows that repeat a doc_id with the same text are one document
@@ -26,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
 from .common import arrow_map, components, shared_keys, short_batches, stash
 
-N, PERCENT, STAR_ROUNDS = 3, 90, 3
+N, PERCENT, STAR_ROUNDS, PARITIES = 3, 90, 3, 8
+_PARITY = [f"parity_{i}" for i in range(PARITIES)]
 
 
 def size_classes(most: int, percent: int) -> np.ndarray:
@@ -114,21 +117,42 @@ def _block_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _stored(docs: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, grams)``: sets as sorted 64-bit hashes."""
+    """``(doc_id, size, grams, parity_0 ...)``: sets as sorted 64-bit hashes, and the parities of the n-grams that fall to each bit."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in W.pieces(batch):
             g, first = sets(W.find(part.column("text"), lower=True), n)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([g[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], names=["doc_id", "grams"])
+            size = np.diff(first)
+            row = np.repeat(np.arange(len(size)), size)
+            bit = (W.mixed(g + np.uint64(0x1F83D9ABFB41BD6B)) % np.uint64(64 * PARITIES)).astype(np.int64)
+            odd = np.bincount(row * (64 * PARITIES) + bit, minlength=len(size) * 64 * PARITIES) & 1
+            parity = np.packbits(odd.astype(np.uint8)).view("<i8").reshape(len(size), PARITIES)
+            grams = pa.array([g[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size), grams, *map(pa.array, parity.T.copy())], names=["doc_id", "size", "grams", *_PARITY])
+
+    return arrow_map(docs, run, "doc_id long, size long, grams binary, " + ", ".join(f"{c} long" for c in _PARITY))
+
+
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Size-derived bounds of a pair: of the sizes themselves, and of how many n-grams the two must differ in at least.
+
+    N-grams outside the overlap show in the parities: a bit in which two sets
+    differ takes one such n-gram at least, so no linked pair is ruled out.
+    """
+    na, nb = F.col(f"{a}size"), F.col(f"{b}size")
+    differ = sum((F.bit_count(F.col(a + c).bitwiseXOR(F.col(b + c))) for c in _PARITY), F.lit(0))
+    return (F.least(na, nb) * 100 >= percent * F.greatest(na, nb)) & (differ * (100 + percent) <= (na + nb) * (100 - percent))
+
 
-    return arrow_map(docs, run, "doc_id long, grams binary")
+def _sided(stored: DataFrame, side: str, *columns: str) -> DataFrame:
+    """``stored`` with ``side`` before its columns' names, its id named ``side``."""
+    return stored.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("size", *_PARITY, *columns)))
 
 
 def _verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose overlap reaches the bound."""
-    sized = stored.withColumn("size", F.length("grams") / 8)
-    left, right = (sized.select(F.col("doc_id").alias(x), F.col("grams").alias(f"g{x}"), F.col("size").alias(f"s{x}")) for x in "ab")
-    both = pairs.join(left, "a").join(right, "b").where(F.least("sa", "sb") * 100 >= percent * F.greatest("sa", "sb")).select("a", "b", "ga", "gb")
+    both = pairs.join(_sided(stored, "a", "grams"), "a").join(_sided(stored, "b", "grams"), "b").where(_possible("a_", "b_", percent))
+    both = both.select("a", "b", F.col("a_grams").alias("ga"), F.col("b_grams").alias("gb"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ok = []
@@ -174,8 +198,9 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, star_rounds: int =
             hubs = stash(open_rows.groupBy("key").agg(hub.alias("hub"), F.min_by("comp", F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))).alias("hub_comp")), "jaccard-hubs")
             pairs = open_rows.join(hubs, "key").where("comp <> hub_comp").select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"))
         else:
-            right = open_rows.select("key", F.col("doc_id").alias("b"), F.col("comp").alias("comp_b"))
-            pairs = open_rows.join(right, "key").where("doc_id < b AND comp <> comp_b").select(F.col("doc_id").alias("a"), "b")
+            left = open_rows.select("key", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")).join(_sided(stored, "a"), "a")
+            right = open_rows.select("key", F.col("doc_id").alias("b"), F.col("comp").alias("comp_b")).join(_sided(stored, "b"), "b")
+            pairs = left.join(right, "key").where(F.expr("a < b AND comp_a <> comp_b") & _possible("a_", "b_", percent)).select("a", "b")
         pairs = pairs.where("a <> b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

@@ -162,7 +162,7 @@ def backfill_ranges(spark, sf_dir):
     return C.backfill_ranges(days.select("ticker").distinct(), C.gaps(days, hours, now_ms=_NOW), "2024-02-10")
 
 
-@query(with_(DAILY, COMPANIES, f"d AS (SELECT ticker, {_NOW} - sector_no::BIGINT * 5 * {DAY} AS last_updated FROM companies WHERE sector_no <> 3)") + f"SELECT u.ticker, CASE WHEN last_updated IS NULL THEN 'missing' ELSE 'stale' END AS state FROM (SELECT DISTINCT ticker FROM daily) u LEFT JOIN d ON u.ticker = d.ticker WHERE last_updated IS NULL OR last_updated < {_NOW} - 30 * {DAY}")
+@query(with_(DAILY, COMPANIES, f"d AS (SELECT ticker, {_NOW} - sector_no::BIGINT * 5 * {DAY} AS last_updated FROM companies WHERE sector_no <> 3)") + f"SELECT u.ticker, CASE WHEN last_updated IS NULL THEN 'missing' ELSE 'stale' END AS state FROM (SELECT DISTINCT ticker FROM daily) u LEFT JOIN d ON u.ticker = d.ticker WHERE last_updated IS NULL OR last_updated < {_NOW} - 30 * {DAY}::BIGINT")
 def reference_stale(spark, sf_dir):
     details = companies(spark, sf_dir).where("sector_no <> 3").select("ticker", (F.lit(_NOW) - F.col("sector_no") * 5 * F.lit(DAY).cast("long")).alias("last_updated"))
     return C.reference_stale(daily_bars(spark, sf_dir).select("ticker").distinct(), details, _NOW)

@@ -11,7 +11,7 @@ HOURLY = """hourly AS (SELECT event_type AS ticker, epoch_ms(ts) // 3600000 * 36
   arg_min(p, o) AS open, max(p) AS high, min(p) AS low, arg_max(p, o) AS close, count(*)::DOUBLE AS volume,
   sum(p) / count(*) AS vwap, count(*)::INTEGER AS transactions
   FROM (SELECT *, round(value * 100) AS p, row(ts, event_id) AS o FROM events) GROUP BY ALL)"""
-COMPANIES = """companies AS (SELECT s_suppkey::VARCHAR AS ticker, s_name AS name, s_acctbal * 1e8 AS market_cap, r_name AS exchange,
+COMPANIES = """companies AS (SELECT s_suppkey::VARCHAR AS ticker, s_suppkey AS no, s_name AS name, s_acctbal * 1e8 AS market_cap, r_name AS exchange,
   printf('%02d00', s_nationkey * 4) AS sic_code, n_name AS industry, (s_suppkey % 11)::INTEGER AS sector_no, (s_suppkey + 1) * 1e6 AS shares_outstanding
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
@@ -47,3 +47,26 @@ def recurrences(source: str, gate: int = 0) -> list[str]:
   CASE WHEN n.rn >= 26 THEN e12 - e26 END AS macd_line, CASE WHEN n.rn >= 34 THEN sig END AS macd_signal, CASE WHEN n.rn >= 34 THEN (e12 - e26) - sig END AS macd_histogram
   FROM n JOIN r ON n.ticker = r.ticker AND n.rn = r.rn)""",
     ]
+
+
+def listed(values: list, index: str) -> str:
+    """The element of a constant list at a zero-based index."""
+    return "[" + ", ".join("NULL" if v is None else f"'{v}'" for v in values) + f"][{index} % {len(values)} + 1]"
+
+
+def rich() -> list[str]:
+    """The relations up to ``rich``."""
+    from ..sources.tables import GRADES, SECTORS, THEMES
+    from .q_bars import VIEW_DAILY
+
+    return [
+        DAILY, COMPANIES, VIEW_DAILY, *recurrences("daily"),
+        f"""rich AS (SELECT c.ticker, DATE '2002-01-01' AS as_of_date, c.name AS company_name, CASE WHEN no % 23 = 5 THEN 'No Data' ELSE {listed(SECTORS, 'sector_no')} END AS raw_sector, industry, exchange,
+  market_cap, shares_outstanding / 1e6 AS holding_pct_value, v.timestamp, v.close, v.volume, avg_vol_20, sma_20, sma_50, sma_200, ema_20, rsi_14, atr_14, keltner_upper, keltner_lower,
+  v.close * v.volume AS dollar_volume, CASE WHEN no % 5 <> 4 THEN v.close * avg_vol_20 END AS dollar_volume_20d_polygon,
+  (v.close / sma_20 - 1.0) * 100.0 AS price_vs_sma20_pct, (v.close / sma_50 - 1.0) * 100.0 AS price_vs_sma50_pct, (v.close / sma_200 - 1.0) * 100.0 AS price_vs_sma200_pct, v.volume / avg_vol_20 AS volume_vs_20d,
+  CASE WHEN no % 7 <> 0 THEN (no % 60) / 100 END AS volatility_annual_polygon, (no % 15)::DOUBLE AS short_pct_float,
+  {listed(GRADES, 'no')} AS value_grade, {listed(GRADES, '(no + 2)')} AS growth_grade, {listed(GRADES, '(no * 3)')} AS momentum_grade,
+  {listed(THEMES, 'no')} AS keyword_factor_baskets, (no % 11)::DOUBLE AS primary_keyword_factor_score
+  FROM companies c JOIN view_daily v ON c.ticker = v.ticker JOIN rec r ON r.ticker = v.ticker AND r.timestamp = v.timestamp WHERE r.rn = r.bars)""",
+    ]

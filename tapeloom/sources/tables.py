@@ -53,8 +53,36 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, n, r = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
     joined = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").join(r, n["n_regionkey"] == r["r_regionkey"], "left")
     return joined.select(
-        F.col("s_suppkey").cast("string").alias("ticker"), F.col("s_name").alias("name"), (F.col("s_acctbal") * 1e8).alias("market_cap"),
+        F.col("s_suppkey").cast("string").alias("ticker"), F.col("s_suppkey").alias("no"), F.col("s_name").alias("name"), (F.col("s_acctbal") * 1e8).alias("market_cap"),
         F.col("r_name").alias("exchange"), F.format_string("%02d00", (F.col("s_nationkey") * 4).cast("int")).alias("sic_code"),
         F.col("n_name").alias("industry"), (F.col("s_suppkey") % 11).cast("int").alias("sector_no"),
         ((F.col("s_suppkey") + 1) * 1e6).alias("shares_outstanding"),
     )
+
+
+SECTORS = ["Technology", "Healthcare", "Financial Services", "Consumer Cyclical", "Consumer Defensive", "Basic Materials", "Communication Services", "Industrials", "Energy", "Utilities", None]
+GRADES = ["A", "b", "C", "D", "F", "", "x"]
+THEMES = ["Semiconductors, Cloud Software", "AI Infrastructure", "Cybersecurity, Oil & Gas", None, "Macro Rates / Inflation", "Energy Transition"]
+
+
+def rich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest snapshot row of every ticker, as the factor views read it."""
+    from ..operators import indicators as I
+    from ..operators import views as V
+
+    bars = daily_bars(spark, sf_dir)
+    view = V.latest(V.daily(bars)).select("ticker", "timestamp", "close", "volume", "avg_vol_20", "sma_20", "sma_50", "sma_200")
+    rec = V.latest(I.with_recurrences(bars.select("ticker", "timestamp", "high", "low", "close"), ["ticker", "timestamp"])).select("ticker", "ema_20", "rsi_14", "atr_14", "keltner_upper", "keltner_lower")
+    no = F.col("no")
+    pick = lambda values, n: F.get(F.array(*map(F.lit, values)), (n % len(values)).cast("int"))
+    over = lambda k: (F.col("close") / F.col(f"sma_{k}") - 1.0) * 100.0
+    rows = companies(spark, sf_dir).join(view, "ticker").join(rec, "ticker")
+    return rows.select(
+        "ticker", F.lit("2002-01-01").cast("date").alias("as_of_date"), F.col("name").alias("company_name"), F.when(no % 23 == 5, "No Data").otherwise(pick(SECTORS, F.col("sector_no"))).alias("raw_sector"), "industry", "exchange",
+        "market_cap", (F.col("shares_outstanding") / 1e6).alias("holding_pct_value"), "timestamp", "close", "volume", "avg_vol_20", "sma_20", "sma_50", "sma_200", "ema_20", "rsi_14", "atr_14", "keltner_upper", "keltner_lower",
+        (F.col("close") * F.col("volume")).alias("dollar_volume"), F.when(no % 5 != 4, F.col("close") * F.col("avg_vol_20")).alias("dollar_volume_20d_polygon"),
+        over(20).alias("price_vs_sma20_pct"), over(50).alias("price_vs_sma50_pct"), over(200).alias("price_vs_sma200_pct"), (F.col("volume") / F.col("avg_vol_20")).alias("volume_vs_20d"),
+        F.when(no % 7 != 0, (no % 60) / 100).alias("volatility_annual_polygon"), (no % 15).cast("double").alias("short_pct_float"),
+        pick(GRADES, no).alias("value_grade"), pick(GRADES, no + 2).alias("growth_grade"), pick(GRADES, no * 3).alias("momentum_grade"),
+        pick(THEMES, no).alias("keyword_factor_baskets"), (no % 11).cast("double").alias("primary_keyword_factor_score"),
+    )
