@@ -8,6 +8,9 @@ branches of the plan agree, and ties always share a bucket.
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,17 +30,47 @@ def _bucketed(df: DataFrame, column: str, descending: bool, nulls_first: bool) -
     return rows, counts.select("_b", before.alias("_before"), total.alias("_total"))
 
 
-def cume_dist(df: DataFrame, column: str, name: str, descending: bool = False, nulls_first: bool = True) -> DataFrame:
-    """``name``: the share of rows up to and including the row's peers; all nulls are peers."""
-    rows, counts = _bucketed(df, column, descending, nulls_first)
-    upto = F.count("*").over(Window.partitionBy("_b").orderBy("_v").rangeBetween(Window.unboundedPreceding, 0))
-    out = rows.withColumn("_k", upto).join(F.broadcast(counts), "_b")
-    return out.withColumn(name, (F.col("_before") + F.col("_k")) / F.col("_total")).drop("_b", "_v", "_k", "_before", "_total")
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` from a checkpoint in the folder the cluster names, so that plans which read it several times stay small."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), f"tapeloom-{context.applicationId}"))
+    return df.checkpoint()
+
+
+def cume_dists(df: DataFrame, key: str, orders: dict[str, tuple[str, bool, bool]]) -> DataFrame:
+    """For each ``name: (column, descending, nulls_first)`` the share of rows up to and including the row's peers.
+
+    All nulls are peers. ``key`` tells the rows apart. All columns are ranked in
+    one pass over long rows, and equal values are counted before they are
+    ordered, so a value that many rows share costs one row.
+    """
+    df = cut(df)
+    each = []
+    for name, (column, descending, nulls_first) in orders.items():
+        value = F.col(column).cast("double")
+        each.append(F.struct(F.lit(name).alias("_m"), (-value if descending else value).alias("_v"), F.lit(-1 if nulls_first else BUCKETS).alias("_nb")))
+    rows = df.select(key, F.explode(F.array(*each)).alias("_e")).select(key, "_e.*")
+    values = rows.groupBy("_m", "_v", "_nb").agg(F.count("*").alias("_n"))
+    edge = values.groupBy("_m").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))  # one row per measure
+    values = values.join(F.broadcast(edge), "_m")
+    inside = F.least(F.lit(BUCKETS - 1), F.floor((F.col("_v") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * BUCKETS))
+    values = values.withColumn("_b", F.when(F.col("_v").isNull(), F.col("_nb")).otherwise(F.coalesce(inside, F.lit(0))).cast("int"))
+    w = Window.partitionBy("_m")
+    counts = values.groupBy("_m", "_b").agg(F.sum("_n").alias("_c"))  # at most BUCKETS + 1 rows per measure
+    counts = counts.select("_m", "_b", (F.sum("_c").over(w.orderBy("_b")) - F.col("_c")).alias("_before"), F.sum("_c").over(w).alias("_total"))
+    upto = F.sum("_n").over(Window.partitionBy("_m", "_b").orderBy("_v"))
+    values = values.withColumn("_k", upto).join(F.broadcast(counts), ["_m", "_b"])
+    values = values.select(F.col("_m").alias("_name"), F.col("_v").alias("_x"), ((F.col("_before") + F.col("_k")) / F.col("_total")).alias("_share"))
+    found = rows.join(values, (F.col("_m") == F.col("_name")) & F.col("_v").eqNullSafe(F.col("_x")))
+    found = found.groupBy(key).agg(*(F.max(F.when(F.col("_name") == name, F.col("_share"))).alias(name) for name in orders))
+    return df.join(found, key)
 
 
 def position(df: DataFrame, column: str, name: str, tie: str, descending: bool = False) -> DataFrame:
     """``name``: the row's number in the order of ``column``, nulls last, then ``tie``; ``_total`` rows are added too."""
-    rows, counts = _bucketed(df, column, descending, nulls_first=False)
+    rows, counts = _bucketed(cut(df), column, descending, nulls_first=False)
     inside = F.row_number().over(Window.partitionBy("_b").orderBy("_v", tie))
     out = rows.withColumn("_k", inside).join(F.broadcast(counts), "_b")
     return out.withColumn(name, (F.col("_before") + F.col("_k")).cast("int")).drop("_b", "_v", "_k", "_before")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import cume_dist, ntile
+from ..functions.ranking import cume_dists, ntile
 
 # Sector synonyms, grade points, themes, labels, thresholds and weights that the views are defined by.
 SECTOR_NAMES = {
@@ -155,10 +155,9 @@ def features(universe: DataFrame, bars: DataFrame) -> DataFrame:
     rows = universe.join(returns(bars), "ticker")
     rows = rows.withColumns({f"dolt_{g}_score": points[F.upper(F.nullif(f"{g}_grade", F.lit("")))] for g in ("value", "growth", "momentum")})
     rows = rows.withColumn("clean_keyword_theme", ladder([(f"keyword_factor_baskets LIKE '%{t}%'", t) for t in THEMES]))
-    for m in ("1m", "3m", "6m", "ytd"):
-        rows = cume_dist(rows, f"ret_{m}_pct", f"ret_{m}_pctile")
-    rows = cume_dist(rows, "volatility_annual_polygon", "low_vol_pctile", descending=True, nulls_first=False)
-    return cume_dist(rows, "dollar_volume_20d_polygon", "liquidity_pctile")
+    orders = {f"ret_{m}_pctile": (f"ret_{m}_pct", False, True) for m in ("1m", "3m", "6m", "ytd")}
+    orders |= {"low_vol_pctile": ("volatility_annual_polygon", True, False), "liquidity_pctile": ("dollar_volume_20d_polygon", False, True)}
+    return cume_dists(rows, "ticker", orders)
 
 
 def scores(featured: DataFrame) -> DataFrame:
