@@ -128,9 +128,10 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, sample: int = SAMPLE):
     some = stash(some.select("doc_id", "text", "lang", "_h").orderBy("_h", "doc_id").coalesce(1), "langid-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
+        table = pa.Table.from_batches(batches)
         langs = np.array(table.column("lang").to_pylist(), object)
         names = sorted(set(langs))
         w, t = fit(table.column("text").combine_chunks(), np.searchsorted(names, langs.astype(str)), len(names), idf)
