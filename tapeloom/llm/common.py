@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,6 +81,22 @@ def shared_keys(rows: DataFrame, key: str, owner: str, what: str) -> DataFrame:
     return rows.join(stash(keys, f"{what}-keys"), key)
 
 
+def least_hashes(rows: DataFrame, group: str, hashed: str, most: int, what: str, buckets: int = 4096) -> DataFrame:
+    """The rows of every ``group`` with about its ``most`` least values of ``hashed``: all up to a bucket's end.
+
+    Rows are first counted by range of the hash, a pre-summed table of
+    ``buckets`` rows a group at most, so a group with a third of all rows never
+    meets in one task; only the rows up to the range in which the ``most``-th
+    lies go on. Rows with a null group are left out. Spark broadcasts the one row
+    of each group if it is small enough.
+    """
+    width = F.shiftright(hashed, 64 - (buckets.bit_length() - 1)).cast("int").alias("_bucket")
+    counts = stash(rows.where(F.col(group).isNotNull()).groupBy(group, width).agg(F.count("*").alias("_n")), f"{what}-buckets")
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_bucket")) - F.col("_n")
+    last = counts.withColumn("_before", before).where(F.col("_before") < most).groupBy(group).agg(F.max("_bucket").alias("_last"))
+    return rows.withColumn("_bucket", width).join(stash(last, f"{what}-last"), group).where("_bucket <= _last").drop("_bucket", "_last")
+
+
 def components(edges: DataFrame, what: str) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(node, component)``, the smallest node naming each.
 
@@ -107,4 +123,4 @@ def components(edges: DataFrame, what: str) -> DataFrame:
     return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-__all__ = ["WORD", "arrow_map", "components", "partitions", "read", "shared_folder", "shared_keys", "short_batches", "stash"]
+__all__ = ["WORD", "arrow_map", "components", "least_hashes", "partitions", "read", "shared_folder", "shared_keys", "short_batches", "stash"]

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import least_hashes, stash
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 TRAIN, TREES, DEPTH, LEAST_PROBABILITY, MASK = 10_000, 40, 8, 0.5, "[SECRET]"
@@ -83,7 +83,9 @@ def train(labelled: DataFrame, most: int = TRAIN):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    order = Window.partitionBy("label").orderBy(F.xxhash64("candidate", "left"), "doc_id", "no")
+    labelled = labelled.select("candidate", "left", "doc_id", "no", *FEATURES, "label").withColumn("_h", F.xxhash64("candidate", "left", "doc_id", "no"))
+    labelled = least_hashes(labelled, "label", "_h", most, "secrets")
+    order = Window.partitionBy("label").orderBy("_h", "doc_id", "no")
     some = labelled.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= most).select(*FEATURES, "label", "_k")
     some = stash(some.orderBy("label", "_k").coalesce(1), "secrets-train")
     if some.select("label").distinct().count() < 2:
