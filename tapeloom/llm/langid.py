@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import short_batches, stash
+from .common import least_hashes, short_batches, stash
 
 BITS, ORDERS, PER_LANG, SAMPLE, EPOCHS, FOLDS = 15, (1, 2, 3), 2000, 8000, 2, 5
 ALPHA, BETA, L1, L2, SCALE = 0.5, 1.0, 1e-4, 1e-4, 20.0
@@ -122,7 +122,8 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, sample: int = SAMPLE):
     df, n = document_frequencies(known)
     idf = np.log((1 + n) / (1 + df)) + 1
     order = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")).withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_lang)
+    ids = least_hashes(known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")), "lang", "_h", per_lang, "langid")
+    ids = ids.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_lang)
     ids = ids.orderBy("_k", "lang", "doc_id").limit(sample).select("doc_id", "_k", "_h")
     some = known.join(F.broadcast(stash(ids, "langid-ids")), "doc_id")  # at most ``sample`` ids
     some = stash(some.select("doc_id", "text", "lang", "_h").orderBy("_h", "doc_id").coalesce(1), "langid-sample")
