@@ -75,12 +75,12 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _rows(column: pa.Array, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The sparse TF-IDF row of each text."""
+    """The sparse TF-IDF row of each text: six bytes a feature, as all rows of the sample are held at once."""
     orders, offsets = features(column)
     for a, b in zip(offsets[:-1], offsets[1:]):
         f = np.concatenate([x[a:b] for x in orders])
         k, n = np.unique(f[f < WIDTH], return_counts=True)
-        yield k, SCALE * idf[k] * n / max(1, n.sum())
+        yield k.astype(np.uint16), (SCALE * idf[k] * n / max(1, n.sum())).astype(np.float32)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -88,9 +88,8 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def fit(texts: pa.Array, y: np.ndarray, classes: int, idf: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Weights (WIDTH x classes) by FTRL-proximal, and the temperature that suits every tenth row best."""
-    rows = list(_rows(texts, idf))
+def fit(rows: list, y: np.ndarray, classes: int, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+    """Weights (WIDTH x classes) by FTRL-proximal, and the temperature that suits every tenth of the sparse ``rows`` best."""
     aside = np.arange(len(rows)) % 10 == 9
     z, n = np.zeros((WIDTH, classes)), np.zeros((WIDTH, classes))
 
@@ -129,13 +128,15 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, sample: int = SAMPLE):
     some = stash(some.select("doc_id", "text", "lang", "_h").orderBy("_h", "doc_id").coalesce(1), "langid-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
+        rows, langs = [], []
+        for batch in batches:
+            for part in W.pieces(batch):  # texts are let go once they are sparse rows
+                rows.extend(_rows(part.column("text"), idf))
+                langs.extend(part.column("lang").to_pylist())
+        if not rows:
             return
-        table = pa.Table.from_batches(batches)
-        langs = np.array(table.column("lang").to_pylist(), object)
         names = sorted(set(langs))
-        w, t = fit(table.column("text").combine_chunks(), np.searchsorted(names, langs.astype(str)), len(names), idf)
+        w, t = fit(rows, np.searchsorted(names, langs), len(names))
         k = np.flatnonzero(w.any(1))
         yield pa.RecordBatch.from_arrays([pa.array([names], pa.list_(pa.string())), pa.array([k.astype("<i4").tobytes()], pa.binary()), pa.array([w[k].astype("<f8").tobytes()], pa.binary()), pa.array([t])], names=["langs", "k", "w", "t"])
 
