@@ -53,6 +53,15 @@ def blocks(low: np.ndarray, percent: int) -> np.ndarray:
     return most * (100 - percent) // (100 + percent) + 1
 
 
+def spare(need: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """So many blocks that a set of ``low`` members or more fills ``need`` of them but for rare cases."""
+    many = need.astype(float)
+    for _ in range(6):
+        left = many * np.exp(-low / many)
+        many = need + left + 3 * np.sqrt(left)
+    return np.ceil(many - 1e-2).astype(np.int64)
+
+
 def sets(w: W.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-gram hashes, ascending within each row, and where each row's begin."""
     h = w.hashes()
@@ -87,7 +96,12 @@ def _sizes(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _block_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``(key, doc_id)``: one key for each column block of each of the two classes a set may be matched in."""
+    """``(key, doc_id)``: one key for each column block of each of the two classes a set may be matched in.
+
+    Two linked sets differ in fewer blocks than ``blocks`` says. If one of them
+    fills at least that many, they agree in a block that is not empty; empty
+    blocks thus have keys only for sets that fill fewer.
+    """
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in W.pieces(batch):
@@ -96,7 +110,8 @@ def _block_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
             if not len(g):
                 continue
             low = size_classes(int(size.max()), percent)
-            many = blocks(low, percent)
+            need = blocks(low, percent)
+            many = spare(need, low[:-2])
             own = np.searchsorted(low, size, side="right") - 1
             ids = part.column("doc_id").to_numpy()
             spread = W.mixed(g + np.uint64(0x632BE59BD9B4E019))
@@ -111,7 +126,10 @@ def _block_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 sums = [np.bincount(where, (v >> np.uint64(s) & np.uint64(0xFFFFFFFF)).astype(np.float64), total).astype(np.uint64) for s in (0, 32)]
                 place = W.flat_ranges(np.zeros(len(m), np.int64), m).astype(np.uint64)
                 key = W.mixed(W.mixed(sums[0] + sums[1] * np.uint64(0x9E3779B97F4A7C15)) + place * W._PLACE[1] + np.repeat(level, m).astype(np.uint64) * W._PLACE[2])
-                yield pa.RecordBatch.from_arrays([pa.array(W.signed(key)), pa.array(np.repeat(ids, m))], names=["key", "doc_id"])
+                asks = np.bincount(where, minlength=total) > 0
+                filled = np.concatenate(([0], np.cumsum(asks)))
+                asks |= np.repeat(filled[at + m] - filled[at] < need[np.maximum(level, 0)], m)
+                yield pa.RecordBatch.from_arrays([pa.array(W.signed(key[asks])), pa.array(np.repeat(ids, m)[asks])], names=["key", "doc_id"])
 
     return arrow_map(docs, run, "key long, doc_id long")
 
@@ -149,6 +167,11 @@ def _sided(stored: DataFrame, side: str, *columns: str) -> DataFrame:
     return stored.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("size", *_PARITY, *columns)))
 
 
+def _likely(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that the bounds allow, told without their n-grams."""
+    return pairs.join(_sided(stored, "a"), "a").join(_sided(stored, "b"), "b").where(_possible("a_", "b_", percent)).select("a", "b")
+
+
 def _verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose overlap reaches the bound."""
     both = pairs.join(_sided(stored, "a", "grams"), "a").join(_sided(stored, "b", "grams"), "b").where(_possible("a_", "b_", percent))
@@ -202,6 +225,8 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, star_rounds: int =
             right = open_rows.select("key", F.col("doc_id").alias("b"), F.col("comp").alias("comp_b")).join(_sided(stored, "b"), "b")
             pairs = left.join(right, "key").where(F.expr("a < b AND comp_a <> comp_b") & _possible("a_", "b_", percent)).select("a", "b")
         pairs = pairs.where("a <> b").distinct()
+        if turn < star_rounds:
+            pairs = _likely(pairs, stored, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stash(pairs, "jaccard-pairs")
