@@ -10,8 +10,9 @@ and digests after a word such as ``commit`` are not, the rest stays unlabelled.
 
 The forest sees at most ``TRAIN`` labelled findings of each class, those with
 the least hashes; every finding is scored. Null and empty texts have no
-candidates. A null doc_id and repeated rows are scanned like others. Without
-labelled findings of both classes nothing is reported as a secret.
+candidates. A null doc_id and repeated rows are scanned like others. Where the
+labelled findings lack a class, no forest can be fitted and the rules decide:
+sure secrets are reported, and so are unquoted assignments of a long random run.
 """
 
 from __future__ import annotations
@@ -71,9 +72,14 @@ def findings(docs: DataFrame, dictionary: tuple[str, ...] = DICTIONARY) -> DataF
     return rows.withColumns(_measured(F.col("candidate"), F.col("left"), F.col("right"), F.col("source"), dictionary))
 
 
+def _random_assigned() -> Column:
+    """Whether a finding is a random string assigned to a credential's name."""
+    return (F.col("f_credential") == 1) & (F.col("f_assigned") == 1) & (F.col("f_digit") > 0.1) & (F.col("f_entropy") > 3)
+
+
 def weak_labels(found: DataFrame) -> DataFrame:
     """Findings with a sure label: 1.0 for secrets, 0.0 for others."""
-    sure = (F.col("f_credential") == 1) & (F.col("f_assigned") == 1) & (F.col("f_quoted") == 1) & (F.col("f_digit") > 0.1) & (F.col("f_entropy") > 3)
+    sure = _random_assigned() & (F.col("f_quoted") == 1)
     not_one = (F.col("f_digit") == 0) & (F.col("f_credential") == 0) | (F.col("f_digest") == 1) & (F.col("f_credential") == 0)
     return found.withColumn("label", F.when(sure, 1.0).when(not_one, 0.0)).where("label IS NOT NULL")
 
@@ -95,12 +101,14 @@ def train(labelled: DataFrame, most: int = TRAIN):
 
 
 def score(found: DataFrame, model) -> DataFrame:
-    """Findings with ``probability`` and ``is_secret``."""
+    """Findings with ``probability`` and ``is_secret``; by the rules of ``weak_labels`` where there is no model."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
     if model is None:
-        return found.withColumn("probability", F.lit(0.0)).withColumn("is_secret", F.lit(False))
+        by_rule = F.when(F.col("f_quoted") == 1, 1.0).when(F.col("candidate").rlike(r"^[A-Za-z0-9+/_=-]{20,}$"), LEAST_PROBABILITY)
+        out = found.withColumn("probability", F.when(_random_assigned(), by_rule).otherwise(0.0)).fillna(0.0, ["probability"])
+        return out.withColumn("is_secret", F.col("probability") >= LEAST_PROBABILITY)
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
     out = model.transform(rows).withColumn("probability", vector_to_array("probability")[1])
     return out.withColumn("is_secret", F.col("probability") >= LEAST_PROBABILITY).drop("features", "rawPrediction", "prediction")
