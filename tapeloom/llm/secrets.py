@@ -1,12 +1,14 @@
 """Secret scan whose false positives a random forest removes; DataFrame functions and Spark ML only.
 
-A candidate is a run of at least 20 token characters. Its features are its
-length, its shares of character classes and the transitions between them, its
+A candidate is a run of at least 20 token characters, or any value of at least
+8 characters that is assigned to a credential's name (``password = "..."``); a
+quoted value may hold spaces. Its features are its length, its shares of character classes and the transitions between them, its
 entropy, how much of it a dictionary of word parts covers, path-like
 surroundings, and the words beside it. The forest is trained on labelled
 findings; ``weak_labels`` gives those where none are at hand: assignments of a
-quoted random string to a credential's name are secrets, runs of letters alone
-and digests after a word such as ``commit`` are not, the rest stays unlabelled.
+quoted random string to a credential's name are secrets; runs of letters alone,
+unquoted single words and digests after a word such as ``commit`` are not, the
+rest stays unlabelled.
 
 The forest sees at most ``TRAIN`` labelled findings of each class, those with
 the least hashes; every finding is scored. Null and empty texts have no
@@ -22,11 +24,17 @@ from pyspark.sql import functions as F
 
 from .common import least_hashes, stash
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_=-]{20,}"
+_NAMES = r"token|secret|passw|pwd|api.?key|auth|bearer|credential|private|access"
+#: A name with a credential's in it, = or : and a quote, up to where the value begins. The name may begin inside a run, which then ends before the value.
+ASSIGNMENT = rf"(?<![\w.+/=-])(?:[\w.-]{{0,64}}?|[A-Za-z0-9+/_.=-]{{0,19}}?)(?i:{_NAMES})[\w.-]{{0,24}}[\"'`\])]{{0,2}}[ \t]{{0,8}}[=:]{{1,2}}>?\s{{0,8}}(?i:(?:bearer|basic)[ \t]+)?[\"'`]?"
+#: All up to the closing quote, or all up to white space, a quote or the next parameter of an address, without the punctuation that follows.
+VALUE = r"(?:(?<=\")[^\"\r\n]{8,200}(?=\")|(?<=')[^'\r\n]{8,200}(?=')|(?<=`)[^`\r\n]{8,200}(?=`)|[^\s\"'`]{8,}?(?=[.,;:)\]}>]*(?:&[\w.-]+=|[\s\"'`]|\z)))"
+CANDIDATE = f"({ASSIGNMENT})({VALUE})|({RUN})"
 TRAIN, TREES, DEPTH, LEAST_PROBABILITY, MASK = 10_000, 40, 8, 0.5, "[SECRET]"
 #: Frequent parts of words; a parameter of ``findings``.
 DICTIONARY = ("tion", "ing", "the", "and", "ent", "ion", "ver", "ich", "sch", "ung", "heit", "keit", "lich", "eau", "elle", "ment", "aux", "que", "ción", "ado", "mente", "est", "er", "en", "on", "an", "re", "in", "es", "or", "st", "ou", "de", "le", "la")
-CREDENTIAL = r"(?i)(token|secret|passw|pwd|api.?key|auth|bearer|credential|private|access)"
+CREDENTIAL = rf"(?i)({_NAMES})"
 DIGEST = r"(?i)(commit|revision|sha\d*|md5|checksum|digest|etag|hash)\W*$"
 FEATURES = ("f_length", "f_digit", "f_upper", "f_lower", "f_symbol", "f_turns", "f_distinct", "f_entropy", "f_vowel", "f_words", "f_slashes", "f_path", "f_example", "f_credential", "f_digest", "f_assigned", "f_quoted", "f_alone")
 
@@ -51,7 +59,7 @@ def _measured(c: Column, left: Column, right: Column, source: Column, dictionary
         "f_example": as_double(F.coalesce(source, F.lit("")).rlike("(?i)(test|example|sample|fixture|mock)")),
         "f_credential": as_double(left.rlike(CREDENTIAL)),
         "f_digest": as_double(left.rlike(DIGEST)),
-        "f_assigned": as_double(left.rlike(r"[=:]\s*[\"'`]?$")),
+        "f_assigned": as_double(left.rlike(r"(?i)[=:]>?\s*((bearer|basic)\s+)?[\"'`]?$")),
         "f_quoted": as_double(left.rlike(r"[\"'`]$") & right.rlike(r"^[\"'`]")),
         "f_alone": as_double((F.length(left) == 0) | left.rlike(r"\s$")),
     }
@@ -61,10 +69,13 @@ def findings(docs: DataFrame, dictionary: tuple[str, ...] = DICTIONARY) -> DataF
     """Every candidate: doc_id, source, number in its text, start (characters), the candidate, its sides and features."""
     text = F.coalesce("text", F.lit(""))
     cut = docs.select("doc_id", "source", F.xxhash64(text).alias("text_hash"), text.alias("_t")).where(F.col("_t").rlike(CANDIDATE))
-    cut = cut.select("doc_id", "source", "text_hash", F.regexp_extract_all("_t", F.lit(CANDIDATE), F.lit(0)).alias("_c"), F.split("_t", CANDIDATE, -1).alias("_g"))
+    all_of = lambda k: F.regexp_extract_all("_t", F.lit(CANDIDATE), F.lit(k))
+    cut = cut.select("doc_id", "source", "text_hash", all_of(1).alias("_p"), all_of(2).alias("_v"), all_of(3).alias("_c"), F.split("_t", CANDIDATE, -1).alias("_g"))
     cut = cut.withColumn("_row", F.monotonically_increasing_id())
+    # an assignment's name belongs to the text before its value
+    before = lambda i: F.concat(F.get("_g", i), F.coalesce(F.get("_p", i), F.lit("")))
     # sides only, so that exploding does not multiply whole texts
-    each = F.transform("_c", lambda c, i: F.struct(c.alias("candidate"), F.right(F.get("_g", i), F.lit(64)).alias("left"), F.left(F.get("_g", i + 1), F.lit(32)).alias("right"), F.length(F.get("_g", i)).alias("gap")))
+    each = F.transform("_c", lambda c, i: F.struct(F.concat(F.get("_v", i), c).alias("candidate"), F.right(before(i), F.lit(64)).alias("left"), F.left(before(i + 1), F.lit(32)).alias("right"), F.length(before(i)).alias("gap")))
     rows = cut.select("doc_id", "source", "text_hash", "_row", F.posexplode(each).alias("no", "x")).select("doc_id", "source", "text_hash", "_row", "no", "x.*")
     w = Window.partitionBy("_row").orderBy("no")
     start = F.sum(F.col("gap") + F.length("candidate")).over(w) - F.length("candidate")
@@ -73,14 +84,15 @@ def findings(docs: DataFrame, dictionary: tuple[str, ...] = DICTIONARY) -> DataF
 
 
 def _random_assigned() -> Column:
-    """Whether a finding is a random string assigned to a credential's name."""
-    return (F.col("f_credential") == 1) & (F.col("f_assigned") == 1) & (F.col("f_digit") > 0.1) & (F.col("f_entropy") > 3)
+    """Whether a finding is a random string assigned to a credential's name; less entropy is asked of a short one, which cannot reach it."""
+    return (F.col("f_credential") == 1) & (F.col("f_assigned") == 1) & (F.col("f_digit") > 0.1) & (F.col("f_entropy") > F.least(F.lit(3.0), 0.8 * F.col("f_length"))) & ~F.col("candidate").rlike(r"\s")
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
     """Findings with a sure label: 1.0 for secrets, 0.0 for others."""
     sure = _random_assigned() & (F.col("f_quoted") == 1)
     not_one = (F.col("f_digit") == 0) & (F.col("f_credential") == 0) | (F.col("f_digest") == 1) & (F.col("f_credential") == 0)
+    not_one |= (F.col("f_quoted") == 0) & F.col("candidate").rlike("^[A-Za-z]?[a-z]+$")
     return found.withColumn("label", F.when(sure, 1.0).when(not_one, 0.0)).where("label IS NOT NULL")
 
 

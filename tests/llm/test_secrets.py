@@ -30,3 +30,45 @@ def test_keys_are_found_where_no_finding_is_surely_harmless(spark, tmp_path):
     for i, text in enumerate(texts):
         want = text and text.replace(key(i), secrets.MASK)
         assert (clean[i]["text"], clean[i]["n_chars"]) == (want, None if want is None else len(want))
+
+
+def test_short_and_unusual_values_of_credentials_are_found(spark, tmp_path):
+    planted = {
+        'password = "tr0ub4dor3xyz"': "tr0ub4dor3xyz",
+        "api_key='" + key(1, 16) + "'": key(1, 16),
+        'db.password: "p@ss.w0rd!9x"': "p@ss.w0rd!9x",
+        '{"passwd": "Zx9!kQ2m", "a": 1}': "Zx9!kQ2m",
+        'MY_VERY_LONG_APPLICATION_SECRET_NAME="q7Hd82kLw0"': "q7Hd82kLw0",
+        f'token = "{key(2)}"': key(2),
+    }
+    harmless = ["The password: required for all", "access: unlimited, says the author: Johannes", "commit " + key(3), "Donaudampfschifffahrtsgesellschaft"]
+    texts = [f"Some words. {line} and more" for line in [*planted, *harmless] for _ in range(4)]
+    table(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = Q.op9_secret_scan(spark, str(tmp_path)).toPandas()
+    hits = found[found.is_secret]
+    assert sorted(hits.doc_id) == list(range(4 * len(planted)))
+    for r in hits.to_dict("records"):
+        value = list(planted.values())[r["doc_id"] // 4]
+        assert texts[r["doc_id"]][r["start"] : r["start"] + r["n_chars"]] == value
+        assert r["candidate_sha256"] == hashlib.sha256(value.encode()).hexdigest()
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(table(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        assert clean[i] == (text.replace(list(planted.values())[i // 4], secrets.MASK) if i < 4 * len(planted) else text)
+
+
+def test_candidates_and_their_places(spark):
+    cases = {
+        "token=abcdefgh12345678XYZ9 end": ["abcdefgh12345678XYZ9"],
+        f"https://a.example/x?token={key(1)}&next=page": [key(1)],
+        "Authorization: Bearer abc123def456.": ["abc123def456"],
+        'secret: "two words 12" and pwd => \'short\'': ["two words 12"],
+        f"see {key(2)}, then (password: s3cr3t;value).": [key(2), "s3cr3t;value"],
+        'password = "' + "x1" * 300 + '"': ["x1" * 300],
+        "no credential = somevalue1 but name = other": ["somevalue1"],
+        "name = somevalue1": [],
+    }
+    rows = secrets.findings(table(spark, list(cases))).orderBy("doc_id", "no").collect()
+    for i, (text, want) in enumerate(cases.items()):
+        got = [r for r in rows if r["doc_id"] == i]
+        assert [r["candidate"] for r in got] == want, text
+        assert all(text[r["start"] : r["start"] + len(r["candidate"])] == r["candidate"] for r in got)
