@@ -48,11 +48,13 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         spec = json.loads(self.tokenizer.to_str())
         split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         pattern = (split.get("pattern") or {}).get("Regex", "")
         self.by_word = split.get("type") == "Split" and split.get("invert") and r"[^\s" in pattern and " ?" not in pattern
+        # words that hold one are left to the library, whatever their case: a normalized token is found in the lowered text
+        self.added = [x["content"].lower() for x in spec.get("added_tokens") or [] if x["content"]]
+        self.by_word = self.by_word and not any(re.search(r"\s", x) for x in self.added)
         lowers = any(x.get("type") == "Lowercase" for x in (spec.get("normalizer") or {}).get("normalizers", []))
         plain = pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
         self.ascii_pieces = re.compile(plain, re.ASCII) if self.by_word and lowers and r"\p" not in plain else None
@@ -65,7 +67,7 @@ class WordIds:
         rest = []
         tokenize = self.tokenizer.model.tokenize
         for i, word in enumerate(words):
-            if self.ascii_pieces and _ASCII.fullmatch(word):
+            if self.ascii_pieces and _ASCII.fullmatch(word) and not any(x in word.lower() for x in self.added):
                 out[i] = [t.id for piece in self.ascii_pieces.findall(word.lower()) for t in tokenize(piece)]
             else:
                 rest.append(i)
