@@ -48,8 +48,10 @@ def four_hours(hourly: DataFrame) -> DataFrame:
     return out.withColumnRenamed("_bucket", "timestamp").select("ticker", "timestamp", "open", "high", "low", "close", "volume")
 
 
-def gap_report(source: DataFrame, derived: DataFrame, as_of_ms: int, days: int = 30) -> DataFrame:
-    """Tickers with source bars in the last ``days`` but without derived bars there."""
-    recent = F.col("timestamp") >= as_of_ms - days * DAY
-    have = derived.where(recent).select("ticker").distinct()
-    return source.where(recent).groupBy("ticker").agg(F.count("*").alias("bars"), F.max("timestamp").alias("last_ts")).join(have, "ticker", "left_anti")
+def gap_report(source: DataFrame, derived: DataFrame, days: int | None = 30) -> DataFrame:
+    """Tickers of ``source``, however old their bars, without a derived bar in the last ``days`` before the newest derived one (None: without any)."""
+    if days is not None:
+        newest = derived.agg(F.max("timestamp").alias("_newest"))
+        derived = derived.crossJoin(F.broadcast(newest)).where(F.col("timestamp") > F.col("_newest") - days * DAY)
+    have = derived.select("ticker").distinct()
+    return source.groupBy("ticker").agg(F.count("*").alias("bars"), F.max("timestamp").alias("last_ts")).join(have, "ticker", "left_anti")

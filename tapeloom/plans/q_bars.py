@@ -8,7 +8,7 @@ from ..operators import bars as B
 from ..operators import indicators as I
 from ..operators import views as V
 from ..registry import query
-from ..sources.tables import daily_bars, hourly_bars
+from ..sources.tables import DAY, daily_bars, hourly_bars
 from .sql import DAILY, FOUR_HOURS, HOURLY, recurrences, with_
 
 _ROLLUP = """arg_min(open, timestamp) AS open, max(high) AS high, min(low) AS low, arg_max(close, timestamp) AS close, sum(volume) AS volume,
@@ -219,4 +219,24 @@ def indicators_snapshot(spark, sf_dir):
 def gap_report(spark, sf_dir):
     hourly = hourly_bars(spark, sf_dir)
     as_of = hourly.agg(F.max("timestamp")).first()[0]
-    return B.gap_report(hourly, B.daily_from_hourly(hourly, 23), as_of, days=2)
+    recent = F.col("timestamp") >= as_of - 2 * DAY
+    return B.gap_report(hourly.where(recent), B.daily_from_hourly(hourly, 23).where(recent), days=None)
+
+
+@query(
+    with_(
+        HOURLY, DAILY,
+        "days AS (SELECT ticker, timestamp // 86400000 * 86400000 AS timestamp FROM hourly GROUP BY ALL HAVING count(*) >= 6)",
+        "w AS (SELECT ticker, timestamp - (extract(dow FROM make_timestamp(timestamp * 1000)) - 1) * 86400000 + 6 * 86400000 AS week FROM daily WHERE extract(dow FROM make_timestamp(timestamp * 1000)) BETWEEN 1 AND 5)",
+        "weeks AS (SELECT ticker FROM w GROUP BY ticker, week HAVING count(*) >= 3)",
+    )
+    + """SELECT 'daily' AS grain, ticker, count(*) AS bars, max(timestamp) AS last_ts FROM hourly
+ WHERE ticker NOT IN (SELECT ticker FROM days WHERE timestamp > (SELECT max(timestamp) FROM days) - 30::BIGINT * 86400000) GROUP BY ticker
+ UNION ALL SELECT 'weekly', ticker, count(*), max(timestamp) FROM daily WHERE ticker NOT IN (SELECT ticker FROM weeks) GROUP BY ticker"""
+)
+def gap_report_grains(spark, sf_dir):
+    """Both halves of the gap report; bars of the finer grain stand for the source's, which the given tables lack."""
+    hourly, daily = hourly_bars(spark, sf_dir), daily_bars(spark, sf_dir)
+    of_days = B.gap_report(hourly, B.daily_from_hourly(hourly)).select(F.lit("daily").alias("grain"), "ticker", "bars", "last_ts")
+    of_weeks = B.gap_report(daily, B.weekly_from_daily(daily), days=None).select(F.lit("weekly").alias("grain"), "ticker", "bars", "last_ts")
+    return of_days.unionByName(of_weeks)
