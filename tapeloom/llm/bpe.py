@@ -25,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, short_batches, stash
+from .common import arrow_map, stash
 
-CHUNK, OVERLAP = 1 << 16, 1 << 10
+CHUNK, OVERLAP = 1 << 14, 1 << 10
 #: Characters on which regular-expression engines disagree whether they are white space.
 UNSURE = frozenset("\x1c\x1d\x1e\x1f\x85᠎​﻿")
 
@@ -66,7 +66,6 @@ def encode(docs: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK, overla
     the bytes that they decode to. ``ranks`` is the path of a vocabulary file on
     every executor, ``pattern`` its pre-token expression.
     """
-    short_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     out = "doc_id long, n_tokens long, ids binary, decoded binary"
 

@@ -18,24 +18,27 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows and bytes of one Arrow batch. Texts can be very long, so batches are kept short.
-ARROW_ROWS, ARROW_BYTES = 2000, "8m"
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one is made only where none is configured."""
+    """The folder all executors share. Without one a local master gets a temporary folder; a cluster must name it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = os.path.join(tempfile.gettempdir(), f"tapeloom-{spark.sparkContext.applicationId}")
     return folder.rstrip("/")
 
 
 def stash(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return it reread: cuts lineage and frees its shuffle files."""
+    """Write ``df`` to the shared folder and return it reread: cuts lineage and frees its shuffle files.
+
+    The files stay, as frames that are not yet evaluated read them; like
+    checkpoints, they are cleared with the folder.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
@@ -43,18 +46,16 @@ def stash(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Keep Arrow batches of whole texts small enough for a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function of one record batch that yields record batches."""
+    """``mapInArrow`` for a function of one record batch that yields record batches.
+
+    Spark bounds a batch by bytes as well as rows; functions cut it further
+    where they need to, and no setting of the session is touched.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,4 +124,4 @@ def components(edges: DataFrame, what: str) -> DataFrame:
     return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-__all__ = ["WORD", "arrow_map", "components", "least_hashes", "partitions", "read", "shared_folder", "shared_keys", "short_batches", "stash"]
+__all__ = ["WORD", "arrow_map", "components", "least_hashes", "partitions", "read", "shared_folder", "shared_keys", "stash"]

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import arrow_map, components, shared_keys, short_batches, stash
+from .common import arrow_map, components, shared_keys, stash
 
 N, PERCENT, STAR_ROUNDS, PARITIES = 3, 90, 3, 8
 _PARITY = [f"parity_{i}" for i in range(PARITIES)]
@@ -193,7 +193,6 @@ def _verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
 
 def join(docs: DataFrame, n: int = N, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs(doc_id, text)``."""
-    short_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     known = docs.where("doc_id IS NOT NULL")
     sized = stash(_sizes(docs, n), "jaccard-sizes")

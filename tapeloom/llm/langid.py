@@ -11,7 +11,8 @@ a bounded sample: at most ``PER_LANG`` documents of each language and ``SAMPLE``
 in all, those with the least hashes. Every text is predicted whole.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text
-if nothing could be learned. Rows without lang or doc_id are not learned from.
+if nothing could be learned. Rows without lang or doc_id are not learned from;
+rows that repeat all three are learned from once and predicted each.
 Ties between languages go to the one first by code point.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import least_hashes, short_batches, stash
+from .common import least_hashes, stash
 
 BITS, ORDERS, PER_LANG, SAMPLE, EPOCHS, FOLDS = 15, (1, 2, 3), 2000, 8000, 2, 5
 ALPHA, BETA, L1, L2, SCALE = 0.5, 1.0, 1e-4, 1e-4, 20.0
@@ -121,11 +122,13 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, sample: int = SAMPLE):
     df, n = document_frequencies(known)
     idf = np.log((1 + n) / (1 + df)) + 1
     order = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    ids = least_hashes(known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")), "lang", "_h", per_lang, "langid")
+    known = known.withColumn("_h", F.xxhash64("doc_id", "text"))
+    ids = least_hashes(known.select("doc_id", "lang", "_h"), "lang", "_h", per_lang, "langid").distinct()  # repeated rows count once
     ids = ids.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_lang)
-    ids = ids.orderBy("_k", "lang", "doc_id").limit(sample).select("doc_id", "_k", "_h")
-    some = known.join(F.broadcast(stash(ids, "langid-ids")), "doc_id")  # at most ``sample`` ids
-    some = stash(some.select("doc_id", "text", "lang", "_h").orderBy("_h", "doc_id").coalesce(1), "langid-sample")
+    ids = ids.orderBy("_k", "lang", "doc_id").limit(sample).select("doc_id", "lang", "_h")
+    some = known.join(F.broadcast(stash(ids, "langid-ids")), ["doc_id", "lang", "_h"])  # at most ``sample`` rows
+    some = some.select("doc_id", "text", "lang", "_h").dropDuplicates(["doc_id", "lang", "_h"])
+    some = stash(some.orderBy("_h", "doc_id").coalesce(1), "langid-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, langs = [], []
@@ -184,7 +187,6 @@ def predict(docs: DataFrame, model) -> DataFrame:
 
 def identify(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``: learned from documents not held out, predicted for all."""
-    short_batches(docs.sparkSession)
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
     docs = docs.select("doc_id", "text", "lang", F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
     learned = docs.where("NOT held_out AND doc_id IS NOT NULL").select("doc_id", F.lower("text").alias("text"), "lang")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import partitions, short_batches, stash
+from .common import partitions, stash
 from .eftrie import CONTEXT_BITS, Trie
 
 HOT, STRENGTHS, PACK, FOLDS, FOLD = 2000, (1e1, 1e2, 1e3, 1e4, 1e5, 1e6, 1e7), 1_500_000, 7, 2
@@ -279,7 +279,6 @@ def _answer(hot: np.ndarray, hot_counts: np.ndarray, z: float):
 def score(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row of ``docs(doc_id, text)``."""
     spark = docs.sparkSession
-    short_batches(spark, 64)  # packs are large rows
     shards = max(4, partitions(spark) // 2)
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)).cast("int").alias("fold"))
     vocab = vocabulary(docs, shards)

@@ -79,12 +79,16 @@ b AS (SELECT d.doc_id, d.source, len(w)::BIGINT AS n_words, coalesce(list_sum(li
   len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dl.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN rep ON d.doc_id = rep.doc_id LEFT JOIN dl ON d.doc_id = dl.doc_id),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
-h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS bad FROM f GROUP BY source),
-p AS (SELECT avg(bad / n) AS m, var_pop(bad / n) AS v FROM h),
-q AS (SELECT m, CASE WHEN v > 0 AND m * (1 - m) > v THEN least(10000.0, m * (1 - m) / v - 1) ELSE 10000.0 END AS s FROM p)
-SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT ((h.bad + q.m * q.s) / (h.n + q.s) > 0.5) AS kept
-FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source, q
+r AS (SELECT f.doc_id, f.source, rule, coalesce(CASE rule WHEN 1 THEN n_words < 50 WHEN 2 THEN 100 * n_repeat_words > 50 * n_words ELSE base_failed END, false)::INT AS bad FROM f, (VALUES (1), (2), (3)) v(rule)),
+h AS (SELECT source, rule, count(*) AS n, sum(bad) AS k FROM r GROUP BY source, rule),
+t AS (SELECT rule, sum(n) AS docs, count(*) AS hosts, sum(k) / sum(n) AS m, (sum(n) - sum(n * n) / sum(n)) / nullif(count(*) - 1, 0) AS usual FROM h GROUP BY rule),
+v AS (SELECT t.rule, any_value(m) AS m, any_value(usual) AS usual, sum(n * (k / n - m) ** 2) / nullif(any_value(hosts) - 1, 0) AS b, sum(n * (k / n) * (1 - k / n)) / nullif(any_value(docs) - any_value(hosts), 0) AS w
+  FROM h JOIN t ON h.rule = t.rule GROUP BY t.rule),
+a AS (SELECT rule, m, (b - w) / nullif(b + (usual - 1) * w, 0) AS alike FROM v),
+q AS (SELECT rule, m, CASE WHEN alike > 1.0 / 10001 THEN 1 / least(alike, 1.0) - 1 ELSE 10000.0 END AS s FROM a),
+x AS (SELECT source, bool_or((k + m * s) / (n + s) > 0.5) AS rejected FROM h JOIN q ON h.rule = q.rule GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept
+FROM f JOIN x ON f.source IS NOT DISTINCT FROM x.source
 """
 
 

@@ -134,12 +134,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """``docs`` with every secret in its texts replaced; columns stay, ``n_chars`` follows the text."""
-    columns = docs.columns
-    hit = scan(docs, labelled).where("is_secret").groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("candidate"), lambda a, b: F.length(b) - F.length(a)).alias("_secrets"))
-    hit = stash(hit, "secrets-hits").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_secrets")
-    out = docs.join(hit, docs["doc_id"].eqNullSafe(hit["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == hit["_hash"]), "left")
-    clean = F.aggregate(F.coalesce("_secrets", F.array().cast("array<string>")), F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
-    out = out.withColumn("text", clean)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("_secrets").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    hit = scan(docs, labelled).where("is_secret").groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("candidate"), lambda a, b: F.length(b) - F.length(a)).alias("secrets"))
+    hit = stash(hit, "secrets-hits").select(F.col("doc_id").alias("id"), "text_hash", "secrets")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))  # the columns may have any names
+    out = rows.join(hit, F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("doc.text", F.lit(""))) == F.col("text_hash")), "left")
+    clean = F.aggregate(F.coalesce("secrets", F.array().cast("array<string>")), F.col("doc.text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
+    changed = {"text": clean, "n_chars": F.when(F.col("secrets").isNotNull(), F.length(clean).cast("long")).otherwise(F.col("doc.n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*(changed.get(c, F.col("doc")[c]).alias(c) for c in docs.columns))

@@ -18,7 +18,8 @@ which are removed in all but the document with the least id.
 
 Null texts have no words. Rows without a doc_id remove nothing and keep all.
 Rows with one doc_id are one document: they do not remove each other's words,
-and come back as often as they occur. Windows are compared by 128-bit hashes.
+and come back as often as they occur. Windows are compared by two independent
+64-bit hashes, stretches by 96 bits beside the 64 of their anchor.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import arrow_map, shared_keys, short_batches, stash
+from .common import arrow_map, shared_keys, stash
 
 LENGTH, SEED = 13, 5
 
@@ -56,16 +57,19 @@ def anchors(h: np.ndarray, row: np.ndarray, length: int, seed: int) -> tuple[np.
     return where, g[where]
 
 
-def stretches(h: np.ndarray, row: np.ndarray, at: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """Hash of all the words that windows with the anchor cover, cut off at the document's ends."""
+def stretches(h: np.ndarray, h2: np.ndarray, row: np.ndarray, at: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, of 64 and of 32 bits, of all the words that windows with the anchor cover, cut off at the document's ends."""
     reach = length - seed
-    total = np.zeros(len(at), np.uint64)
+    total, other = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+    own = row[at]
     for k, j in enumerate(range(-reach, length)):
         where = at + j
         ok = (where >= 0) & (where < len(h))
         where = np.where(ok, where, 0)
-        total += np.where(ok & (row[where] == row[at]), W.mixed(h[where]) * W._PLACE2[k], 0)
-    return W.mixed(total)
+        ok &= row[where] == own
+        total += np.where(ok, h2[where] * W._PLACE2[k], 0)
+        other += np.where(ok, h[where] * W._PLACE[k], 0)
+    return W.mixed(total), (W.mixed(other) >> np.uint64(32)).astype(np.uint32)
 
 
 def _occurrences(docs: DataFrame, length: int, seed: int) -> DataFrame:
@@ -75,12 +79,13 @@ def _occurrences(docs: DataFrame, length: int, seed: int) -> DataFrame:
             h = w.hashes()
             at, key = anchors(h, w.row, length, seed)
             ids = part.column("doc_id").to_numpy()[w.row[at]]
+            stretch, more = stretches(h, w.hashes(second=True), w.row, at, length, seed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(W.signed(key)), pa.array(W.signed(stretches(h, w.row, at, length, seed))), pa.array(ids), pa.array((at - w.first[w.row[at]]).astype(np.int32))],
-                names=["anchor", "stretch", "doc_id", "pos"],
+                [pa.array(W.signed(key)), pa.array(W.signed(stretch)), pa.array(more.view(np.int32)), pa.array(ids), pa.array((at - w.first[w.row[at]]).astype(np.int32))],
+                names=["anchor", "stretch", "more", "doc_id", "pos"],
             )
 
-    return arrow_map(docs, run, "anchor long, stretch long, doc_id long, pos int")
+    return arrow_map(docs, run, "anchor long, stretch long, more int, doc_id long, pos int")
 
 
 def _windows(docs: DataFrame, length: int, seed: int) -> DataFrame:
@@ -91,7 +96,7 @@ def _windows(docs: DataFrame, length: int, seed: int) -> DataFrame:
             w = W.find(part.column("text"))
             h = w.hashes()
             g1, ok = W.grams(h, w.row, length)
-            g2, _ = W.grams(h, w.row, length, second=True)
+            g2, _ = W.grams(w.hashes(second=True), w.row, length, second=True)
             opened = part.column("open")
             row = np.repeat(np.arange(part.num_rows), np.diff(opened.offsets.to_numpy()))
             at = opened.flatten().to_numpy() + w.first[row]
@@ -112,13 +117,12 @@ def _windows(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
 def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """``(doc_id, first, last)``: stretches of words (``last`` not included) that also start in a smaller doc_id; they may overlap."""
-    short_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
     reach = length - seed
     seeds = stash(shared_keys(_occurrences(docs, length, seed), "anchor", "doc_id", "substring"), "substring-seeds")
-    firsts = stash(seeds.groupBy("anchor", "stretch").agg(F.min("doc_id").alias("earliest")), "substring-firsts")
-    varied = firsts.groupBy("anchor").agg(F.min("stretch").alias("_a"), F.max("stretch").alias("_b")).where("_a <> _b").select("anchor")
-    judged = seeds.join(firsts, ["anchor", "stretch"])
+    firsts = stash(seeds.groupBy("anchor", "stretch", "more").agg(F.min("doc_id").alias("earliest")), "substring-firsts")
+    varied = firsts.groupBy("anchor").agg(F.min(F.struct("stretch", "more")).alias("_a"), F.max(F.struct("stretch", "more")).alias("_b")).where("_a <> _b").select("anchor")
+    judged = seeds.join(firsts, ["anchor", "stretch", "more"])
     full = judged.where("doc_id > earliest").select("doc_id", (F.col("pos") - reach).alias("first"), (F.col("pos") + length).alias("last"))
     pending = judged.where("doc_id = earliest").join(stash(varied, "substring-varied"), "anchor", "left_semi")
     pending = pending.groupBy("doc_id").agg(F.collect_set("pos").alias("open"))

@@ -1,7 +1,8 @@
 """Words of Arrow text columns as numpy arrays: one pass over the bytes of a whole batch.
 
 A word is a run of bytes other than space and 0x09 to 0x0D. Hashes are 64-bit
-and depend on the word's bytes alone, so every task gives a word the same one.
+and depend on the word's bytes alone, so every task gives a word the same one;
+where more bits are needed, a second, independent hash is to be had.
 """
 
 from __future__ import annotations
@@ -14,11 +15,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _RNG = np.random.Generator(np.random.PCG64(20240601))
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Odd multipliers of the positions in an n-gram.
 _PLACE = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE2 = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Keys of the first and the second hash of a span: of its blocks, of joining two values, of a value without a partner.
+_KEYS = _RNG.integers(1, 2**63, (2, 4), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: The first k bytes of a little-endian block of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -73,24 +77,48 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        return span_hashes(self.data, self.starts, self.ends)
+    def hashes(self, second: bool = False) -> np.ndarray:
+        """A 64-bit hash of each word's bytes; ``second``: one that is independent of the first."""
+        return span_hashes(self.data, self.starts, self.ends, second)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each non-empty span of bytes."""
-    if not len(starts):
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
+    """A 64-bit hash of each non-empty span of bytes.
+
+    A span is read in blocks of eight bytes. Each block is spread by a
+    non-linear one-to-one function, and the values are joined two by two, again
+    non-linearly, until one is left; the length goes in last. Spans of up to
+    seven bytes, with their length beside them in one block, have different hashes
+    for certain, others but for one chance in 2**64.
+    """
+    n = len(starts)
+    if not n:
         return np.zeros(0, np.uint64)
+    spread, joined, alone, length_key = _KEYS[int(second)]
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    block = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
     lengths = ends - starts
-    begin = np.zeros(len(starts), np.int64)
-    np.cumsum(lengths[:-1], out=begin[1:])
-    within = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(begin, lengths)
-    power = np.full(int(lengths.max()), _STEP)
-    power[0] = 1
-    power = np.cumprod(power)
-    h = _BYTE[data[within + np.repeat(starts, lengths)]] * power[within]
-    return mixed(np.add.reduceat(h, begin) + lengths.astype(np.uint64) * _PLACE[0])
+    h = block[starts] & _FIRST[np.minimum(lengths, 8)]
+    h |= np.where(lengths < 8, lengths, 0).astype(np.uint64) << np.uint64(56)
+    h = mixed(h ^ spread)
+    long = np.flatnonzero(lengths > 7)
+    if len(long):
+        size = lengths[long]
+        c = (size + 7) // 8
+        within = flat_ranges(np.zeros(len(c), np.int64), c)
+        at = np.repeat(starts[long], c) + 8 * within
+        v = mixed((block[at] & _FIRST[np.minimum(np.repeat(ends[long], c) - at, 8)]) ^ (spread + within.astype(np.uint64) * _STEP))
+        while int(c.max()) > 1:
+            half = (c + 1) // 2
+            begin = np.cumsum(c) - c
+            within = flat_ranges(np.zeros(len(c), np.int64), half)
+            left = np.repeat(begin, half) + 2 * within
+            paired = 2 * within + 1 < np.repeat(c, half)
+            right = np.where(paired, mixed(v[np.minimum(left + 1, len(v) - 1)] ^ joined), alone)
+            # a span that is down to one value is done, however long others are
+            v, c = np.where(np.repeat(c == 1, half), v[left], mixed(v[left] * joined + right)), half
+        h[long] = mixed(v + size.astype(np.uint64) * length_key)
+    return h
 
 
 def find(column: pa.Array, lower: bool = False) -> Words:

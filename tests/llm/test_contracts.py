@@ -30,6 +30,12 @@ def docs(spark, tables):
     vocabulary = [f"w{i}" for i in range(300)]
     passage = " ".join(rng.choice(vocabulary) for _ in range(60))
     texts = [None, "", " \t\n", "one", "two words", passage, passage, f"start {passage} end", passage.upper(), passage + " w1", "a b " * 40]
+    mirrored = "a"  # long words alike but for exchanged letters
+    while len(mirrored) < 1024:
+        mirrored += mirrored.translate(str.maketrans("ab", "ba"))
+    flipped = mirrored.translate(str.maketrans("ab", "ba"))
+    twelve = " ".join(f"t{i}" for i in range(12))
+    texts += [f"{twelve} {mirrored}", f"{twelve} {flipped}", mirrored, flipped, f"{mirrored}\n{flipped}\n{mirrored} x y\n{flipped} x y"]
     texts += ["héllo wörld x y", "\x1cz\x1fq " * 20, "1234 !!", " ".join(rng.choice(vocabulary) for _ in range(9000)), "日本語 текст"]
     low = int(base.doc_id.max()) + 1
     more = pd.DataFrame({"doc_id": range(low, low + len(texts)), "text": texts, "lang": None, "source": None, "n_chars": None})
