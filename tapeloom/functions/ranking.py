@@ -1,29 +1,38 @@
 """Global ranks without a single-partition window.
 
-A value's bucket is its place between the column's least and largest value. The
-buckets are counted first; a row's rank is the count of the buckets before it
-plus its rank inside its own bucket. Bucketing depends on values alone, so both
-branches of the plan agree, and ties always share a bucket.
+A value's bucket is its place among quantiles of the column, so buckets hold
+about equal numbers of rows however the values are spread. The buckets are
+counted first; a row's rank is the count of the buckets before it plus its rank
+inside its own bucket. The quantiles are cut off from the plan before they are
+used, so both of its branches agree, and ties always share a bucket.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+from ..sources.folders import shared
+
+BUCKETS = 128
+
+
+def _edges(value: str) -> Column:
+    """The values between buckets."""
+    return F.array_distinct(F.percentile_approx(value, [k / BUCKETS for k in range(1, BUCKETS)], 100 * BUCKETS))
+
+
+def _bucket(nulls: Column) -> Column:
+    """How many edges lie below the value; nulls have a bucket of their own."""
+    below = F.size(F.filter("_edges", lambda e: e < F.col("_v")))
+    return F.when(F.col("_v").isNull(), nulls).otherwise(F.coalesce(below, F.lit(0))).cast("int")
 
 
 def _bucketed(df: DataFrame, column: str, descending: bool, nulls_first: bool) -> tuple[DataFrame, DataFrame]:
     value = -F.col(column) if descending else F.col(column)
     df = df.withColumn("_v", value.cast("double"))
-    edge = df.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    inside = F.least(F.lit(BUCKETS - 1), F.floor((F.col("_v") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * BUCKETS))
-    bucket = F.when(F.col("_v").isNull(), F.lit(-1 if nulls_first else BUCKETS)).otherwise(F.coalesce(inside, F.lit(0))).cast("int")
-    rows = df.join(F.broadcast(edge), F.lit(True)).withColumn("_b", bucket).drop("_lo", "_hi")
+    edges = cut(df.agg(_edges("_v").alias("_edges")))
+    rows = df.join(F.broadcast(edges), F.lit(True)).withColumn("_b", _bucket(F.lit(-1 if nulls_first else BUCKETS))).drop("_edges")  # one row
     counts = rows.groupBy("_b").agg(F.count("*").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy())  # at most BUCKETS + 1 rows
     before = F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")
@@ -34,8 +43,7 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` from a checkpoint in the folder the cluster names, so that plans which read it several times stay small."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), f"tapeloom-{context.applicationId}"))
+        context.setCheckpointDir(shared(df.sparkSession))
     return df.checkpoint()
 
 
@@ -53,10 +61,8 @@ def cume_dists(df: DataFrame, key: str, orders: dict[str, tuple[str, bool, bool]
         each.append(F.struct(F.lit(name).alias("_m"), (-value if descending else value).alias("_v"), F.lit(-1 if nulls_first else BUCKETS).alias("_nb")))
     rows = df.select(key, F.explode(F.array(*each)).alias("_e")).select(key, "_e.*")
     values = rows.groupBy("_m", "_v", "_nb").agg(F.count("*").alias("_n"))
-    edge = values.groupBy("_m").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))  # one row per measure
-    values = values.join(F.broadcast(edge), "_m")
-    inside = F.least(F.lit(BUCKETS - 1), F.floor((F.col("_v") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * BUCKETS))
-    values = values.withColumn("_b", F.when(F.col("_v").isNull(), F.col("_nb")).otherwise(F.coalesce(inside, F.lit(0))).cast("int"))
+    edges = cut(values.groupBy("_m").agg(_edges("_v").alias("_edges")))  # one row per measure
+    values = values.join(F.broadcast(edges), "_m").withColumn("_b", _bucket(F.col("_nb"))).drop("_edges")
     w = Window.partitionBy("_m")
     counts = values.groupBy("_m", "_b").agg(F.sum("_n").alias("_c"))  # at most BUCKETS + 1 rows per measure
     counts = counts.select("_m", "_b", (F.sum("_c").over(w.orderBy("_b")) - F.col("_c")).alias("_before"), F.sum("_c").over(w).alias("_total"))
@@ -83,3 +89,11 @@ def ntile(df: DataFrame, tiles: int, column: str, name: str, tie: str, descendin
     at = F.col("_pos") - 1
     tile = F.when(at < more * (size + 1), F.floor(at / (size + 1))).otherwise(more + F.floor((at - more * (size + 1)) / F.nullif(size, F.lit(0))))
     return out.withColumn(name, (tile + 1).cast("int")).drop("_pos", "_total")
+
+
+def rank_from_top(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
+    """``name``: one more than the number of rows with a greater value; null where there is none. ``key`` tells the rows apart."""
+    df = cut(df)
+    rows, counts = _bucketed(df.select(key, column), column, descending=True, nulls_first=False)
+    ranked = rows.withColumn("_k", F.rank().over(Window.partitionBy("_b").orderBy("_v"))).join(F.broadcast(counts), "_b")
+    return df.join(ranked.select(key, F.when(F.col("_v").isNotNull(), F.col("_before") + F.col("_k")).cast("bigint").alias(name)), key)

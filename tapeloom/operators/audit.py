@@ -94,3 +94,8 @@ def factor_gates(universe: DataFrame, scores: DataFrame, ideas: DataFrame, least
     n.append(scores.agg(F.count_if(leak).alias("value")).select(F.lit("macro_theme_violations").alias("name"), "value"))
     ok = F.when(F.col("name").endswith("violations"), F.col("value") == 0).otherwise(F.col("value") > 0)
     return _stack(n).withColumn("ok", ok)
+
+
+def latest_runs(runs: DataFrame, most: int = 3) -> DataFrame:
+    """The last runs by date."""
+    return runs.orderBy(F.desc("as_of_date")).limit(most)

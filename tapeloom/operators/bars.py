@@ -55,3 +55,20 @@ def gap_report(source: DataFrame, derived: DataFrame, days: int | None = 30) ->
         derived = derived.crossJoin(F.broadcast(newest)).where(F.col("timestamp") > F.col("_newest") - days * DAY)
     have = derived.select("ticker").distinct()
     return source.groupBy("ticker").agg(F.count("*").alias("bars"), F.max("timestamp").alias("last_ts")).join(have, "ticker", "left_anti")
+
+
+def absent(target: DataFrame, rolled: DataFrame) -> DataFrame:
+    """Rolled-up bars whose key the target lacks."""
+    return rolled.join(target.select(*KEYS), KEYS, "left_anti")
+
+
+def materialise(target: DataFrame, rolled: DataFrame) -> DataFrame:
+    """The target with the bars it lacks; bars it has stay as they are."""
+    return target.unionByName(absent(target, rolled).select(*target.columns))
+
+
+def dry_run(target: DataFrame, rolled: DataFrame, sample: int = 10) -> DataFrame:
+    """The first ``sample`` bars that ``materialise`` would insert, and beside each how many there are."""
+    new = absent(target, rolled)
+    total = new.agg(F.count("*").alias("would_insert"))
+    return new.orderBy(*KEYS).limit(sample).join(F.broadcast(total), F.lit(True))  # one row

@@ -34,14 +34,10 @@ def wilder(x: np.ndarray, period: int) -> np.ndarray:
         return out
     head = x[:period]
     head = head[~np.isnan(head)]
-    now = head.mean() if len(head) else np.nan
-    out[period - 1] = now
-    keep, values = (period - 1) / period, x.tolist()
-    for i in range(period, len(values)):
-        v = values[i]
-        if v == v:
-            now = keep * now + v / period
-        out[i] = now
+    if len(head):
+        rest = x[period - 1 :].copy()
+        rest[0] = head.mean()
+        out[period - 1 :] = pd.Series(rest).ewm(alpha=1 / period, adjust=False, ignore_na=True).mean()
     return out
 
 
@@ -85,8 +81,7 @@ def with_recurrences(bars: DataFrame, keep: list[str] | None = None) -> DataFram
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(batches)).sort_values("timestamp").reset_index(drop=True)
-        out = pd.concat([pdf[keep], recurrent(pdf)], axis=1)
-        yield out.astype(object).where(out.notna(), None)
+        yield pd.concat([pdf[keep], recurrent(pdf)], axis=1)  # a NaN becomes a null on its way to Arrow
 
     return bars.select(*need).groupBy("ticker").applyInPandas(run, schema)
 

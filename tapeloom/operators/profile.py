@@ -23,10 +23,13 @@ def cumulative(bars: DataFrame) -> DataFrame:
 
 
 def profile(bars: DataFrame, bin_minutes: int = 5) -> DataFrame:
-    """Distribution of the running volume in each bin over all days; bins with fewer than 3 values, or before midnight ET, drop."""
+    """Distribution of the running volume in each bin over all days; bins with fewer than 3 values, or before midnight ET, drop.
+
+    Volumes are whole shares, so the deviation is taken from sums that are exact in any order.
+    """
     bin_ = F.expr(f"minute div {bin_minutes} * {bin_minutes}").cast("int")
     grouped = cumulative(bars).groupBy("ticker", bin_.alias("bin")).agg(
-        F.count("*").alias("count"), F.avg("cum_vol").alias("_avg"), F.stddev_pop("cum_vol").alias("_std"), F.array_sort(F.collect_list("cum_vol")).alias("_all")
+        F.count("*").alias("count"), F.avg("cum_vol").alias("_avg"), (F.sqrt(F.greatest(F.count("*") * F.sum(F.col("cum_vol") * F.col("cum_vol")) - F.sum("cum_vol") * F.sum("cum_vol"), F.lit(0.0))) / F.count("*")).alias("_std"), F.array_sort(F.collect_list("cum_vol")).alias("_all")
     )
     quarter = lambda k: F.element_at("_all", (F.expr(f"{k} * count div 4") + 1).cast("int"))
     avg, std = F.col("_avg"), F.col("_std")

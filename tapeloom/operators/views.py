@@ -81,3 +81,8 @@ def latest(bars: DataFrame, rows: int = 1) -> DataFrame:
     """The last ``rows`` bars of each ticker."""
     w = Window.partitionBy("ticker").orderBy(F.desc("timestamp"))
     return bars.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= rows).drop("_rn")
+
+
+def newest_first(rows: DataFrame, key: str, most: int, *order: Column) -> DataFrame:
+    """The first ``most`` rows of each key in ``order``; rows beyond them are dropped before the shuffle where Spark can."""
+    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_rn") <= most).drop("_rn")

@@ -14,7 +14,7 @@ from ..operators import views as V
 from ..registry import query
 from ..sources.tables import DAY, HOUR, companies, daily_bars, hourly_bars, table
 from .q_bars import VIEW_DAILY
-from .sql import COMPANIES, DAILY, HOURLY, with_
+from .sql import COMPANIES, DAILY, FOUR_HOURS, HOURLY, with_
 
 COLS = ["ticker", "timestamp", "open", "high", "low", "close", "volume", "vwap", "transactions"]
 _C = ", ".join(COLS)
@@ -229,7 +229,9 @@ def audit_probe(spark, sf_dir):
     return A.probe(V.daily(daily_bars(spark, sf_dir)), "7")
 
 
-@query(with_(DAILY, HOURLY) + ", d AS (SELECT ticker, timestamp FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY timestamp) AS rn FROM daily) WHERE rn >= 200), h AS (SELECT ticker, timestamp FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY timestamp) AS rn FROM hourly) WHERE rn >= 200) SELECT 'daily' AS timeframe, count(*) AS n_rows, count(DISTINCT ticker) AS tickers, min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM d UNION ALL SELECT '1h', count(*), count(DISTINCT ticker), min(timestamp), max(timestamp) FROM h")
+@query(with_(DAILY, HOURLY, FOUR_HOURS) + """, u AS (SELECT 'daily' AS timeframe, ticker, timestamp FROM daily UNION ALL SELECT '1h', ticker, timestamp FROM hourly UNION ALL SELECT '4h', ticker, timestamp FROM four),
+n AS (SELECT *, row_number() OVER (PARTITION BY timeframe, ticker ORDER BY timestamp) AS rn FROM u)
+SELECT timeframe, count(*) AS n_rows, count(DISTINCT ticker) AS tickers, min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM n WHERE rn >= 200 GROUP BY timeframe""")
 def audit_indicator_stats(spark, sf_dir):
     d, h = I.backfill(daily_bars(spark, sf_dir), "daily"), I.backfill(hourly_bars(spark, sf_dir), "1h")
     four = I.backfill(B.four_hours(hourly_bars(spark, sf_dir)), "4h")
@@ -242,7 +244,7 @@ _MIN = "minutes AS (SELECT event_type AS ticker, epoch_ms(ts) // 60000 * 60000 A
 _CUM = "cum AS (SELECT *, sum(volume) OVER (PARTITION BY ticker, d ORDER BY minute ROWS UNBOUNDED PRECEDING) AS cum_vol FROM (SELECT ticker, make_timestamp(minute_ts * 1000)::DATE AS d, minute_ts // 60000 % 1440 AS minute, volume FROM {0}))"
 _PROFILE = """prof AS (SELECT ticker, (bin - 240)::INTEGER AS et_minute, round_even(a, 0)::BIGINT AS avg, round_even(s, 0)::BIGINT AS std, CASE WHEN a > 0 THEN round_even(round(s / a * 100, 9), 1) ELSE 0.0 END AS cv_pct,
  round_even(v[n // 4 + 1], 0)::BIGINT AS p25, round_even(v[3 * n // 4 + 1], 0)::BIGINT AS p75, n AS count, round_even(a * 1.5, 0)::BIGINT AS above_15x, round_even(a * 0.5, 0)::BIGINT AS below_05x
- FROM (SELECT ticker, minute // 5 * 5 AS bin, count(*) AS n, avg(cum_vol) AS a, stddev_pop(cum_vol) AS s, list_sort(list(cum_vol)) AS v FROM cum GROUP BY ALL) WHERE n >= 3 AND bin >= 240)"""
+ FROM (SELECT ticker, minute // 5 * 5 AS bin, count(*) AS n, avg(cum_vol) AS a, sqrt(greatest(count(*) * sum(cum_vol * cum_vol) - sum(cum_vol) * sum(cum_vol), 0)) / count(*) AS s, list_sort(list(cum_vol)) AS v FROM cum GROUP BY ALL) WHERE n >= 3 AND bin >= 240)"""
 _PROF = with_(_MIN, _CUM.format("minutes"), _PROFILE)
 
 

@@ -1 +1 @@
-"""Structured Streaming operators."""
+"""Bars and indicators from streams."""
