@@ -1,4 +1,4 @@
-"""Language-model scores from Elias-Fano n-gram tries.
+"""Language-model scores from Elias-Fano n-gram tries of words and bigrams.
 
 The model interpolates bigrams with unigrams under a Dirichlet prior:
 ``p(w | c) = (n(c, w) + m p(w)) / (n(c) + m)`` with
@@ -6,9 +6,16 @@ The model interpolates bigrams with unigrams under a Dirichlet prior:
 context's count alone and one that depends on the pair alone, so each token is
 scored where its word lives: tokens are dealt to shards by word, and a shard
 that has counted its training tokens into a trie answers for all tokens it was
-dealt, training or not, in one shuffle. A word that has more than one in
-``HOT`` of all tokens is dealt by word and context instead; the counts of those
-words, at most ``HOT`` of them, are sent along.
+dealt, training or not, in one shuffle. There are as many shards as the texts'
+bytes ask for, each of a size that one task holds in memory and in a partition
+of its own. A word that has more than one in ``HOT`` of all tokens is dealt by
+word and context instead; the counts of those words, at most ``HOT`` of them,
+are sent along.
+
+A longer context is left out: how often a context of two words was seen is
+counted where its last word lives, and a model that weighs both would have to
+carry that count to every token once more. Words are told apart by 64 bits,
+contexts of one word by 40.
 
 The prior's strength ``m`` is the one of ``STRENGTHS`` under which the training
 documents score best with each token left out of the counts.
@@ -20,8 +27,6 @@ nor trained on. Repeated rows are scored (and counted) one by one.
 from __future__ import annotations
 
 import math
-import os
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import partitions, stash
-from .eftrie import CONTEXT_BITS, Trie
+from .common import stash
+from .eftrie import CONTEXT_BITS, Trie, pack
 
-HOT, STRENGTHS, PACK, FOLDS, FOLD = 2000, (1e1, 1e2, 1e3, 1e4, 1e5, 1e6, 1e7), 1_500_000, 7, 2
+HOT, STRENGTHS, PACK, SHARD_BYTES, FOLDS, FOLD = 2000, (1e1, 1e2, 1e3, 1e4, 1e5, 1e6, 1e7), 1_500_000, 32_000_000, 7, 2
 END, START = (np.uint64(x) for x in (0x1B873593CC9E2D51, 0x52DCE729E6546B64))
 _CONTEXT = np.uint64((1 << CONTEXT_BITS) - 1)
 
@@ -90,11 +95,8 @@ def vocabulary(docs: DataFrame, shards: int) -> DataFrame:
             keys, counts = np.unique(w, return_counts=True)
             to = _shard(keys, keys, keys[:0], shards)
             order = np.argsort(to, kind="stable")
-            cuts = np.searchsorted(to[order], np.arange(shards + 1))
-            for s in range(shards):
-                k = order[cuts[s] : cuts[s + 1]]
-                if len(k):
-                    yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([keys[k].tobytes()], pa.binary()), pa.array([counts[k].astype(np.int64).tobytes()], pa.binary())], names=["shard", "words", "counts"])
+            for s, k in _dealt(to, order):
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([keys[k].tobytes()], pa.binary()), pa.array([counts[k].astype(np.int64).tobytes()], pa.binary())], names=["shard", "words", "counts"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(s: int, got: list) -> pa.RecordBatch:
@@ -119,10 +121,18 @@ def vocabulary(docs: DataFrame, shards: int) -> DataFrame:
             yield out(now, got)
 
     parts = docs.mapInArrow(count, "shard int, words binary, counts binary")
-    merged = parts.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(merge, "shard int, words binary, counts binary, n_types long, n_tokens long")
+    merged = parts.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard").mapInArrow(merge, "shard int, words binary, counts binary, n_types long, n_tokens long")
     return stash(merged, "lm-vocabulary")
 
 
+def _dealt(to: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard that is dealt something, and what; ``order`` sorts ``to``."""
+    there = to[order]
+    begin = np.flatnonzero(np.concatenate(([True], there[1:] != there[:-1]))) if len(there) else np.zeros(0, np.int64)
+    for a, b in zip(begin.tolist(), np.append(begin[1:], len(there)).tolist()):
+        yield int(there[a]), order[a:b]
+
+
 def _summed(got: list) -> list:
     """One table of keys and counts from several."""
     keys, counts = (np.concatenate(x) for x in zip(*got))
@@ -167,18 +177,15 @@ def _deal(shards: int, hot: np.ndarray):
             batch = TaskContext.get().partitionId() << 24 | no
             to = _shard(w, context, hot, shards)
             order = np.lexsort((w, to))
-            cuts = np.searchsorted(to[order], np.arange(shards + 1))
             flags = np.where(fold.is_null().to_numpy(zero_copy_only=False), 2, fold.fill_null(0).to_numpy() != FOLD).astype(np.uint8)  # 1 trained on, 0 held out, 2 neither
             many = np.bincount(row, minlength=len(flags)).astype("<u4")
             yield _row(batch % shards, 2, batch, ids.fill_null(0).to_numpy().tobytes(), ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), flags.tobytes(), many.tobytes(), None)
-            for s in range(shards):
-                k = order[cuts[s] : cuts[s + 1]]
-                if len(k):
-                    x = w[k]
-                    begin = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-                    runs = np.diff(np.append(begin, len(x))).astype("<u4")
-                    low = np.ascontiguousarray((context[k] & _CONTEXT).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, : CONTEXT_BITS // 8]
-                    yield _row(s, 1, batch, x[begin].tobytes(), runs.tobytes(), low.tobytes(), row[k].astype("<u4" if len(flags) > 65535 else "<u2").tobytes(), flags.tobytes())
+            for s, k in _dealt(to, order):
+                x = w[k]
+                begin = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+                runs = np.diff(np.append(begin, len(x))).astype("<u4")
+                low = np.ascontiguousarray((context[k] & _CONTEXT).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, : CONTEXT_BITS // 8]
+                yield _row(s, 1, batch, x[begin].tobytes(), runs.tobytes(), low.tobytes(), row[k].astype("<u4" if len(flags) > 65535 else "<u2").tobytes(), flags.tobytes())
 
     return run
 
@@ -194,13 +201,11 @@ def _unpack(row: tuple) -> tuple[np.ndarray, ...]:
 
 
 class _Shard:
-    """One shard's tokens: spooled to a file of this executor while its training pairs are counted, then scored."""
+    """One shard's tokens: kept as they came while its training pairs are counted, then scored."""
 
     def __init__(self, shard: int, hot: np.ndarray, hot_counts: np.ndarray, z: float):
         self.shard, self.z, self.words, self.counts = shard, z, hot, hot_counts
-        self.folder = tempfile.TemporaryDirectory(prefix="lm-")
-        self.spool = open(os.path.join(self.folder.name, "tokens"), "wb")
-        self.places, self.pairs, self.size = [], [], 0
+        self.rows, self.pairs, self.size = [], [], 0
 
     def vocabulary(self, words: bytes, counts: bytes) -> None:
         keys = np.concatenate((self.words, np.frombuffer(words, np.uint64)))
@@ -208,9 +213,7 @@ class _Shard:
         self.counts = np.concatenate((self.counts, np.frombuffer(counts, np.int64)))[first]
 
     def add(self, batch: int, row: tuple) -> None:
-        self.places.append((batch, self.spool.tell(), [len(x) for x in row]))
-        for x in row:
-            self.spool.write(x)
+        self.rows.append((batch, row))
         words, runs, context, rows, flags = _unpack(row)
         trained = flags[rows] == 1
         rank = np.repeat(np.searchsorted(self.words, words), runs)[trained]
@@ -222,15 +225,12 @@ class _Shard:
             self.size = len(self.pairs[0][0]) // 2
 
     def scored(self) -> Iterator[pa.RecordBatch]:
-        self.spool.close()
         codes, seen = _summed(self.pairs)[0] if self.pairs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         self.pairs = []
-        trie = Trie.build(self.folder.name, self.words, self.counts, codes, seen)
+        trie = Trie.mapped(pack(self.words, self.counts, codes, seen))
         left_out = np.zeros(len(STRENGTHS))
-        spool = np.memmap(self.spool.name, np.uint8, "r") if self.places else None
-        for batch, at, sizes in self.places:
-            cut = np.cumsum([at, *sizes])
-            words, runs, context, rows, flags = _unpack(tuple(spool[a:b].tobytes() for a, b in zip(cut, cut[1:])))
+        for batch, row in self.rows:
+            words, runs, context, rows, flags = _unpack(row)
             rank, count = trie.word(words)
             is_end = np.repeat(words == END, runs)
             rank, count = np.repeat(rank, runs), np.repeat(count, runs)
@@ -249,7 +249,6 @@ class _Shard:
                 left_out[k] += float(np.sum(np.log10(1 + once / np.maximum(c, 1) * self.z / m) - np.where(e, 0, np.log10(1 + np.maximum(c - 1, 0) / m))))
             yield _row(self.shard, 1, batch, total(count > 0).astype("<u4").tobytes(), total(np.log10(count + 1.0)).tobytes(), np.stack(gains).astype("<f4").tobytes(), None, None)
         yield _row(self.shard, 3, -1, left_out.tobytes(), None, None, None, None)
-        self.folder.cleanup()
 
 
 def _answer(hot: np.ndarray, hot_counts: np.ndarray, z: float):
@@ -278,8 +277,7 @@ def _answer(hot: np.ndarray, hot_counts: np.ndarray, z: float):
 
 def score(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row of ``docs(doc_id, text)``."""
-    spark = docs.sparkSession
-    shards = max(4, partitions(spark) // 2)
+    shards = 4 + int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)).cast("int").alias("fold"))
     vocab = vocabulary(docs, shards)
     n_types, n_tokens = (int(x or 0) for x in vocab.agg(F.sum("n_types"), F.sum("n_tokens")).first())
@@ -290,7 +288,7 @@ def score(docs: DataFrame) -> DataFrame:
     none = F.lit(None).cast("binary")
     kind0 = vocab.select("shard", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("batch"), F.col("words").alias("a"), F.col("counts").alias("b"), none.alias("c"), none.alias("d"), none.alias("e"))
     dealt = kind0.unionByName(docs.mapInArrow(_deal(shards, hot), _DEALT))
-    answers = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "batch").mapInArrow(_answer(hot, hot_counts, z), _DEALT)
+    answers = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "kind", "batch").mapInArrow(_answer(hot, hot_counts, z), _DEALT)
     answers = stash(answers.drop("shard"), "lm-answers")
     total = np.zeros(len(STRENGTHS))
     for r in answers.where("kind = 3").select("a").collect():  # a few numbers for each shard

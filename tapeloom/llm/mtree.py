@@ -1,37 +1,51 @@
-"""Exact top-k by inner product: M-tree best-first search in pages.
+"""Exact top-k by inner product: best-first search in an M-tree.
 
 Vectors are lifted by one coordinate so that all have the norm of the longest:
 the squared distance of a query to a lifted vector then falls exactly as their
 inner product grows, and the nearest neighbours are the best scores.
 
-A bounded sample gives the routing objects of the upper level; every vector
-goes to its nearest one, and a crowded one's vectors are spread over several
-subtrees. A subtree is built by one task into pages of at most ``PAGE``
-vectors, each with a routing object, a covering radius, and every entry's
-distance to it. A query visits the pages of a subtree in the order of their
-least possible distance until no page can hold a better vector; inside a page,
-entries whose stored parent distance rules them out by the triangle inequality
-are never computed. Queries meet subtrees in blocks; scores are integers and
-compared exactly, ties go to the smaller id.
+The upper levels of the tree are tables. A node with more than ``subtree``
+vectors is split: a few of its vectors become routing objects, every vector
+goes to its nearest one, and the child keeps its routing object, its covering
+radius and its distance to the parent's object. All crowded nodes of a level
+are split in one pass, until none is left. A leaf of that tree is read by one
+task, which builds its inner nodes and pages of at most ``PAGE`` entries, with
+radii and parent distances again.
+
+A query first descends to its nearest leaf and takes the k best there. Their
+worst is its reach. Then it descends level by level into every node whose
+covering ball the reach meets; a node whose stored parent distance rules it out
+by the triangle inequality is not even compared. Only the leaves that are left
+receive the query, and are searched best first with the reach it brings along.
+Scores are integers and compared exactly, ties go to the smaller id.
+
+Equal vectors have equal scores, so of each only the rows with the ``k + 1``
+smallest ids can be among anyone's k best (one of them may be the query's own);
+the rest are left out before the tree is built, and a vector that a third of
+all rows share never fills a node. A row that repeats id and vector is counted,
+not repeated.
 
 Rows with a null id or vector, or with null or non-finite components, take no
 part. Vectors of other lengths than the longest are padded with zeros. Rows that
-repeat an id are separate candidates, except for a query of the same id.
+repeat an id are separate candidates, except for a query of the same id; equal
+queries are answered once. An empty table has no result. Components beyond 2**42
+lie outside the integers that are compared.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import partitions, stash
 
-K, PAGE, SUBTREE, PIVOTS, BLOCK, EVERY, UNIT = 10, 256, 16_384, 64, 512, 100, 1024
+K, PAGE, SUBTREE, FANOUT, EVERY, UNIT = 10, 128, 4096, 64, 100, 1024
 
 
 def integers(vectors: DataFrame) -> DataFrame:
@@ -42,6 +56,13 @@ def integers(vectors: DataFrame) -> DataFrame:
     return out.select("vec_id", F.transform("_v", lambda x: F.floor(x * UNIT)).alias("v"))
 
 
+def candidates(rows: DataFrame, k: int) -> DataFrame:
+    """``(vec_id, v, copies)``: all that can be among the k best of any query."""
+    counted = rows.groupBy("v", "vec_id").agg(F.count("*").alias("n"))
+    near = counted.withColumn("_rn", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("_rn") <= k + 1)
+    return near.select("vec_id", "v", F.least("n", F.lit(k)).cast("int").alias("copies"))
+
+
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     size = np.diff(column.offsets.to_numpy())
     flat = column.flatten().to_numpy()
@@ -51,128 +72,225 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return out
 
 
-class Page:
-    """A leaf: entries around a routing object."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, lifted: np.ndarray, router: np.ndarray):
-        self.ids, self.vectors, self.router = ids, vectors, router
-        self.parent = np.sqrt(((lifted - router) ** 2).sum(1))
-        self.radius = float(self.parent.max())
-
-
 def lift(vectors: np.ndarray, norm2: float) -> np.ndarray:
     x = vectors.astype(np.float64)
     return np.concatenate((x, np.sqrt(np.maximum(norm2 - (x * x).sum(1), 0))[:, None]), 1)
 
 
-def build(ids: np.ndarray, vectors: np.ndarray, norm2: float) -> list[Page]:
-    """Pages of one subtree: split at the farthest pair of a few until each fits."""
-    lifted = lift(vectors, norm2)
-    todo, pages = [np.arange(len(ids))], []
-    while todo:
-        at = todo.pop()
+# The upper levels
+
+
+def _split(crowded: DataFrame, routers: DataFrame, dims: int, norm2: float) -> DataFrame:
+    """``(vec_id, v, copies, node, far)``: every vector under the nearest routing object of its node, and how far it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, node = lift(_matrix(batch.column("v"), dims), norm2), batch.column("node").to_numpy()
+            child, far = np.zeros(len(node), np.int64), np.zeros(len(node))
+            for n in np.unique(node):
+                at = np.flatnonzero(node == n)
+                r = lift(_matrix(batch.column("routers")[int(at[0])].values, dims), norm2)
+                best = (x[at] @ r.T).argmax(1)  # all lifted vectors have one norm
+                child[at] = n * FANOUT + best + 1
+                far[at] = np.sqrt(((x[at] - r[best]) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), batch.column("copies"), pa.array(child), pa.array(far)], names=["vec_id", "v", "copies", "node", "far"])
+
+    return crowded.join(routers, "node").select("vec_id", "v", "copies", "node", "routers").mapInArrow(run, "vec_id long, v array<long>, copies int, node long, far double")
+
+
+def _dot(a: str, b: str) -> Column:
+    """Inner product of two vectors for bounds, not for scores; a shorter one is padded with zeros."""
+    number = lambda x: F.coalesce(x.cast("double"), F.lit(0.0))
+    return F.aggregate(F.zip_with(a, b, lambda x, y: number(x) * number(y)), F.lit(0.0), lambda s, x: s + x)
+
+
+def _lifted_distance(a: str, b: str, norm2: float) -> Column:
+    """Distance of two lifted vectors."""
+    high = lambda c: F.sqrt(F.greatest(F.lit(norm2) - _dot(c, c), F.lit(0.0)))
+    return F.sqrt(F.greatest(2 * (F.lit(norm2) - _dot(a, b) - high(a) * high(b)), F.lit(0.0)))
+
+
+def grow(rows: DataFrame, dims: int, norm2: float, subtree: int, fanout: int) -> tuple[DataFrame, DataFrame, int]:
+    """The leaves' vectors ``(node, vec_id, v, copies)``, the nodes ``(node, parent, router, radius, parent_far, leaf)`` and the number of levels."""
+    now = rows.withColumn("node", F.lit(0).cast("long"))
+    sizes = now.groupBy("node").agg(F.count("*").alias("n"))
+    leaves, nodes, levels, above = [], [], 0, None
+    while True:
+        sizes = stash(sizes, "mtree-sizes")
+        crowded = sizes.where(F.col("n") > subtree)
+        if crowded.isEmpty():
+            leaves.append(now.select("node", "vec_id", "v", "copies"))
+            break
+        leaves.append(now.join(crowded, "node", "left_anti").select("node", "vec_id", "v", "copies"))
+        full = now.join(crowded, "node")
+        # a node needs no more routing objects than twice its leaves
+        place = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("vec_id", F.lit(levels)), "vec_id"))
+        wanted = F.least(F.lit(fanout), F.greatest(F.lit(2), F.ceil(2 * F.col("n") / subtree)))
+        some = full.withColumn("_k", place).where((F.col("_k") <= fanout) & (F.col("_k") <= wanted))
+        routers = stash(some.groupBy("node").agg(F.array_sort(F.array_distinct(F.collect_list("v"))).alias("routers")), "mtree-routers")
+        now = stash(_split(full.select("node", "vec_id", "v", "copies"), routers, dims, norm2), "mtree-level")
+        sizes = now.groupBy("node").agg(F.count("*").alias("n"), F.max("far").alias("radius"))
+        sizes = stash(sizes, "mtree-radii")
+        child = routers.select(F.col("node").alias("parent"), F.posexplode("routers").alias("no", "router")).withColumn("node", F.col("parent") * FANOUT + F.col("no") + 1)
+        level = child.join(sizes, "node").select("node", "parent", "router", "radius", (F.col("n") <= subtree).alias("leaf"))
+        if above is None:
+            level = level.withColumn("parent_far", F.lit(None).cast("double"))
+        else:
+            over = above.select(F.col("node").alias("parent"), F.col("router").alias("parent_router"))
+            level = level.join(over, "parent").withColumn("parent_far", _lifted_distance("router", "parent_router", norm2)).drop("parent_router")
+        above = stash(level, "mtree-nodes")
+        nodes.append(above)
+        sizes, levels = sizes.select("node", "n"), levels + 1
+    union = lambda x: reduce(DataFrame.unionByName, x)
+    return union(leaves), union(nodes) if nodes else None, levels
+
+
+def _below(frontier: DataFrame, nodes: DataFrame, norm2: float) -> DataFrame:
+    """The children of the frontier's nodes with the query's distance ``d`` and least possible distance ``low``."""
+    children = nodes.select(F.col("node").alias("child"), F.col("parent").alias("node"), "router", "radius", "parent_far", "leaf")
+    rows = frontier.join(children, "node")
+    if "reach" in frontier.columns:  # no distance is taken where the stored one rules the child out
+        rows = rows.where(F.col("d").isNull() | F.col("parent_far").isNull() | (F.abs(F.col("d") - F.col("parent_far")) - F.col("radius") <= F.col("reach")))
+    d = F.sqrt(F.greatest(F.col("q2") + norm2 - 2.0 * _dot("v", "router"), F.lit(0.0)))
+    return rows.withColumn("d", d).withColumn("low", F.greatest(F.col("d") - F.col("radius"), F.lit(0.0))).drop("node", "router", "radius", "parent_far").withColumnRenamed("child", "node")
+
+
+def nearest_leaf(queries: DataFrame, nodes: DataFrame, levels: int, norm2: float) -> DataFrame:
+    """``(vec_id, v, q2, node)``: the leaf that a query reaches by its nearest routing object on every level."""
+    now, done = queries.withColumn("node", F.lit(0).cast("long")), []
+    for _ in range(levels):
+        step = _below(now, nodes, norm2)
+        best = F.row_number().over(Window.partitionBy("vec_id", "v").orderBy("d", "node"))
+        step = stash(step.withColumn("_rn", best).where("_rn = 1").select("vec_id", "v", "q2", "node", "leaf"), "mtree-descent")
+        done.append(step.where("leaf").drop("leaf"))
+        now = step.where("NOT leaf").drop("leaf")
+    return reduce(DataFrame.unionByName, done)
+
+
+def within_reach(queries: DataFrame, nodes: DataFrame, levels: int, norm2: float) -> DataFrame:
+    """``(vec_id, v, q2, reach, node)``: the leaves whose covering ball a query's ``reach`` meets."""
+    now, done = queries.withColumns({"node": F.lit(0).cast("long"), "d": F.lit(None).cast("double")}), []
+    for _ in range(levels):
+        step = stash(_below(now, nodes, norm2).where("low <= reach").select("vec_id", "v", "q2", "reach", "node", "d", "leaf"), "mtree-frontier")
+        done.append(step.where("leaf").drop("leaf", "d"))
+        now = step.where("NOT leaf").drop("leaf")
+    return reduce(DataFrame.unionByName, done)
+
+
+# A leaf: inner nodes and pages in one task
+
+
+class Node:
+    """A routing object with its covering radius; either entries with their distances to it, or children with theirs."""
+
+    __slots__ = ("router", "radius", "far", "children", "at", "parent")
+
+    def __init__(self, lifted: np.ndarray, at: np.ndarray, over: np.ndarray | None):
         x = lifted[at]
+        self.router = x[((x - x.mean(0)) ** 2).sum(1).argmin()]
+        away = np.sqrt(((x - self.router) ** 2).sum(1))
+        self.radius, self.at, self.far, self.children = float(away.max()), at, away, []
+        self.parent = float(np.sqrt(((self.router - over) ** 2).sum())) if over is not None else 0.0
         if len(at) > PAGE:
-            a = int(((x - x[0]) ** 2).sum(1).argmax())
+            a = int(away.argmax())
             da = ((x - x[a]) ** 2).sum(1)
             b = int(da.argmax())
             near = da < ((x - x[b]) ** 2).sum(1)
-            if 0 < near.sum() < len(at):
-                todo += [at[near], at[~near]]
-            else:  # all alike: any split will do
-                todo += [at[: len(at) // 2], at[len(at) // 2 :]]
-            continue
-        centre = x.mean(0)
-        pages.append(Page(ids[at], vectors[at], x, x[((x - centre) ** 2).sum(1).argmin()]))
-    return pages
-
-
-def search(pages: list[Page], qid: int, query: np.ndarray, norm2: float, k: int) -> list[tuple[int, int]]:
-    """The k best ``(score, -id)`` of a subtree for a query, best first."""
-    q = np.append(query.astype(np.float64), 0.0)
-    q2 = float(q @ q)
-    routers = np.stack([p.router for p in pages])
-    away = np.sqrt(((routers - q) ** 2).sum(1))
-    slack = 1e-6 * (1 + np.sqrt(q2 + norm2))  # rounding must never rule out a vector
-    least = np.maximum(away - np.array([p.radius for p in pages]) - slack, 0)
-    best: list[tuple[int, int]] = []
-    for i in np.argsort(least, kind="stable"):
-        reach = np.inf
-        if len(best) == k:
-            reach = np.sqrt(max(q2 + norm2 - 2.0 * best[0][0], 0)) + slack
-            if least[i] > reach:
+            if not 0 < near.sum() < len(at):  # all alike: any split will do
+                near = np.arange(len(at)) < len(at) // 2
+            self.children = [Node(lifted, at[near], self.router), Node(lifted, at[~near], self.router)]
+
+
+class Tree:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, norm2: float):
+        self.ids, self.vectors, self.copies, self.norm2 = ids, vectors, copies, norm2
+        self.root = Node(lift(vectors, norm2), np.arange(len(ids)), None)
+
+    def search(self, qid: int, query: np.ndarray, k: int, reach: float) -> list[tuple[int, int]]:
+        """The k best ``(score, -id)`` for a query among those within its reach, best first."""
+        q = np.append(query.astype(np.float64), 0.0)
+        top = float(q @ q) + self.norm2
+        slack = 1e-6 * (1 + np.sqrt(top))  # rounding must never rule out a vector
+        away = float(np.sqrt(((self.root.router - q) ** 2).sum()))
+        heap, no, best = [(max(away - self.root.radius, 0), 0, away, self.root)], 0, []
+        while heap:
+            low, _, d, node = heapq.heappop(heap)
+            if low > reach + slack:
                 break
-        page = pages[i]
-        at = np.flatnonzero((np.abs(away[i] - page.parent) <= reach + slack) & (page.ids != qid))
-        for s, v in zip((page.vectors[at] @ query).tolist(), page.ids[at].tolist()):
-            if len(best) < k:
-                heapq.heappush(best, (s, -v))
-            elif (s, -v) > best[0]:
-                heapq.heapreplace(best, (s, -v))
-    return sorted(best, reverse=True)
+            for child in node.children:
+                if abs(d - child.parent) - child.radius > reach + slack:
+                    continue
+                away = float(np.sqrt(((child.router - q) ** 2).sum()))
+                no += 1
+                heapq.heappush(heap, (max(away - child.radius, 0), no, away, child))
+            if node.children:
+                continue
+            at = node.at[np.abs(d - node.far) <= reach + slack]
+            at = at[self.ids[at] != qid]
+            for s, i in zip((self.vectors[at] @ query).tolist(), at.tolist()):
+                for _ in range(int(self.copies[i])):
+                    entry = (s, -int(self.ids[i]))
+                    if len(best) < k:
+                        heapq.heappush(best, entry)
+                    elif entry > best[0]:
+                        heapq.heapreplace(best, entry)
+            if len(best) == k:
+                reach = min(reach, np.sqrt(max(top - 2.0 * best[0][0], 0)) + slack)
+        return sorted(best, reverse=True)
 
 
-def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, subtree: int = SUBTREE, pivots: int = PIVOTS) -> DataFrame:
-    """``(query_id, rank, vec_id, score)`` for the rows whose id is divisible by ``every``."""
-    spark = vectors.sparkSession
-    rows = stash(integers(vectors), "mtree-vectors")
-    square = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)
-    dims, norm2 = rows.agg(F.max(F.size("v")), F.max(square)).first()
-    if dims is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    dims, norm2 = max(1, int(dims)), float(norm2)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("v").toArrow().column("v").combine_chunks()
-    routers = lift(_matrix(sample, dims), norm2)
+def searched(leaves: DataFrame, asked: DataFrame, dims: int, norm2: float, k: int) -> DataFrame:
+    """``(query_id, vec_id, score)``: the k best of each leaf for the queries ``asked(vec_id, v, reach, node)`` of it."""
+    kept = leaves.join(asked.select("node").distinct(), "node", "left_semi").select("node", F.lit(0).alias("kind"), "vec_id", "v", "copies", F.lit(0.0).alias("reach"))
+    both = kept.unionByName(asked.select("node", F.lit(1).alias("kind"), "vec_id", "v", F.lit(0).alias("copies"), "reach"))
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = lift(_matrix(batch.column("v"), dims), norm2)
-            # the nearest routing object; all lifted vectors have one norm
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array((x @ routers.T).argmax(1).astype(np.int32))], names=["vec_id", "v", "cell"])
-
-    placed = stash(rows.mapInArrow(assign, "vec_id long, v array<long>, cell int"), "mtree-placed")
-    many = {r.cell: r.n for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # a number for each routing object
-    # neighbouring small cells share a subtree, a crowded one has several
-    trees, first, room, last = {}, 0, 0, None
-    order = [int(i) for i in np.argsort(((routers - routers[0]) ** 2).sum(1)) if int(i) in many]
-    for cell in order:
-        if many[cell] > subtree:
-            trees[cell] = (first, -(-many[cell] // subtree))
-            first, room = first + trees[cell][1], 0
-        else:
-            if many[cell] > room:
-                last, room, first = first, subtree, first + 1
-            trees[cell] = (last, 1)
-            room -= many[cell]
-    table = F.create_map(*[F.lit(x) for cell, (a, n) in trees.items() for x in (cell, F.struct(F.lit(a).alias("a"), F.lit(n).alias("n")))])
-    spot = table[F.col("cell")]
-    dealt = placed.select("vec_id", "v", (spot["a"] + F.pmod(F.xxhash64("vec_id"), spot["n"]).cast("int")).alias("tree"), F.lit(0).alias("kind"))
-    queries = rows.where(F.col("vec_id") % every == 0)
-    n_blocks = max(1, -(-queries.count() // BLOCK))
-    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_blocks)).cast("int") + 1
-    asked = queries.select("vec_id", "v", F.explode(F.sequence(F.lit(0), F.lit(first - 1))).alias("tree"), block.alias("kind"))
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, got, pages = None, [], None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, got, tree = None, [], None
         for batch in batches:
-            trees_, kinds = batch.column("tree").to_numpy(), batch.column("kind").to_numpy()
-            cuts = np.flatnonzero(np.concatenate(([True], (trees_[1:] != trees_[:-1]) | ((kinds[1:] == 0) != (kinds[:-1] == 0)), [True])))
+            nodes, kinds = batch.column("node").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], (nodes[1:] != nodes[:-1]) | (kinds[1:] != kinds[:-1]), [True])))
             for a, b in zip(cuts[:-1], cuts[1:]):
-                ids, x = batch.column("vec_id").to_numpy()[a:b], _matrix(batch.column("v").slice(a, b - a), dims)
-                if trees_[a] != tree:
-                    tree, got, pages = trees_[a], [], None
+                part = batch.slice(a, b - a)
+                ids, x = part.column("vec_id").to_numpy(), _matrix(part.column("v"), dims)
+                if nodes[a] != node:
+                    node, got, tree = nodes[a], [], None
                 if kinds[a] == 0:
-                    got.append((ids, x))
+                    got.append((ids, x, part.column("copies").to_numpy()))
                     continue
-                if pages is None:
-                    pages = build(*(np.concatenate(y) for y in zip(*got)), norm2) if got else []
-                    got = []
-                out = [(int(q), -v, s) for q, y in zip(ids, x) for s, v in (search(pages, int(q), y, norm2, k) if pages else [])]
+                if tree is None:
+                    tree, got = Tree(*(np.concatenate(y) for y in zip(*got)), norm2), []
+                out = [(int(q), -v, s) for q, y, r in zip(ids, x, part.column("reach").to_numpy()) for s, v in tree.search(int(q), y, k, float(r))]
                 if out:
                     q, v, s = zip(*out)
                     yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
 
-    both = dealt.unionByName(asked).repartition(max(1, first), "tree").sortWithinPartitions("tree", "kind", "vec_id")
-    found = both.mapInArrow(answer, "query_id long, vec_id long, score long")
+    laid = both.repartition(partitions(leaves.sparkSession), "node").sortWithinPartitions("node", "kind", "vec_id")
+    return laid.mapInArrow(run, "query_id long, vec_id long, score long")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, subtree: int = SUBTREE, fanout: int = FANOUT) -> DataFrame:
+    """``(query_id, rank, vec_id, score)`` for the rows whose id is divisible by ``every``."""
+    spark = vectors.sparkSession
+    rows = stash(integers(vectors), "mtree-vectors")
+    dims, norm2 = rows.agg(F.max(F.size("v")), F.max(_dot("v", "v"))).first()
+    if dims is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    dims, norm2 = max(1, int(dims)), float(norm2)
+    leaves, nodes, levels = grow(stash(candidates(rows, k), "mtree-candidates"), dims, norm2, subtree, fanout)
+    queries = stash(rows.where(F.col("vec_id") % every == 0).distinct().withColumn("q2", _dot("v", "v")), "mtree-queries")
+    endless = F.lit(float("inf"))
+    if not levels:
+        return _ranked(searched(leaves, queries.select("vec_id", "v", endless.alias("reach"), F.lit(0).cast("long").alias("node")), dims, norm2, k), k)
+    first = nearest_leaf(queries, nodes, levels, norm2)
+    begun = stash(_ranked(searched(leaves, first.withColumn("reach", endless), dims, norm2, k), k), "mtree-first")
+    worst = begun.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("worst"))
+    slack = 1e-6 * (1 + F.sqrt(F.col("q2") + norm2))
+    reach = F.when(F.col("worst").isNull(), endless).otherwise(F.sqrt(F.greatest(F.col("q2") + norm2 - 2.0 * F.col("worst"), F.lit(0.0))) + slack)
+    known = queries.join(worst, "vec_id", "left").withColumn("reach", reach).drop("worst")
+    rest = within_reach(known, nodes, levels, norm2).join(first.select("vec_id", "v", "node"), ["vec_id", "v", "node"], "left_anti")
+    return _ranked(begun.select("query_id", "vec_id", "score").unionByName(searched(leaves, rest, dims, norm2, k)), k)
