@@ -3,18 +3,23 @@
 A candidate is a run of at least 20 token characters, or any value of at least
 8 characters that is assigned to a credential's name (``password = "..."``); a
 quoted value may hold spaces. Its features are its length, its shares of character classes and the transitions between them, its
-entropy, how much of it a dictionary of word parts covers, path-like
+entropy, how much of it the corpus's own frequent words cover, path-like
 surroundings, and the words beside it. The forest is trained on labelled
-findings; ``weak_labels`` gives those where none are at hand: assignments of a
-quoted random string to a credential's name are secrets; runs of letters alone,
-unquoted single words and digests after a word such as ``commit`` are not, the
-rest stays unlabelled.
+findings: ``labelled`` holds findings (the columns of ``findings``) and a
+``label``, 1.0 for a secret and 0.0 for none. ``weak_labels`` gives them where
+no labels are at hand: assignments of a quoted random string to a credential's
+name are secrets; runs of letters alone, unquoted single words and digests
+after a word such as ``commit`` are not, the rest stays unlabelled. A forest
+trained on those can only carry the rules over to findings that they leave
+open; ``measure`` tells how well, on findings whose strings it has not seen.
 
 The forest sees at most ``TRAIN`` labelled findings of each class, those with
 the least hashes; every finding is scored. Null and empty texts have no
 candidates. A null doc_id and repeated rows are scanned like others. Where the
 labelled findings lack a class, no forest can be fitted and the rules decide:
 sure secrets are reported, and so are unquoted assignments of a long random run.
+Findings that tie with ``LEAST_PROBABILITY`` count as secrets. Of words that are
+equally frequent those first by code point enter the dictionary.
 """
 
 from __future__ import annotations
@@ -32,8 +37,8 @@ ASSIGNMENT = rf"(?<![\w.+/=-])(?:[\w.-]{{0,64}}?|[A-Za-z0-9+/_.=-]{{0,19}}?)(?i:
 VALUE = r"(?:(?<=\")[^\"\r\n]{8,200}(?=\")|(?<=')[^'\r\n]{8,200}(?=')|(?<=`)[^`\r\n]{8,200}(?=`)|[^\s\"'`]{8,}?(?=[.,;:)\]}>]*(?:&[\w.-]+=|[\s\"'`]|\z)))"
 CANDIDATE = f"({ASSIGNMENT})({VALUE})|({RUN})"
 TRAIN, TREES, DEPTH, LEAST_PROBABILITY, MASK = 10_000, 40, 8, 0.5, "[SECRET]"
-#: Frequent parts of words; a parameter of ``findings``.
-DICTIONARY = ("tion", "ing", "the", "and", "ent", "ion", "ver", "ich", "sch", "ung", "heit", "keit", "lich", "eau", "elle", "ment", "aux", "que", "ción", "ado", "mente", "est", "er", "en", "on", "an", "re", "in", "es", "or", "st", "ou", "de", "le", "la")
+#: Words of the dictionary, and the letters they have.
+WORDS, LETTERS = 2000, "[a-z]{4,12}"
 CREDENTIAL = rf"(?i)({_NAMES})"
 DIGEST = r"(?i)(commit|revision|sha\d*|md5|checksum|digest|etag|hash)\W*$"
 FEATURES = ("f_length", "f_digit", "f_upper", "f_lower", "f_symbol", "f_turns", "f_distinct", "f_entropy", "f_vowel", "f_words", "f_slashes", "f_path", "f_example", "f_credential", "f_digest", "f_assigned", "f_quoted", "f_alone")
@@ -53,7 +58,7 @@ def _measured(c: Column, left: Column, right: Column, source: Column, dictionary
         "f_distinct": F.size(F.array_distinct(chars)) / n,
         "f_entropy": entropy,
         "f_vowel": share("[aeiouAEIOU]"),
-        "f_words": 1 - F.length(F.regexp_replace(F.lower(c), "|".join(sorted(dictionary, key=len, reverse=True)), "")) / n,
+        "f_words": 1 - F.length(F.regexp_replace(F.lower(c), "|".join(sorted(dictionary, key=lambda w: (-len(w), w))) or r"(?!)", "")) / n,
         "f_slashes": share("/"),
         "f_path": as_double(left.rlike(r"(?i)(https?:|www\.|[\w.-]+[/\\])\S*$")),
         "f_example": as_double(F.coalesce(source, F.lit("")).rlike("(?i)(test|example|sample|fixture|mock)")),
@@ -65,8 +70,15 @@ def _measured(c: Column, left: Column, right: Column, source: Column, dictionary
     }
 
 
-def findings(docs: DataFrame, dictionary: tuple[str, ...] = DICTIONARY) -> DataFrame:
-    """Every candidate: doc_id, source, number in its text, start (characters), the candidate, its sides and features."""
+def dictionary(docs: DataFrame, most: int = WORDS) -> tuple[str, ...]:
+    """The ``most`` most frequent words of all texts: as many strings reach the driver."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(rf"(?<![a-z]){LETTERS}(?![a-z])"), F.lit(0))).alias("w"))
+    top = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(most)
+    return tuple(r["w"] for r in top.collect())
+
+
+def findings(docs: DataFrame, words: tuple[str, ...] = ()) -> DataFrame:
+    """Every candidate: doc_id, source, number in its text, start (characters), the candidate, its sides and features by the dictionary ``words``."""
     text = F.coalesce("text", F.lit(""))
     cut = docs.select("doc_id", "source", F.xxhash64(text).alias("text_hash"), text.alias("_t")).where(F.col("_t").rlike(CANDIDATE))
     all_of = lambda k: F.regexp_extract_all("_t", F.lit(CANDIDATE), F.lit(k))
@@ -80,7 +92,7 @@ def findings(docs: DataFrame, dictionary: tuple[str, ...] = DICTIONARY) -> DataF
     w = Window.partitionBy("_row").orderBy("no")
     start = F.sum(F.col("gap") + F.length("candidate")).over(w) - F.length("candidate")
     rows = rows.withColumn("start", start).drop("gap", "_row")
-    return rows.withColumns(_measured(F.col("candidate"), F.col("left"), F.col("right"), F.col("source"), dictionary))
+    return rows.withColumns(_measured(F.col("candidate"), F.col("left"), F.col("right"), F.col("source"), words))
 
 
 def _random_assigned() -> Column:
@@ -126,9 +138,19 @@ def score(found: DataFrame, model) -> DataFrame:
     return out.withColumn("is_secret", F.col("probability") >= LEAST_PROBABILITY).drop("features", "rawPrediction", "prediction")
 
 
+def measure(labelled: DataFrame, every: int = 5) -> dict[str, float]:
+    """Precision and recall over every ``every``-th labelled string, by a forest that was trained on the others."""
+    aside = F.pmod(F.xxhash64("candidate"), F.lit(every)) == 0
+    scored = score(labelled.where(aside), train(labelled.where(~aside)))
+    n, hit, said, true = scored.agg(
+        F.count("*"), F.count_if(F.col("is_secret") & (F.col("label") == 1)), F.count_if("is_secret"), F.count_if(F.col("label") == 1)
+    ).first()
+    return {"n": n, "precision": hit / said if said else 1.0, "recall": hit / true if true else 1.0}
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """All findings of ``docs(doc_id, text, source)``, scored."""
-    found = stash(findings(docs), "secrets-findings")
+    found = stash(findings(docs, dictionary(docs)), "secrets-findings")
     return score(found, train(weak_labels(found) if labelled is None else labelled))
 
 

@@ -50,3 +50,51 @@ def test_near_copies_leave_one_document(spark, tables):
     assert top(low + 1) == low  # 0.81 on five words, 0.886 on three
     got = corpus_pipeline.jaccard_join(spark, table(spark, texts), tables)
     assert sorted(r["doc_id"] for r in got.select("doc_id").collect()) == [i for i in ids if top(i) == i]
+
+
+def test_stages_keep_columns_whatever_their_names(spark, tables):
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(500)]
+    rows = []
+    for k in range(60):
+        text = " ".join(rng.choice(words) for _ in range(80))
+        rows.append((k, text, "en", f"h{k % 4}", len(text), k, k, k, k, k, k))
+    rows += [rows[3], rows[3], (None, rows[0][1] + " more words", "en", None, 5, -1, -1, -1, -1, -1, -1), (99, None, None, None, None, -2, -2, -2, -2, -2, -2), (98, "", "en", "h1", 0, -3, -3, -3, -3, -3, -3)]
+    docs = spark.createDataFrame(rows, COLUMNS + ", _id int, _hash int, _copy int, _copies int, _n_words int, node int")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, tables)
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        for r in out.collect():
+            assert r["_id"] == r["_hash"] == r["_copy"] == r["_copies"] == r["_n_words"] == r["node"], name
+    kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, tables).collect()}
+    assert kept == {None, *range(60)}
+    assert corpus_pipeline.byte_bpe(spark, docs, tables).count() == len(rows)
+
+
+def test_run_on_plain_documents_and_on_none(spark, tmp_path):
+    """The chain against what it must do to a small table: short texts go, one of each copy stays, keys are masked, copies follow the mix."""
+    import hashlib
+    from collections import Counter
+
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(2000)]
+    texts = {k: " ".join(rng.choice(words) for _ in range(100)) for k in range(40)}
+    texts |= {40: texts[1], 41: texts[2] + " w1", 42: "too short", 43: None, 44: texts[5] + f' token = "{hashlib.sha256(b"x").hexdigest()}" ' + texts[6]}
+    rows = [(k, t, "en", f"h{k % 3}", None if t is None else len(t)) for k, t in texts.items()]
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{tmp_path}/full/documents.parquet")
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    got = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
+    kept = {k for k in texts if k not in (40, 41, 42, 43)}
+    masked = re.sub('"[0-9a-f]{64}"', '"[SECRET]"', texts[44])
+    want = {k: hashlib.sha256((masked if k == 44 else texts[k]).encode()).hexdigest() for k in kept}
+    assert {(r["doc_id"], r["decoded_sha256"]) for r in got} <= set(want.items())
+    sizes = {k: len(WORD.findall(masked if k == 44 else texts[k])) for k in kept}
+    total, taken, times = Counter(), Counter(), Counter(r["doc_id"] for r in got)
+    for k in kept:
+        total[k % 3] += sizes[k]
+        taken[k % 3] += sizes[k] * times[k]
+    assert max(times.values()) <= 2
+    assert abs(sum(taken.values()) - 1.5 * sum(total.values())) <= max(sizes.values())
+    assert all(taken[h] <= 2 * total[h] for h in total)
+    assert taken[0] == 2 * total[0]  # weighs most: its target is all it has, twice

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-import random
+import re
 
 import corpus_pipeline
 from tapeloom.llm import queries as Q
@@ -72,3 +72,44 @@ def test_candidates_and_their_places(spark):
         got = [r for r in rows if r["doc_id"] == i]
         assert [r["candidate"] for r in got] == want, text
         assert all(text[r["start"] : r["start"] + len(r["candidate"])] == r["candidate"] for r in got)
+
+
+def test_candidates_and_places_equal_a_plain_version(spark, tables):
+    pattern = re.compile(secrets.CANDIDATE.replace(r"\z", r"\Z"), re.ASCII)
+    docs = spark.read.parquet(f"{tables.replace('0.001', '0.01')}/documents.parquet")
+    got = {(r["doc_id"], r["no"]): (r["start"], r["candidate"]) for r in secrets.findings(docs).select("doc_id", "no", "start", "candidate").collect()}
+    want = {}
+    for r in docs.select("doc_id", "text").collect():
+        for no, m in enumerate(pattern.finditer(r["text"] or "")):
+            k = 3 if m.group(3) else 2
+            want[r["doc_id"], no] = (m.start(k), m.group(k))
+    assert len(want) > 10 and got == want
+
+
+def test_the_dictionary_is_the_corpus_own(spark):
+    docs = table(spark, ["alpha beta Beta gamma abc", "beta gamma delta, delta", None, ""])
+    assert secrets.dictionary(docs, 3) == ("beta", "delta", "gamma")
+    assert secrets.dictionary(docs.where("false")) == ()
+
+
+def test_held_out_strings_of_given_labels(spark):
+    """Labels that the rules would not give: keys with a prefix, in plain sentences, among words and identifiers."""
+    lines, label = [], {}
+    for k in range(300):
+        for value, of in ((f"sk_live_{key(k, 24)}", 1.0), (f"{'internationalisation' * 2}{chr(97 + k % 26) * (k // 26 + 1)}", 0.0)):
+            lines.append(f"the value {value} was seen here")
+            label[value] = of
+    found = secrets.findings(table(spark, lines), ("international", "isation", "value"))
+    labels = spark.createDataFrame(list(label.items()), "candidate string, label double")
+    got = secrets.measure(found.join(labels, "candidate"))
+    assert got["n"] > 60 and got["precision"] > 0.95 and got["recall"] > 0.95
+
+
+def test_redact_keeps_columns_whatever_their_names(spark):
+    rows = [(0, f'token = "{key(1)}"', "en", "s", 5, 1, "a", "b"), (0, f'token = "{key(1)}"', "en", "s", 5, 1, "a", "b"), (None, None, None, None, None, 2, "c", "d"), (None, f'password = "{key(2)}"', "en", None, 9, 3, "e", "f")]
+    docs = spark.createDataFrame(rows, COLUMNS + ", _id long, _hash string, _secrets string")
+    out = secrets.redact(docs)
+    assert out.schema == docs.schema
+    got = sorted((r["_id"], r["text"], r["n_chars"], r["_hash"]) for r in out.collect())
+    one = f'token = "{secrets.MASK}"'
+    assert got == [(1, one, len(one), "a")] * 2 + [(2, None, None, "c"), (3, f'password = "{secrets.MASK}"', len(f'password = "{secrets.MASK}"'), "e")]
