@@ -39,7 +39,8 @@ def tolerant(spark: SparkSession, path: str, columns: dict[str, str], keys: list
     not cast, or is missing in a file, is null. Rows that lack a key are dropped.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] + [T.StructField("_corrupt_record", T.StringType())])
-    lines = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    raw = spark.read.text(path).where(F.btrim("value") != "")
+    lines = raw.select(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")).select("r.*")
     ok = lines.where("_corrupt_record IS NULL").select(*(F.col(c).try_cast(t).alias(c) for c, t in columns.items()))
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return ok.where(whole), lines.where("_corrupt_record IS NOT NULL").select("_corrupt_record")
