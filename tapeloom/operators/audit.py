@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .merge import utc_date
@@ -72,7 +72,7 @@ def freshness(probes: dict[str, DataFrame], as_of: str) -> DataFrame:
     now = F.lit(as_of).cast("timestamp")
     rows = _stack([df.agg(F.max("timestamp").alias("t")).select(F.lit(n).alias("probe"), "t") for n, df in probes.items()])
     age = (F.unix_millis(now) - F.col("t")) / 3_600_000.0
-    return rows.select("probe", age.alias("age_hours"), allowed_hours(now).alias("threshold"), (age <= allowed_hours(now)).alias("fresh"))
+    return rows.select("probe", age.alias("age_hours"), allowed_hours(now).alias("threshold"), F.coalesce(age <= allowed_hours(now), F.lit(False)).alias("fresh"))  # no data is not fresh
 
 
 def probe(view: DataFrame, ticker: str) -> DataFrame:
@@ -99,3 +99,52 @@ def factor_gates(universe: DataFrame, scores: DataFrame, ideas: DataFrame, least
 def latest_runs(runs: DataFrame, most: int = 3) -> DataFrame:
     """The last runs by date."""
     return runs.orderBy(F.desc("as_of_date")).limit(most)
+
+
+ISSUE = "issue string, table_name string, value double, threshold double"
+
+
+def missing_tables(spark: SparkSession, required: list[str], present: list[str]) -> DataFrame:
+    """An issue for each required table that is not there."""
+    return spark.createDataFrame([("missing table", t, 0.0, 1.0) for t in required if t not in present], ISSUE)
+
+
+def _issue(rows: DataFrame, issue: str, table: Column, value: Column, threshold: Column) -> DataFrame:
+    return rows.select(F.lit(issue).alias("issue"), table.alias("table_name"), value.cast("double").alias("value"), threshold.cast("double").alias("threshold"))
+
+
+def behind(latest: DataFrame, table: str, source: str) -> DataFrame:
+    """An issue if a table ends before the one that it is made from: by how many days."""
+    ends = latest.agg(F.max(F.when(F.col("table_name") == table, F.col("latest_date"))).alias("a"), F.max(F.when(F.col("table_name") == source, F.col("latest_date"))).alias("b"))
+    return _issue(ends.where("a < b"), "behind its source", F.lit(table), F.date_diff("b", "a"), F.lit(0))
+
+
+def future_provisional(counted: DataFrame, table: str) -> DataFrame:
+    """An issue if bars without a transaction count are dated in the future, from ``provisional``'s row."""
+    return _issue(counted.where("provisional_future > 0"), "future provisional rows", F.lit(table), F.col("provisional_future"), F.lit(0))
+
+
+def short_runs(runs: DataFrame, universe: DataFrame, counts: list[str], share: float = 0.95) -> DataFrame:
+    """Issues of the last run: counts below ``share`` of the universe, and indicators that end before the prices."""
+    last = latest_runs(runs, 1)
+    total = universe.agg(F.floor(F.count_distinct("ticker") * share).alias("least"))
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("n")) for c in counts))).alias("x")
+    low = last.select(each).join(F.broadcast(total), F.lit(True)).where("x.n < least")  # one row
+    late = last.where("max_calc_indicator_date < max_price_date")
+    return _issue(low, "run below the universe", F.col("x.name"), F.col("x.n"), F.col("least")).unionByName(_issue(late, "run behind its prices", F.lit("max_calc_indicator_date"), F.date_diff("max_price_date", "max_calc_indicator_date"), F.lit(0)))
+
+
+def strict(*parts: DataFrame) -> DataFrame:
+    """All issues; a job that must not go on with any fails if there is a row."""
+    return _stack(list(parts))
+
+
+def view_probes(indicator_views: dict[str, tuple[DataFrame, str]], summary_views: dict[str, DataFrame]) -> DataFrame:
+    """A bounded look at each view: the newest row of one ticker, or whether there is any row."""
+    newest = [probe(view, t).select(F.lit(n).alias("view_name"), "ticker", "close", "sma_20", "sma_50", "sma_200", F.lit(True).alias("has_row")) for n, (view, t) in indicator_views.items()]
+    any_ = [view.limit(1).agg((F.count("*") > 0).alias("has_row")).select(F.lit(n).alias("view_name"), "has_row") for n, view in summary_views.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), newest + any_)
+
+
+def spike_count(view: DataFrame, ticker: str) -> DataFrame:
+    return view.where((F.col("ticker") == ticker) & F.col("volume_spike")).agg(F.count("*").alias("spikes")).select(F.lit(ticker).alias("ticker"), "spikes")

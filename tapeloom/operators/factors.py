@@ -295,3 +295,8 @@ def distribution(produced: DataFrame) -> DataFrame:
     baskets = produced.groupBy(F.col("production_factor_basket").alias("name")).agg(F.count("*").alias("n"), mean("production_factor_score", "avg_score", 2), mean("ret_1m_pct", "avg_1m", 2), mean("ret_3m_pct", "avg_3m", 2), mean("rsi_14", "avg_rsi", 1))
     themes = produced.groupBy(F.coalesce("production_theme", F.lit("No Clean Theme")).alias("name")).agg(F.count("*").alias("n"))
     return baskets.withColumn("report", F.lit("basket")).unionByName(themes.withColumn("report", F.lit("theme")), allowMissingColumns=True)
+
+
+def change_counts(changed: DataFrame) -> DataFrame:
+    """How many constituents changed in each way."""
+    return changed.where("change_type <> 'UNCHANGED'").groupBy("change_type").agg(F.count("*").alias("n"))

@@ -164,3 +164,27 @@ def snapshot_indicators(bars: DataFrame, lookback: int = 260, least: int = 20) -
     rows = latest_only(bars, "daily", lookback, least)
     atr_pct = F.col("atr_14") / F.nullif("close", F.lit(0.0)) * 100.0
     return rows.select("ticker", "timestamp", F.col("rsi_14").alias("calc_rsi_14"), F.col("atr_14").alias("calc_atr_14"), atr_pct.alias("calc_atr_pct"), F.col("ema_20").alias("calc_ema_20"))
+
+
+def of_tickers(bars: DataFrame, tickers: DataFrame) -> DataFrame:
+    """The bars of a list of tickers; Spark broadcasts the list if it is small."""
+    return bars.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
+
+
+def fan_out(daily: DataFrame, hourly: DataFrame, least: int = 200) -> DataFrame:
+    """``backfill`` of the daily, 1-hour and 4-hour bars of tickers that have both grains."""
+    from .bars import four_hours
+
+    both = daily.select("ticker").distinct().join(hourly.select("ticker"), "ticker", "left_semi")
+    frames = {"daily": daily, "1h": hourly, "4h": four_hours(hourly)}
+    parts = [backfill(of_tickers(bars, both), name, least) for name, bars in frames.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def refresh(bars: DataFrame, stored: DataFrame, timeframe: str, lookback: int) -> DataFrame:
+    """The newest row of each stale ticker alone: daily with averages and spike, intraday with neither."""
+    due = of_tickers(bars, stale(bars, stored))
+    if timeframe == "daily":
+        return latest_daily(due, lookback)
+    none = {f"sma_{k}": F.lit(None).cast("double") for k in (20, 50, 200)}
+    return latest_only(due, timeframe, lookback).withColumns({**none, "volume_spike": F.lit(False)})

@@ -77,19 +77,19 @@ def ideas_summary(listed: DataFrame) -> DataFrame:
     )
 
 
-# The earlier variant: one combined z-score, regimes, divergence.
-REVERSION = [("rsi_14 < 50 AND d1 < -20 AND d3 < -15", "High Mean Reversion Potential"), ("rsi_14 < 60 AND d1 < -15 AND d3 < -10", "Moderate Mean Reversion Potential"), ("rsi_14 > 70 AND d1 > 20 AND d3 > 15", "Overextended - Short Risk"), ("true", "Neutral")]
-ASSESSMENT = [("production_factor_score > avg_score * 0.9 AND d1 < -10", "Strong Fundamentals, Weak Price"), ("production_factor_score < avg_score * 0.8 AND d1 < -15", "Weak Fundamentals & Price - Avoid"), ("production_factor_score > avg_score * 1.1 AND d1 < -5", "High Quality Relative Laggard"), ("true", "Mixed Fundamentals/Price")]
-DIVERGENCE = [("d1 < -15 AND d3 < -10 AND avg_1m > 10", "Severe Underperformance vs Strong Basket"), ("d1 < -10 AND d3 < -5 AND avg_3m > 15", "Moderate Underperformance vs Strong Basket"), ("d1 > 15 AND d3 > 10", "Outperforming Basket - Not Laggard"), ("true", "Normal Variation")]
-TREND = [("d1 < -10 AND d3 < -5", "Decelerating Underperformance"), ("d1 < -20 AND d3 > -5", "Recent Momentum Collapse"), ("d1 > -5 AND d3 < -15", "Recovery Attempt"), ("true", "Stable Underperformance")]
-VALUATION = [("price_vs_sma200_pct < avg_200 - 10 AND rsi_14 < avg_rsi", "Deep Value vs Basket"), ("price_vs_sma200_pct > avg_200 + 10 AND rsi_14 > avg_rsi", "Overvalued vs Basket"), ("true", "Fair Value vs Basket")]
+# The earlier variant: one combined z-score, regimes, divergence. Thresholds and labels of its ladders.
+REVERSION = [("rsi_14 < 50 AND ret_1m_deviation_pct < -20 AND ret_3m_deviation_pct < -15", "High Mean Reversion Potential"), ("rsi_14 < 60 AND ret_1m_deviation_pct < -15 AND ret_3m_deviation_pct < -10", "Moderate Mean Reversion Potential"), ("rsi_14 > 70 AND ret_1m_deviation_pct > 20 AND ret_3m_deviation_pct > 15", "Overextended - Short Risk"), ("true", "Neutral")]
+ASSESSMENT = [("production_factor_score > basket_avg_factor_score * 0.9 AND ret_1m_deviation_pct < -10", "Strong Fundamentals, Weak Price"), ("production_factor_score < basket_avg_factor_score * 0.8 AND ret_1m_deviation_pct < -15", "Weak Fundamentals & Price - Avoid"), ("production_factor_score > basket_avg_factor_score * 1.1 AND ret_1m_deviation_pct < -5", "High Quality Relative Laggard"), ("true", "Mixed Fundamentals/Price")]
+DIVERGENCE = [("ret_1m_deviation_pct < -15 AND ret_3m_deviation_pct < -10 AND basket_avg_ret_1m_pct > 10", "Severe Underperformance vs Strong Basket"), ("ret_1m_deviation_pct < -10 AND ret_3m_deviation_pct < -5 AND basket_avg_ret_3m_pct > 15", "Moderate Underperformance vs Strong Basket"), ("ret_1m_deviation_pct > 15 AND ret_3m_deviation_pct > 10", "Outperforming Basket - Not Laggard"), ("true", "Normal Variation")]
+TREND = [("ret_1m_deviation_pct < -10 AND ret_3m_deviation_pct < -5", "Decelerating Underperformance"), ("ret_1m_deviation_pct < -20 AND ret_3m_deviation_pct > -5", "Recent Momentum Collapse"), ("ret_1m_deviation_pct > -5 AND ret_3m_deviation_pct < -15", "Recovery Attempt"), ("true", "Stable Underperformance")]
+VALUATION = [("price_vs_sma200_pct < basket_avg_price_vs_sma200_pct - 10 AND rsi_14 < basket_avg_rsi_14", "Deep Value vs Basket"), ("price_vs_sma200_pct > basket_avg_price_vs_sma200_pct + 10 AND rsi_14 > basket_avg_rsi_14", "Overvalued vs Basket"), ("true", "Fair Value vs Basket")]
 RATIONALE = [
-    ("mean_reversion_regime = 'High Mean Reversion Potential' AND d1 < -20", "Mean Reversion: Severe Oversold with Positive Divergence"), ("mean_reversion_regime = 'Moderate Mean Reversion Potential' AND d1 < -15", "Mean Reversion: Technical Oversold vs Basket"),
-    ("relative_value_assessment = 'High Quality Relative Laggard' AND production_factor_score > 6.0", "Quality Value: Strong Fundamentals Lagging Basket Momentum"), ("relative_value_assessment = 'Strong Fundamentals, Weak Price' AND avg_1m > 10", "Relative Momentum: Basket Strength with Individual Weakness"),
-    ("momentum_trend = 'Recovery Attempt' AND d1 > -5 AND d3 < -10", "Momentum Inflection: Recent Strength in Persistent Weakness"), ("true", "Relative Value Basket Diversification"),
+    ("mean_reversion_regime = 'High Mean Reversion Potential' AND ret_1m_deviation_pct < -20", "Mean Reversion: Severe Oversold with Positive Divergence"), ("mean_reversion_regime = 'Moderate Mean Reversion Potential' AND ret_1m_deviation_pct < -15", "Mean Reversion: Technical Oversold vs Basket"),
+    ("relative_value_assessment = 'High Quality Relative Laggard' AND production_factor_score > 6.0", "Quality Value: Strong Fundamentals Lagging Basket Momentum"), ("relative_value_assessment = 'Strong Fundamentals, Weak Price' AND basket_avg_ret_1m_pct > 10", "Relative Momentum: Basket Strength with Individual Weakness"),
+    ("momentum_trend = 'Recovery Attempt' AND ret_1m_deviation_pct > -5 AND ret_3m_deviation_pct < -10", "Momentum Inflection: Recent Strength in Persistent Weakness"), ("true", "Relative Value Basket Diversification"),
 ]
-CATALYST = [("rsi_14 < 35 AND d1 < -20", "Catalyst: RSI Oversold Mean Reversion"), ("price_vs_sma200_pct < -20 AND d3 < -15", "Catalyst: Major Support Level Test"), ("d1 < -25 AND avg_1m > 15", "Catalyst: Relative Strength Reversal"), ("production_factor_score > 7.0 AND d1 < -10", "Catalyst: Fundamental Divergence Correction"), ("true", "Catalyst: Basket Momentum Normalization")]
-RISK = [("volatility_annual_polygon > 0.50", "High Volatility Risk"), ("market_cap < 1e10", "Market Cap Risk"), ("rsi_14 > 70", "Overbought Risk"), ("d3 < -25", "Deep Underperformance Risk"), ("true", "Moderate Risk")]
+CATALYST = [("rsi_14 < 35 AND ret_1m_deviation_pct < -20", "Catalyst: RSI Oversold Mean Reversion"), ("price_vs_sma200_pct < -20 AND ret_3m_deviation_pct < -15", "Catalyst: Major Support Level Test"), ("ret_1m_deviation_pct < -25 AND basket_avg_ret_1m_pct > 15", "Catalyst: Relative Strength Reversal"), ("production_factor_score > 7.0 AND ret_1m_deviation_pct < -10", "Catalyst: Fundamental Divergence Correction"), ("true", "Catalyst: Basket Momentum Normalization")]
+RISK = [("volatility_annual_polygon > 0.50", "High Volatility Risk"), ("market_cap < 1e10", "Market Cap Risk"), ("rsi_14 > 70", "Overbought Risk"), ("ret_3m_deviation_pct < -25", "Deep Underperformance Risk"), ("true", "Moderate Risk")]
 KEPT_DIVERGENCE = [x for _, x in DIVERGENCE[:2]]
 KEPT_REVERSION = [x for _, x in REVERSION[:2]]
 KEPT_ASSESSMENT = [ASSESSMENT[0][1], ASSESSMENT[2][1]]
@@ -98,19 +98,19 @@ KEPT_ASSESSMENT = [ASSESSMENT[0][1], ASSESSMENT[2][1]]
 def combined(produced: DataFrame) -> DataFrame:
     """Deviations from the basket's means, a combined score (least first), regimes, two ranks and a percentile."""
     by = produced.groupBy("production_factor_basket").agg(
-        F.count("*").alias("basket_count"), F.avg("production_factor_score").alias("avg_score"), F.avg("ret_1m_pct").alias("avg_1m"), F.avg("ret_3m_pct").alias("avg_3m"), F.avg("ret_ytd_pct").alias("avg_ytd"), F.avg("rsi_14").alias("avg_rsi"),
-        F.avg("price_vs_sma200_pct").alias("avg_200"), F.stddev_samp("ret_1m_pct").alias("s1"), F.stddev_samp("ret_3m_pct").alias("s3"), F.stddev_samp("rsi_14").alias("sr"),
+        F.count("*").alias("basket_count"), F.avg("production_factor_score").alias("basket_avg_factor_score"), F.avg("ret_1m_pct").alias("basket_avg_ret_1m_pct"), F.avg("ret_3m_pct").alias("basket_avg_ret_3m_pct"), F.avg("ret_ytd_pct").alias("basket_avg_ret_ytd_pct"), F.avg("rsi_14").alias("basket_avg_rsi_14"),
+        F.avg("price_vs_sma200_pct").alias("basket_avg_price_vs_sma200_pct"), F.stddev_samp("ret_1m_pct").alias("basket_std_ret_1m_pct"), F.stddev_samp("ret_3m_pct").alias("basket_std_ret_3m_pct"), F.stddev_samp("rsi_14").alias("basket_std_rsi_14"),
     )
     z = lambda d, s: F.when(F.col(s) > 0, F.col(d) / F.col(s)).otherwise(0.0)
     rows = produced.where("production_factor_basket IS NOT NULL").join(by, "production_factor_basket")
-    rows = rows.withColumns({"d1": F.expr("ret_1m_pct - avg_1m"), "d3": F.expr("ret_3m_pct - avg_3m"), "dy": F.expr("ret_ytd_pct - avg_ytd"), "dr": F.expr("rsi_14 - avg_rsi"), "df": F.expr("production_factor_score - avg_score")})
-    rows = rows.withColumns({"z1": z("d1", "s1"), "z3": z("d3", "s3"), "zr": z("dr", "sr")})
+    rows = rows.withColumns({"ret_1m_deviation_pct": F.expr("ret_1m_pct - basket_avg_ret_1m_pct"), "ret_3m_deviation_pct": F.expr("ret_3m_pct - basket_avg_ret_3m_pct"), "ret_ytd_deviation_pct": F.expr("ret_ytd_pct - basket_avg_ret_ytd_pct"), "rsi_deviation": F.expr("rsi_14 - basket_avg_rsi_14"), "factor_score_deviation": F.expr("production_factor_score - basket_avg_factor_score")})
+    rows = rows.withColumns({"ret_1m_z_score": z("ret_1m_deviation_pct", "basket_std_ret_1m_pct"), "ret_3m_z_score": z("ret_3m_deviation_pct", "basket_std_ret_3m_pct"), "rsi_z_score": z("rsi_deviation", "basket_std_rsi_14")})
     none = lambda c: F.coalesce(c, F.lit(0.0))
-    score = -1.0 * (0.30 * none(F.col("z1")) + 0.25 * none(F.col("z3")) + 0.20 * none(F.col("df")) + 0.15 * none(F.col("zr")) + 0.10 * none(F.col("dy") / F.nullif(F.abs("avg_ytd"), F.lit(0.0))))
+    score = -1.0 * (0.30 * none(F.col("ret_1m_z_score")) + 0.25 * none(F.col("ret_3m_z_score")) + 0.20 * none(F.col("factor_score_deviation")) + 0.15 * none(F.col("rsi_z_score")) + 0.10 * none(F.col("ret_ytd_deviation_pct") / F.nullif(F.abs("basket_avg_ret_ytd_pct"), F.lit(0.0))))
     rows = rows.withColumns({"combined_laggard_score": score, "mean_reversion_regime": ladder(REVERSION), "relative_value_assessment": ladder(ASSESSMENT), "momentum_divergence": ladder(DIVERGENCE), "momentum_trend": ladder(TREND), "valuation_vs_basket": ladder(VALUATION)})
     w = Window.partitionBy("production_factor_basket")
     return rows.withColumns({
-        "laggard_rank_in_basket": F.row_number().over(w.orderBy("combined_laggard_score", "d1", "d3", "ticker")), "worst_return_rank_in_basket": F.row_number().over(w.orderBy("d1", "d3", "ticker")),
+        "laggard_rank_in_basket": F.row_number().over(w.orderBy("combined_laggard_score", "ret_1m_deviation_pct", "ret_3m_deviation_pct", "ticker")), "worst_return_rank_in_basket": F.row_number().over(w.orderBy("ret_1m_deviation_pct", "ret_3m_deviation_pct", "ticker")),
         "laggard_percentile_in_basket": F.cume_dist().over(w.orderBy("combined_laggard_score")),
     })
 
@@ -125,6 +125,6 @@ def combined_summary(listed: DataFrame) -> DataFrame:
     """Per basket: counts, means, and the tickers, themes and rationales in rank order."""
     text = lambda c, sep: F.expr(f"listagg({c}, '{sep}') WITHIN GROUP (ORDER BY combined_laggard_score, ticker)")
     return listed.groupBy("production_factor_basket").agg(
-        F.count("*").alias("idea_count"), F.sum("market_cap").alias("aggregate_market_cap"), F.avg("production_factor_score").alias("avg_factor_score"), F.avg("d1").alias("avg_ret_1m_deviation"), F.avg("d3").alias("avg_ret_3m_deviation"),
+        F.count("*").alias("idea_count"), F.sum("market_cap").alias("aggregate_market_cap"), F.avg("production_factor_score").alias("avg_factor_score"), F.avg("ret_1m_deviation_pct").alias("avg_ret_1m_deviation"), F.avg("ret_3m_deviation_pct").alias("avg_ret_3m_deviation"),
         F.avg("rsi_14").alias("avg_rsi_14"), text("ticker", ", ").alias("tickers"), text("production_theme", ", ").alias("themes"), text("long_idea_rationale", ". ").alias("idea_rationales"),
     )

@@ -274,26 +274,26 @@ def long_ideas_summary(spark, sf_dir):
     return L.ideas_summary(L.ideas(_ranked(spark, sf_dir)))
 
 
-_CB = f"""cb AS (SELECT production_factor_basket, count(*) AS basket_count, avg(production_factor_score) AS avg_score, avg(ret_1m_pct) AS avg_1m, avg(ret_3m_pct) AS avg_3m, avg(ret_ytd_pct) AS avg_ytd, avg(rsi_14) AS avg_rsi, avg(price_vs_sma200_pct) AS avg_200,
- stddev_samp(ret_1m_pct) AS s1, stddev_samp(ret_3m_pct) AS s3, stddev_samp(rsi_14) AS sr FROM prod GROUP BY production_factor_basket),
-cd AS (SELECT p.*, cb.* EXCLUDE (production_factor_basket), ret_1m_pct - avg_1m AS d1, ret_3m_pct - avg_3m AS d3, ret_ytd_pct - avg_ytd AS dy, rsi_14 - avg_rsi AS dr, production_factor_score - avg_score AS df FROM prod p JOIN cb ON p.production_factor_basket = cb.production_factor_basket),
-cz AS (SELECT *, CASE WHEN s1 > 0 THEN d1 / s1 ELSE 0 END AS z1, CASE WHEN s3 > 0 THEN d3 / s3 ELSE 0 END AS z3, CASE WHEN sr > 0 THEN dr / sr ELSE 0 END AS zr FROM cd),
-cs AS (SELECT *, -1.0 * (0.30::DOUBLE * coalesce(z1, 0) + 0.25::DOUBLE * coalesce(z3, 0) + 0.20::DOUBLE * coalesce(df, 0) + 0.15::DOUBLE * coalesce(zr, 0) + 0.10::DOUBLE * coalesce(dy / nullif(abs(avg_ytd), 0), 0)) AS combined_laggard_score,
+_CB = f"""cb AS (SELECT production_factor_basket, count(*) AS basket_count, avg(production_factor_score) AS basket_avg_factor_score, avg(ret_1m_pct) AS basket_avg_ret_1m_pct, avg(ret_3m_pct) AS basket_avg_ret_3m_pct, avg(ret_ytd_pct) AS basket_avg_ret_ytd_pct, avg(rsi_14) AS basket_avg_rsi_14, avg(price_vs_sma200_pct) AS basket_avg_price_vs_sma200_pct,
+ stddev_samp(ret_1m_pct) AS basket_std_ret_1m_pct, stddev_samp(ret_3m_pct) AS basket_std_ret_3m_pct, stddev_samp(rsi_14) AS basket_std_rsi_14 FROM prod GROUP BY production_factor_basket),
+cd AS (SELECT p.*, cb.* EXCLUDE (production_factor_basket), ret_1m_pct - basket_avg_ret_1m_pct AS ret_1m_deviation_pct, ret_3m_pct - basket_avg_ret_3m_pct AS ret_3m_deviation_pct, ret_ytd_pct - basket_avg_ret_ytd_pct AS ret_ytd_deviation_pct, rsi_14 - basket_avg_rsi_14 AS rsi_deviation, production_factor_score - basket_avg_factor_score AS factor_score_deviation FROM prod p JOIN cb ON p.production_factor_basket = cb.production_factor_basket),
+cz AS (SELECT *, CASE WHEN basket_std_ret_1m_pct > 0 THEN ret_1m_deviation_pct / basket_std_ret_1m_pct ELSE 0 END AS ret_1m_z_score, CASE WHEN basket_std_ret_3m_pct > 0 THEN ret_3m_deviation_pct / basket_std_ret_3m_pct ELSE 0 END AS ret_3m_z_score, CASE WHEN basket_std_rsi_14 > 0 THEN rsi_deviation / basket_std_rsi_14 ELSE 0 END AS rsi_z_score FROM cd),
+cs AS (SELECT *, -1.0 * (0.30::DOUBLE * coalesce(ret_1m_z_score, 0) + 0.25::DOUBLE * coalesce(ret_3m_z_score, 0) + 0.20::DOUBLE * coalesce(factor_score_deviation, 0) + 0.15::DOUBLE * coalesce(rsi_z_score, 0) + 0.10::DOUBLE * coalesce(ret_ytd_deviation_pct / nullif(abs(basket_avg_ret_ytd_pct), 0), 0)) AS combined_laggard_score,
  {case(L.REVERSION)} AS mean_reversion_regime, {case(L.ASSESSMENT)} AS relative_value_assessment, {case(L.DIVERGENCE)} AS momentum_divergence, {case(L.TREND)} AS momentum_trend, {case(L.VALUATION)} AS valuation_vs_basket FROM cz),
-cr AS (SELECT *, (row_number() OVER (PARTITION BY production_factor_basket ORDER BY combined_laggard_score, d1, d3, ticker))::INTEGER AS laggard_rank_in_basket, (row_number() OVER (PARTITION BY production_factor_basket ORDER BY d1, d3, ticker))::INTEGER AS worst_return_rank_in_basket,
+cr AS (SELECT *, (row_number() OVER (PARTITION BY production_factor_basket ORDER BY combined_laggard_score, ret_1m_deviation_pct, ret_3m_deviation_pct, ticker))::INTEGER AS laggard_rank_in_basket, (row_number() OVER (PARTITION BY production_factor_basket ORDER BY ret_1m_deviation_pct, ret_3m_deviation_pct, ticker))::INTEGER AS worst_return_rank_in_basket,
  cume_dist() OVER (PARTITION BY production_factor_basket ORDER BY combined_laggard_score) AS laggard_percentile_in_basket FROM cs)"""
 _CB_COLS = ["ticker", "production_factor_basket", "mean_reversion_regime", "relative_value_assessment", "momentum_divergence", "momentum_trend", "valuation_vs_basket", "laggard_rank_in_basket", "worst_return_rank_in_basket", "laggard_percentile_in_basket"]
 
 
-@query(_chain(*_PRODUCED, _CB) + f"SELECT {', '.join(_CB_COLS)}, {rounded('combined_laggard_score', 'd1', 'd3', 'z1', 'z3', 'zr', digits=4)} FROM cr")
+@query(_chain(*_PRODUCED, _CB) + f"SELECT {', '.join(_CB_COLS)}, {rounded('combined_laggard_score', 'ret_1m_deviation_pct', 'ret_3m_deviation_pct', 'ret_1m_z_score', 'ret_3m_z_score', 'rsi_z_score', digits=4)} FROM cr")
 def laggard_zscore(spark, sf_dir):
-    num = ["combined_laggard_score", "d1", "d3", "z1", "z3", "zr"]
+    num = ["combined_laggard_score", "ret_1m_deviation_pct", "ret_3m_deviation_pct", "ret_1m_z_score", "ret_3m_z_score", "rsi_z_score"]
     return _round(L.combined(_produced(spark, sf_dir)).select(*_CB_COLS, *num), *num, digits=4)
 
 
 @query(_chain(*_PRODUCED, _CB, f"""ci AS (SELECT *, {case(L.RATIONALE)} AS long_idea_rationale, {case(L.CATALYST)} AS catalyst, {case(L.RISK)} AS risk_assessment FROM cr
- WHERE laggard_rank_in_basket <= 10 AND momentum_divergence IN {_IN(L.KEPT_DIVERGENCE)} AND mean_reversion_regime IN {_IN(L.KEPT_REVERSION)} AND relative_value_assessment IN {_IN(L.KEPT_ASSESSMENT)})""") + """SELECT production_factor_basket, count(*) AS idea_count, round(avg(d1), 4) AS avg_ret_1m_deviation,
- round(avg(d3), 4) AS avg_ret_3m_deviation, round(avg(production_factor_score), 4) AS avg_factor_score, round(avg(rsi_14), 4) AS avg_rsi_14, sum(market_cap) AS aggregate_market_cap, string_agg(ticker, ', ' ORDER BY combined_laggard_score, ticker) AS tickers,
+ WHERE laggard_rank_in_basket <= 10 AND momentum_divergence IN {_IN(L.KEPT_DIVERGENCE)} AND mean_reversion_regime IN {_IN(L.KEPT_REVERSION)} AND relative_value_assessment IN {_IN(L.KEPT_ASSESSMENT)})""") + """SELECT production_factor_basket, count(*) AS idea_count, round(avg(ret_1m_deviation_pct), 4) AS avg_ret_1m_deviation,
+ round(avg(ret_3m_deviation_pct), 4) AS avg_ret_3m_deviation, round(avg(production_factor_score), 4) AS avg_factor_score, round(avg(rsi_14), 4) AS avg_rsi_14, sum(market_cap) AS aggregate_market_cap, string_agg(ticker, ', ' ORDER BY combined_laggard_score, ticker) AS tickers,
  string_agg(production_theme, ', ' ORDER BY combined_laggard_score, ticker) AS themes, string_agg(long_idea_rationale, '. ' ORDER BY combined_laggard_score, ticker) AS idea_rationales FROM ci GROUP BY production_factor_basket""")
 def laggard_zscore_ideas(spark, sf_dir):
     out = L.combined_summary(L.combined_ideas(L.combined(_produced(spark, sf_dir))))
@@ -316,6 +316,15 @@ def basket_changes(spark, sf_dir):
     return _round(X.changes(previous, produced.where("production_factor_quintile <> 5")), "old_score", "new_score")
 
 
+@query(_chain(*_PRODUCED, _PREV) + """, j AS (SELECT CASE WHEN p.ticker IS NULL THEN 'NEWLY_QUALIFIED' WHEN c.ticker IS NULL THEN 'DISQUALIFIED_OR_REMOVED' WHEN p.production_factor_basket <> c.production_factor_basket THEN 'BASKET_CHANGED' WHEN p.size_bucket <> c.size_bucket THEN 'PARAMETER_BUCKET_CHANGED'
+ WHEN abs(c.production_factor_score - p.production_factor_score) >= 1.0 THEN 'SCORE_MOVED_GE_1PT' ELSE 'UNCHANGED' END AS change_type FROM prev p FULL JOIN curr c ON p.ticker = c.ticker) SELECT change_type, count(*) AS n FROM j WHERE change_type <> 'UNCHANGED' GROUP BY change_type""")
+def basket_change_counts(spark, sf_dir):
+    produced = _produced(spark, sf_dir)
+    q = F.col("quant_factor_quintile")
+    previous = produced.where("production_factor_quintile <> 1").withColumn("production_factor_basket", F.when(q == 2, "Neutral / Transition").otherwise(F.col("production_factor_basket"))).withColumn("production_factor_score", F.when(q == 3, F.col("production_factor_score") + 1.5).otherwise(F.col("production_factor_score")))
+    return X.change_counts(X.changes(previous, produced.where("production_factor_quintile <> 5")))
+
+
 @query(_chain(*_PRODUCED) + """SELECT 'basket' AS report, production_factor_basket AS name, count(*) AS n, round(avg(production_factor_score), 2) AS avg_score, round(avg(ret_1m_pct), 2) AS avg_1m, round(avg(ret_3m_pct), 2) AS avg_3m, round(avg(rsi_14), 1) AS avg_rsi FROM prod GROUP BY production_factor_basket
  UNION ALL SELECT 'theme', coalesce(production_theme, 'No Clean Theme'), count(*), NULL, NULL, NULL, NULL FROM prod GROUP BY production_theme""")
 def basket_distribution(spark, sf_dir):
