@@ -102,5 +102,30 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 """
 
 
+#: Windows by their words, the least document of each, and the positions that they cover.
+_SUBSTRING = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, i, w[i:i + 12] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT k, min(doc_id) AS earliest FROM p GROUP BY k),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM p JOIN f ON p.k = f.k WHERE earliest < doc_id),
+u AS (SELECT doc_id, i, w[i] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+r AS (SELECT u.doc_id, count(g.j) AS n_removed, string_agg(x, ' ' ORDER BY i) FILTER (g.j IS NULL) AS kept FROM u LEFT JOIN g ON u.doc_id = g.doc_id AND u.i = g.j GROUP BY u.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r ON d.doc_id = r.doc_id
+"""
+
+#: Overlaps of all pairs with a common shingle, and what is reachable by links.
+_JACCARD = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 3 THEN w ELSE w[i:i + 2] END, ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM o JOIN n x ON o.a = x.doc_id JOIN n y ON o.b = y.doc_id WHERE 100 * shared >= 90 * (x.size + y.size - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN c ON d.doc_id = c.a
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _QUALITY, "op7_exact_top_k": _TOP_K}
+    return {"op1_substring_dedup": _SUBSTRING, "op2_quality_rules": _QUALITY, "op6_jaccard_join": _JACCARD, "op7_exact_top_k": _TOP_K}
