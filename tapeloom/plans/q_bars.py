@@ -218,9 +218,9 @@ def indicators_snapshot(spark, sf_dir):
 )
 def gap_report(spark, sf_dir):
     hourly = hourly_bars(spark, sf_dir)
-    as_of = hourly.agg(F.max("timestamp")).first()[0]
-    recent = F.col("timestamp") >= as_of - 2 * DAY
-    return B.gap_report(hourly.where(recent), B.daily_from_hourly(hourly, 23).where(recent), days=None)
+    newest = F.broadcast(hourly.agg(F.max("timestamp").alias("newest")))  # one row
+    recent = lambda bars: bars.join(newest, F.lit(True)).where(f"timestamp >= newest - {2 * DAY}").drop("newest")
+    return B.gap_report(recent(hourly), recent(B.daily_from_hourly(hourly, 23)), days=None)
 
 
 @query(
