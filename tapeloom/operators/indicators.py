@@ -154,7 +154,8 @@ def latest_daily(bars: DataFrame, lookback: int = 260, least: int = 50) -> DataF
 
     empty = ["macd_line", "macd_signal", "macd_histogram"]
     rows = latest_only(bars, "daily", lookback, least).drop(*empty)
-    view = latest(daily(bars)).select("ticker", "timestamp", "sma_20", "sma_50", "sma_200", "volume_spike")
+    recent = latest(bars, max(lookback, 260))  # no average of the view looks back further
+    view = latest(daily(recent)).select("ticker", "timestamp", "sma_20", "sma_50", "sma_200", "volume_spike")
     rows = rows.join(view, ["ticker", "timestamp"])
     return rows.withColumns({c: F.lit(None).cast("double") for c in [*empty, "bb_upper", "bb_lower", "bb_width", "vwap", "poc_approx"]})
 

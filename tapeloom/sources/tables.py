@@ -71,7 +71,7 @@ def rich(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import views as V
 
     bars = daily_bars(spark, sf_dir)
-    view = V.latest(V.daily(bars)).select("ticker", "timestamp", "close", "volume", "avg_vol_20", "sma_20", "sma_50", "sma_200")
+    view = V.latest(V.daily(V.latest(bars, 260))).select("ticker", "timestamp", "close", "volume", "avg_vol_20", "sma_20", "sma_50", "sma_200")
     rec = V.latest(I.with_recurrences(bars.select("ticker", "timestamp", "high", "low", "close"), ["ticker", "timestamp"])).select("ticker", "ema_20", "rsi_14", "atr_14", "keltner_upper", "keltner_lower")
     no = F.col("no")
     pick = lambda values, n: F.get(F.array(*map(F.lit, values)), (n % len(values)).cast("int"))
