@@ -1,12 +1,13 @@
-"""Exact n-gram Jaccard join: a blocked sparse product of the document by n-gram incidence.
+"""Exact n-gram Jaccard join by blocks of the document by n-gram incidence.
 
-Rows of the incidence matrix (documents) are blocked by set size so that two
+The matrix is not multiplied out: its product has an entry for every pair of a
+group of copies. Instead, rows (documents) are blocked by set size so that two
 sets that can reach the threshold lie in the same or in neighbouring size
-classes; its columns (n-gram hashes) are blocked so finely that two sets that
-differ in no more n-grams than the sizes allow must agree in at least one whole
-column block. A pair that agrees in no block is thereby below its size-derived
-bound and never formed. For the pairs left, overlap counts are accumulated and
-compared with the bound ``100 * overlap >= percent * union``.
+classes, and columns (n-gram hashes) so finely that two sets that differ in no
+more n-grams than the sizes allow must agree in at least one whole column
+block. A pair that agrees in no block is thereby below its size-derived bound
+and never formed. Only for the pairs left are the common n-grams counted, set
+against set, and the count compared with ``100 * overlap >= percent * union``.
 
 Documents with equal sets count as one row of the matrix (the smallest id
 stands for them), so copies are not multiplied. Only what connectivity needs is
@@ -14,8 +15,10 @@ multiplied out: in a few rounds every block compares all its documents with one
 member of it; after that, just the pairs of a block whose documents are still
 in different components are left. Of these, the ones that the bounds on sizes
 and on differing n-grams allow are all compared; the bounds are part of the
-join's condition, so the others are never formed. No candidate is dropped or
-capped.
+join's condition, so the others are never formed. That last turn grows with the
+square of a block whose documents stay apart. No candidate is dropped or capped.
+
+N-grams are compared by 64-bit hashes, equal sets by two sums of those.
 
 Null texts, and texts without words, have an empty set and no links; so do rows
 without a doc_id. Rows that repeat a doc_id with the same text are one document
