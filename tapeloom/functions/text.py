@@ -54,17 +54,15 @@ BASKETS = {
 }
 # The sector of the first two digits of an industry code.
 SIC_SECTORS = {
-    "Consumer Staples": "01 02 07 09 20 21 51 54",
-    "Materials": "08 10 14 24 26 30 32 33",
-    "Energy": "12 13 29",
-    "Industrials": "15 16 17 34 37 40 41 42 44 45 47 50 81 87",
-    "Consumer Discretionary": "22 23 25 31 39 52 53 55 56 57 58 59 70 72 75 82",
-    "Communication Services": "27 48 78 79",
-    "Healthcare": "28 38 80 83",
-    "Information Technology": "35 36 73",
-    "Utilities": "49",
-    "Financials": "60 61 62 63 64 67",
-    "Real Estate": "65",
+    "01": "Consumer Staples", "02": "Consumer Staples", "07": "Consumer Staples", "08": "Materials", "09": "Consumer Staples",
+    "10": "Materials", "12": "Energy", "13": "Energy", "14": "Materials", "15": "Industrials", "16": "Industrials", "17": "Industrials",
+    "20": "Consumer Staples", "21": "Consumer Staples", "22": "Consumer Discretionary", "23": "Consumer Discretionary", "24": "Materials", "25": "Consumer Discretionary", "26": "Materials", "27": "Communication Services", "28": "Healthcare", "29": "Energy",
+    "30": "Materials", "31": "Consumer Discretionary", "32": "Materials", "33": "Materials", "34": "Industrials", "35": "Information Technology", "36": "Information Technology", "37": "Industrials", "38": "Healthcare", "39": "Consumer Discretionary",
+    "40": "Industrials", "41": "Industrials", "42": "Industrials", "44": "Industrials", "45": "Industrials", "47": "Industrials", "48": "Communication Services", "49": "Utilities",
+    "50": "Industrials", "51": "Consumer Staples", "52": "Consumer Discretionary", "53": "Consumer Discretionary", "54": "Consumer Staples", "55": "Consumer Discretionary", "56": "Consumer Discretionary", "57": "Consumer Discretionary", "58": "Consumer Discretionary", "59": "Consumer Discretionary",
+    "60": "Financials", "61": "Financials", "62": "Financials", "63": "Financials", "64": "Financials", "65": "Real Estate", "67": "Financials",
+    "70": "Consumer Discretionary", "72": "Consumer Discretionary", "73": "Information Technology", "75": "Consumer Discretionary", "78": "Communication Services", "79": "Communication Services",
+    "80": "Healthcare", "81": "Industrials", "82": "Consumer Discretionary", "83": "Healthcare", "87": "Industrials",
 }
 
 
@@ -100,7 +98,7 @@ def title(x: Column) -> Column:
 
 def sic_sector(code: Column) -> Column:
     """The sector of an industry code, null if its first two digits have none."""
-    pairs = [F.lit(v) for name, codes in SIC_SECTORS.items() for c in codes.split() for v in (c, name)]
+    pairs = [F.lit(v) for pair in SIC_SECTORS.items() for v in pair]
     return F.try_element_at(F.create_map(*pairs), F.substring(code, 1, 2))
 
 

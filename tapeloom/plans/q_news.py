@@ -149,7 +149,7 @@ def keyword_coverage(spark, sf_dir):
 # classification
 
 _NOW = "2024-06-01 00:00:00"
-_SIC = "CASE " + " ".join(f"WHEN left({{0}}, 2) IN ({_quoted(codes.split())}) THEN '{name}'" for name, codes in X.SIC_SECTORS.items()) + " END"
+_SIC = "CASE left({0}, 2) " + " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in X.SIC_SECTORS.items()) + " END"
 SEED = f"""base AS (SELECT ticker, no, name, industry, exchange, sic_code, CASE WHEN no % 3 = 0 THEN ' ' || exchange WHEN no % 3 = 1 THEN '' END AS yf_sector, CASE WHEN no % 6 = 0 THEN industry END AS yf_industry FROM companies),
 cache AS (SELECT ticker, CASE WHEN no % 8 = 0 THEN 'Old' END AS sector, NULL::VARCHAR AS industry, 'old' AS source, CASE WHEN no % 16 = 0 THEN 5 ELSE 50 END AS source_priority, 0.5::DOUBLE AS confidence, TIMESTAMP '2024-01-01' AS enriched_at, TIMESTAMP '2024-05-01' AS stale_after, CASE WHEN no % 5 = 0 THEN 'timeout' END AS error FROM base WHERE no % 4 = 0),
 stage1 AS (SELECT ticker, nullif(trim(yf_sector), '') AS sector, yf_industry AS industry, 'warehouse_yfinance_snapshot' AS source, 10 AS source_priority, 0.85::DOUBLE AS confidence, TIMESTAMP '{_NOW}' AS enriched_at, TIMESTAMP '{_NOW}' + INTERVAL 120 DAY AS stale_after, NULL::VARCHAR AS error FROM base WHERE no % 7 < 3 AND (nullif(trim(yf_sector), '') IS NOT NULL OR yf_industry IS NOT NULL)),
