@@ -65,20 +65,19 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
-def shared_keys(rows: DataFrame, key: str, owner: str, what: str) -> DataFrame:
-    """The rows whose ``key`` occurs with two owners or more.
+def shared_keys(rows: DataFrame, key: str, owner: str | None, what: str) -> DataFrame:
+    """The rows whose ``key`` occurs with two owners or more; without ``owner``, in two rows or more.
 
     The keys are counted with a partial aggregate, so a key that a third of all
     rows hold is pre-summed on every task, and are written before they are
     joined back: both sides of that join are then plain exchanges, which the
-    adaptive planner can split when one key is hot.
+    adaptive planner can split when one key is hot. Counting rows sends the keys
+    and little else; counting owners sends two of them with each key.
     """
-    keys = (
-        rows.groupBy(key)
-        .agg(F.min(owner).alias("_lo"), F.max(owner).alias("_hi"))
-        .where("_lo <> _hi")
-        .select(key)
-    )
+    if owner is None:
+        keys = rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
+    else:
+        keys = rows.groupBy(key).agg(F.min(owner).alias("_lo"), F.max(owner).alias("_hi")).where("_lo <> _hi").select(key)
     return rows.join(stash(keys, f"{what}-keys"), key)
 
 

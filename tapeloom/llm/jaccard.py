@@ -201,11 +201,12 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, star_rounds: int =
     sized = stash(_sizes(docs, n), "jaccard-sizes")
     first = stash(sized.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
 
-    shared = shared_keys(_block_keys(known, n, percent), "key", "doc_id", "jaccard")
+    # a document has a key once; repeated rows of one may pass here and are one row below
+    shared = shared_keys(_block_keys(known, n, percent), "key", None, "jaccard")
     reps = first.select(F.col("rep").alias("doc_id"))
     rows = stash(shared.distinct().join(reps, "doc_id", "left_semi"), "jaccard-rows")
     # a block that only one class of equal sets holds asks for nothing
-    rows = stash(shared_keys(rows, "key", "doc_id", "jaccard-classes"), "jaccard-blocks")
+    rows = stash(shared_keys(rows, "key", None, "jaccard-classes"), "jaccard-blocks")
     stored = stash(_stored(known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), n), "jaccard-sets")
 
     links = tested = labels = None
@@ -236,6 +237,8 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, star_rounds: int =
             continue
         found = stash(_verified(pairs, stored, percent), "jaccard-links")
         tested = pairs if tested is None else tested.unionByName(pairs)
+        if links is not None and found.isEmpty():  # the components stay as they are
+            continue
         links = found if links is None else links.unionByName(found)
         labels = components(links, "jaccard-components")
 
