@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import DAY, HOUR
+from .merge import utc_date
 
 KEYS = ["ticker", "timestamp"]
+#: What a roll-up gives a bar; counts and bounds of its source stay out of the table.
+BAR = (*KEYS, "open", "high", "low", "close", "volume", "vwap")
 
 
 def rollup(bars: DataFrame, bucket: Column, least: int = 0) -> DataFrame:
@@ -58,17 +61,20 @@ def gap_report(source: DataFrame, derived: DataFrame, days: int | None = 30) ->
 
 
 def absent(target: DataFrame, rolled: DataFrame) -> DataFrame:
-    """Rolled-up bars whose key the target lacks."""
-    return rolled.join(target.select(*KEYS), KEYS, "left_anti")
+    """Rolled-up bars of a ticker and UTC date that the target has no bar of, whatever its time of day."""
+    have = target.select("ticker", utc_date().alias("_d"))
+    return rolled.withColumn("_d", utc_date()).join(have, ["ticker", "_d"], "left_anti").select(*rolled.columns)
 
 
 def materialise(target: DataFrame, rolled: DataFrame) -> DataFrame:
-    """The target with the bars it lacks; bars it has stay as they are."""
-    return target.unionByName(absent(target, rolled).select(*target.columns))
+    """The target with provisional bars for the dates it lacks: without a transaction count, like every column that a roll-up does not give; its own bars stay as they are."""
+    new = absent(target, rolled)
+    given = [F.col(c) if c in BAR and c in rolled.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    return target.unionByName(new.select(*given))
 
 
-def dry_run(target: DataFrame, rolled: DataFrame, sample: int = 10) -> DataFrame:
-    """The first ``sample`` bars that ``materialise`` would insert, and beside each how many there are."""
+def dry_run(target: DataFrame, rolled: DataFrame, sample: int = 5) -> DataFrame:
+    """The newest ``sample`` bars that ``materialise`` would insert, and beside each how many there are."""
     new = absent(target, rolled)
     total = new.agg(F.count("*").alias("would_insert"))
-    return new.orderBy(*KEYS).limit(sample).join(F.broadcast(total), F.lit(True))  # one row
+    return new.orderBy(F.desc("timestamp"), "ticker").limit(sample).join(F.broadcast(total), F.lit(True))  # one row

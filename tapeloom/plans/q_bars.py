@@ -8,7 +8,7 @@ from ..operators import bars as B
 from ..operators import indicators as I
 from ..operators import views as V
 from ..registry import query
-from ..sources.tables import DAY, daily_bars, hourly_bars
+from ..sources.tables import DAY, HOUR, daily_bars, hourly_bars, millis, table
 from .sql import DAILY, FOUR_HOURS, HOURLY, recurrences, with_
 
 _ROLLUP = """arg_min(open, timestamp) AS open, max(high) AS high, min(low) AS low, arg_max(close, timestamp) AS close, sum(volume) AS volume,
@@ -212,15 +212,79 @@ def indicators_snapshot(spark, sf_dir):
     return out.select("ticker", "timestamp", *(F.round(c, 6).alias(c) for c in ("calc_rsi_14", "calc_atr_14", "calc_atr_pct", "calc_ema_20")))
 
 
+# Gaps: hourly bars that stand at the first of a month, one hour for each day with trades, so that a month with few trades gives
+# no daily bar; and the orders of a customer as its daily bars, few of which fall into one week.
+_SPREAD = "spread AS (SELECT * REPLACE (epoch_us(date_trunc('month', make_timestamp(timestamp * 1000))) // 1000 + (extract(day FROM make_timestamp(timestamp * 1000)) - 1) * 3600000 AS timestamp) FROM daily)"
+_THIN = "thin AS (SELECT o_custkey::VARCHAR AS ticker, epoch_us(o_orderdate) // 1000 AS timestamp FROM orders)"
+
+
+def _spread(spark, sf_dir):
+    at = F.timestamp_millis("timestamp")
+    return daily_bars(spark, sf_dir).withColumn("timestamp", F.unix_millis(F.date_trunc("month", at)) + (F.dayofmonth(at) - 1) * HOUR)
+
+
+def _thin(spark, sf_dir):
+    price = F.col("o_totalprice")
+    prices = [price.alias(c) for c in ("open", "high", "low", "close", "vwap")]
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("ticker"), millis("o_orderdate").alias("timestamp"), *prices, F.lit(1.0).alias("volume"))
+
+
 @query(
-    with_(HOURLY, "days AS (SELECT ticker, timestamp // 86400000 * 86400000 AS timestamp FROM hourly GROUP BY ALL HAVING count(*) >= 23)", "last_ts AS (SELECT max(timestamp) AS m FROM hourly)")
-    + "SELECT ticker, count(*) AS bars, max(timestamp) AS last_ts FROM hourly, last_ts WHERE timestamp >= m - 2 * 86400000 AND ticker NOT IN (SELECT ticker FROM days, last_ts WHERE timestamp >= m - 2 * 86400000) GROUP BY ticker"
-)
+    with_(
+        DAILY, _SPREAD, _THIN,
+        "days AS (SELECT ticker, timestamp // 86400000 * 86400000 AS timestamp FROM spread GROUP BY ALL HAVING count(*) >= 6)",
+        "w AS (SELECT ticker, timestamp - (extract(dow FROM make_timestamp(timestamp * 1000)) - 1) * 86400000 + 6 * 86400000 AS week FROM thin WHERE extract(dow FROM make_timestamp(timestamp * 1000)) BETWEEN 1 AND 5)",
+        "weeks AS (SELECT ticker FROM w GROUP BY ticker, week HAVING count(*) >= 3)",
+    )
+    + """SELECT 'daily' AS grain, ticker, count(*) AS bars, max(timestamp) AS last_ts FROM daily
+ WHERE ticker NOT IN (SELECT ticker FROM days WHERE timestamp > (SELECT max(timestamp) FROM days) - 30::BIGINT * 86400000) GROUP BY ticker
+ UNION ALL SELECT 'weekly', ticker, count(*), max(timestamp) FROM thin WHERE ticker NOT IN (SELECT ticker FROM weeks) GROUP BY ticker"""
+)
 def gap_report(spark, sf_dir):
-    hourly = hourly_bars(spark, sf_dir)
-    newest = F.broadcast(hourly.agg(F.max("timestamp").alias("newest")))  # one row
-    recent = lambda bars: bars.join(newest, F.lit(True)).where(f"timestamp >= newest - {2 * DAY}").drop("newest")
-    return B.gap_report(recent(hourly), recent(B.daily_from_hourly(hourly, 23)), days=None)
+    """Tickers with daily bars of their own but no hourly-derived one of the last 30 days; tickers with finer bars but no derived week."""
+    daily, thin = daily_bars(spark, sf_dir), _thin(spark, sf_dir)
+    of_days = B.gap_report(daily, B.daily_from_hourly(_spread(spark, sf_dir)), days=30).select(F.lit("daily").alias("grain"), "ticker", "bars", "last_ts")
+    of_weeks = B.gap_report(thin, B.weekly_from_daily(thin), days=None).select(F.lit("weekly").alias("grain"), "ticker", "bars", "last_ts")
+    return of_days.unionByName(of_weeks)
+
+
+# A table of daily bars that lacks each fourth day; its own bars are stamped 04:00, as a vendor's are.
+_HAVE = """d AS (SELECT ticker, timestamp // 86400000 * 86400000 AS timestamp, """ + _ROLLUP + """ FROM hourly GROUP BY ticker, timestamp // 86400000 * 86400000 HAVING count(*) >= 6),
+have AS (SELECT ticker, timestamp + 14400000 AS timestamp, open, high, low, close, volume, vwap, bar_count::INTEGER AS transactions FROM d WHERE timestamp // 86400000 % 4 <> 0),
+new AS (SELECT * FROM d WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.ticker = d.ticker AND make_timestamp(h.timestamp * 1000)::DATE = make_timestamp(d.timestamp * 1000)::DATE))"""
+_TABLE = "ticker, timestamp, open, high, low, close, volume, vwap"
+
+
+def _have(rolled):
+    rows = rolled.where(F.expr(f"timestamp div {DAY} % 4 <> 0")).withColumn("timestamp", F.col("timestamp") + 4 * HOUR)
+    return rows.withColumn("transactions", F.col("bar_count").cast("int")).select(*_TABLE.split(", "), "transactions")
+
+
+@query(with_(HOURLY, _HAVE) + "SELECT ticker, timestamp, count(*) OVER () AS would_insert FROM new QUALIFY row_number() OVER (ORDER BY timestamp DESC, ticker) <= 5")
+def bar_dry_run(spark, sf_dir):
+    """What a daily roll-up would insert: the count and a sample of five rows."""
+    rolled = B.daily_from_hourly(hourly_bars(spark, sf_dir))
+    return B.dry_run(_have(rolled), rolled).select("ticker", "timestamp", "would_insert")
+
+
+@query(with_(HOURLY, _HAVE) + f"SELECT {_TABLE}, transactions FROM have UNION ALL SELECT {_TABLE}, NULL FROM new")
+def bar_materialise_daily(spark, sf_dir):
+    rolled = B.daily_from_hourly(hourly_bars(spark, sf_dir))
+    return B.materialise(_have(rolled), rolled)
+
+
+@query(
+    with_(
+        DAILY,
+        "w AS (SELECT *, timestamp - (extract(dow FROM make_timestamp(timestamp * 1000)) - 1) * 86400000 + 6 * 86400000 AS week FROM daily WHERE extract(dow FROM make_timestamp(timestamp * 1000)) BETWEEN 1 AND 5)",
+        f"d AS (SELECT ticker, week AS timestamp, {_ROLLUP} FROM w GROUP BY ticker, week HAVING count(*) >= 3)",
+        "have AS (SELECT ticker, timestamp + 14400000 AS timestamp, open, high, low, close, volume, vwap, bar_count::INTEGER AS transactions FROM d WHERE timestamp // 86400000 % 4 <> 0)",
+    )
+    + f"SELECT {_TABLE}, transactions FROM have UNION ALL SELECT {_TABLE}, NULL FROM d WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.ticker = d.ticker AND make_timestamp(h.timestamp * 1000)::DATE = make_timestamp(d.timestamp * 1000)::DATE)"
+)
+def bar_materialise_weekly(spark, sf_dir):
+    rolled = B.weekly_from_daily(daily_bars(spark, sf_dir))
+    return B.materialise(_have(rolled), rolled)
 
 
 @query(

@@ -142,8 +142,8 @@ def snk_replace_and_append(spark, sf_dir):
     return both.groupBy("table").agg(F.count("*").alias("n"), F.min("x").alias("least"))
 
 
-@query("""SELECT event_type AS ticker, ts::DATE AS as_of_date, CASE WHEN epoch_ms(ts) // 86400000 % 3 = 0 THEN 'second' ELSE 'first' END AS run, count(*) AS n
-FROM events WHERE NOT (epoch_ms(ts) // 86400000 % 3 = 0 AND event_id % 2 = 1) GROUP BY ALL""")
+@query("""SELECT event_type AS ticker, ts::DATE AS as_of_date, CASE WHEN epoch_us(ts) // 86400000000 % 3 = 0 THEN 'second' ELSE 'first' END AS run, count(*) AS n
+FROM events WHERE NOT (epoch_us(ts) // 86400000000 % 3 = 0 AND event_id % 2 = 1) GROUP BY ALL""")
 def snk_partition_replace(spark, sf_dir):
     """Every third date is written again with half of its rows."""
     path = fresh(spark, "partitions")
@@ -178,16 +178,3 @@ def financials_newest(spark, sf_dir):
     """The four newest reports of each company."""
     rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("ticker"), F.col("o_orderdate").cast("date").alias("calendar_date"), F.col("o_totalprice").alias("revenue"), F.col("o_orderkey").alias("no"))
     return V.newest_first(rows, "ticker", 4, F.desc("calendar_date"), F.col("no"))
-
-
-@query(with_(HOURLY) + """, d AS (SELECT ticker, timestamp // 86400000 * 86400000 AS timestamp, count(*) AS hours FROM hourly GROUP BY ALL),
-have AS (SELECT DISTINCT ticker, timestamp FROM d WHERE timestamp // 86400000 % 4 <> 0),
-new AS (SELECT d.* FROM d WHERE hours >= 6 AND NOT EXISTS (SELECT 1 FROM have h WHERE h.ticker = d.ticker AND h.timestamp = d.timestamp))
-SELECT ticker, timestamp, count(*) OVER () AS would_insert FROM new QUALIFY row_number() OVER (ORDER BY ticker, timestamp) <= 10""")
-def bar_dry_run(spark, sf_dir):
-    """What a daily roll-up would insert: the count and a sample of ten rows."""
-    rolled = B.daily_from_hourly(hourly_bars(spark, sf_dir))
-    have = rolled.where(F.expr(f"timestamp div {DAY} % 4 <> 0"))
-    return B.dry_run(have, rolled, 10).select("ticker", "timestamp", "would_insert")
-
-

@@ -12,6 +12,8 @@ from ..operators import merge as M
 from ..operators import profile as P
 from ..operators import views as V
 from ..registry import query
+from ..sinks import commits as K
+from ..sources.folders import fresh
 from ..sources.tables import DAY, HOUR, companies, daily_bars, hourly_bars, table
 from .q_bars import VIEW_DAILY
 from .sql import COMPANIES, DAILY, FOUR_HOURS, HOURLY, with_
@@ -102,6 +104,35 @@ def merge_metrics(spark, sf_dir):
     return M.metrics(target, stage, M.absent_date(target, stage, F.col("timestamp")))
 
 
+@query(_PAIR + _KEPT + _ABSENT_DATE.format(t="kept", o="s.transactions IS NULL, s.timestamp"))
+def merge_commit(spark, sf_dir):
+    """Two commits to a table of files: the bars of odd days, then those of even days."""
+    target, stage = _both(spark, sf_dir)
+    path = fresh(spark, "bars")
+    K.create(target, path)
+    for rest in (1, 0):
+        K.merge(path, stage.where(F.expr(f"timestamp div {DAY} % 2 = {rest}")), M.provisional)
+    return K.read(spark, path)
+
+
+@query(
+    _PAIR
+    + """, old AS (SELECT * FROM target WHERE timestamp < 820454400000), s96 AS (SELECT * FROM stage WHERE timestamp >= 820454400000 - 7776000000),
+new AS (SELECT DISTINCT ticker, timestamp // 86400000 AS d FROM s96 s WHERE NOT EXISTS (SELECT 1 FROM old t WHERE t.ticker = s.ticker AND t.timestamp // 86400000 = s.timestamp // 86400000))
+SELECT 1 AS version, (SELECT count(*) FROM s96) AS staged, (SELECT count(*) FROM old) AS before, (SELECT count(*) FROM old) + (SELECT count(*) FROM new) AS after, (SELECT count(*) FROM new) AS inserted,
+ (SELECT count(DISTINCT date_trunc('month', make_timestamp(timestamp * 1000))) FROM old WHERE timestamp < 820454400000 - 7776000000 AND date_trunc('month', make_timestamp(timestamp * 1000)) < date_trunc('month', make_timestamp(812678400000000))) AS untouched"""
+)
+def merge_commit_counts(spark, sf_dir):
+    """The counts that a commit observed, and how many periods it left as they were: the target ends with 1995, the stage begins 90 days before that."""
+    target, stage = _both(spark, sf_dir)
+    path, new_year = fresh(spark, "bars"), 820_454_400_000
+    first = K.create(target.where(F.col("timestamp") < new_year), path)
+    counts = K.merge(path, stage.where(F.col("timestamp") >= new_year - 90 * DAY), lambda old, new: M.absent_date(old, new, F.col("timestamp")))
+    second = K.manifest(spark, path)
+    untouched = sum(second.parts.get(p) == part for p, part in first.parts.items())
+    return spark.createDataFrame([(*counts.values(), untouched)], "version int, staged long, before long, after long, inserted long, untouched long")
+
+
 _CACHE = "cache AS (SELECT ticker, CASE WHEN sector_no % 3 > 0 THEN 'S' || sector_no END AS sector, CASE WHEN sector_no % 3 > 1 THEN industry ELSE '' END AS industry, 'old' AS source, CASE WHEN sector_no % 4 > 0 THEN sector_no * 10 END AS source_priority, 0.5::DOUBLE AS confidence FROM companies WHERE sector_no <> 7)"
 _CLS_STAGE = "cs AS (SELECT ticker, 'N' || k AS sector, industry, 'src' || k AS source, 20 * k AS source_priority, (1.0::DOUBLE / k) AS confidence FROM companies, (VALUES (1), (2), (3)) v(k) WHERE sector_no % 3 >= k - 1)"
 _CLS = with_(COMPANIES, _CACHE, _CLS_STAGE)
@@ -240,7 +271,7 @@ def audit_indicator_stats(spark, sf_dir):
 
 # volume profiles: minutes of the events
 
-_MIN = "minutes AS (SELECT event_type AS ticker, epoch_ms(ts) // 60000 * 60000 AS minute_ts, count(*)::DOUBLE AS volume FROM events GROUP BY ALL)"
+_MIN = "minutes AS (SELECT event_type AS ticker, epoch_us(ts) // 60000000 * 60000 AS minute_ts, count(*)::DOUBLE AS volume FROM events GROUP BY ALL)"
 _CUM = "cum AS (SELECT *, sum(volume) OVER (PARTITION BY ticker, d ORDER BY minute ROWS UNBOUNDED PRECEDING) AS cum_vol FROM (SELECT ticker, make_timestamp(minute_ts * 1000)::DATE AS d, minute_ts // 60000 % 1440 AS minute, volume FROM {0}))"
 _PROFILE = """prof AS (SELECT ticker, (bin - 240)::INTEGER AS et_minute, round_even(a, 0)::BIGINT AS avg, round_even(s, 0)::BIGINT AS std, CASE WHEN a > 0 THEN round_even(round(s / a * 100, 9), 1) ELSE 0.0 END AS cv_pct,
  round_even(v[n // 4 + 1], 0)::BIGINT AS p25, round_even(v[3 * n // 4 + 1], 0)::BIGINT AS p75, n AS count, round_even(a * 1.5, 0)::BIGINT AS above_15x, round_even(a * 0.5, 0)::BIGINT AS below_05x

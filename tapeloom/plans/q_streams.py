@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as P
 from ..registry import query
+from ..sinks import commits
 from ..sources.folders import fresh
 from ..sources.tables import DAY, HOUR, daily_bars, table
 from ..streaming import bars as T
@@ -15,7 +16,7 @@ from .sql import DAILY, recurrences, with_
 
 # Every event is a message of one share; each fifth is on another channel, and one type is not wanted. A line holds an hour's messages.
 _WANTED = ["click", "view", "purchase", "signup"]
-MESSAGES = """messages AS (SELECT event_type AS sym, epoch_ms(ts) AS s, event_id AS av, round(value * 100) AS p FROM events WHERE event_id % 5 <> 0 AND event_type IN ('click', 'view', 'purchase', 'signup'))"""
+MESSAGES = """messages AS (SELECT event_type AS sym, epoch_us(ts) // 1000 AS s, event_id AS av, round(value * 100) AS p FROM events WHERE event_id % 5 <> 0 AND event_type IN ('click', 'view', 'purchase', 'signup'))"""
 
 
 def _lines(spark, sf_dir, copies=1):
@@ -60,11 +61,13 @@ def stream_dedup(spark, sf_dir):
 
 @query(_PAIR + _KEPT + _ABSENT_DATE.format(t="kept", o="s.transactions IS NULL, s.timestamp"))
 def stream_provisional(spark, sf_dir):
-    """The staged bars arrive as a stream."""
+    """The staged bars arrive as a stream, a year of them in each micro-batch, and are merged into a table of files."""
     target, stage = _both(spark, sf_dir)
-    arrived = fresh(spark, "stage")
-    stage.write.parquet(arrived)
-    return T.provisional(spark, target, spark.readStream.schema(stage.schema).parquet(arrived), fresh(spark, "stream-merged"))
+    arrived, path = fresh(spark, "stage"), fresh(spark, "bars")
+    commits.create(target, path)
+    stage.repartition(4, F.expr("year(timestamp_millis(timestamp)) % 4")).write.parquet(arrived)
+    T.provisional(spark.readStream.schema(stage.schema).option("maxFilesPerTrigger", 2).parquet(arrived), path)
+    return commits.read(spark, path)
 
 
 @query(with_(DAILY, *recurrences("daily"), recursive=True) + "SELECT ticker, timestamp, close, ema_20, rsi_14, atr_14 FROM rec WHERE rn = bars")

@@ -7,7 +7,7 @@ DAILY = """daily AS (SELECT l_suppkey::VARCHAR AS ticker, epoch_ms(l_shipdate) A
   sum(p * l_quantity) / sum(l_quantity) AS vwap, count(*)::INTEGER AS transactions
   FROM (SELECT *, round(l_extendedprice * 100) AS p, row(l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity) AS o FROM lineitem)
   GROUP BY ALL)"""
-HOURLY = """hourly AS (SELECT event_type AS ticker, epoch_ms(ts) // 3600000 * 3600000 AS timestamp,
+HOURLY = """hourly AS (SELECT event_type AS ticker, epoch_us(ts) // 3600000000 * 3600000 AS timestamp,
   arg_min(p, o) AS open, max(p) AS high, min(p) AS low, arg_max(p, o) AS close, count(*)::DOUBLE AS volume,
   sum(p) / count(*) AS vwap, count(*)::INTEGER AS transactions
   FROM (SELECT *, round(value * 100) AS p, row(ts, event_id) AS o FROM events) GROUP BY ALL)"""

@@ -16,7 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import merge as M
 from ..operators.profile import ET_OFFSET
-from ..sources.folders import exists
+from ..sinks import commits
 
 MESSAGE = "ev string, sym string, v double, av bigint, op double, vw double, o double, c double, h double, l double, a double, s bigint, e bigint"
 
@@ -66,24 +66,13 @@ def versions(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def provisional(spark: SparkSession, target: DataFrame, stage: DataFrame, path: str) -> DataFrame:
-    """The target after the streamed stage has been merged into it batch by batch: late official bars replace provisional ones.
+def provisional(stage: DataFrame, path: str, stream: str = "stage") -> None:
+    """Merge what the streamed stage holds now into the table in ``path``, batch by batch: late official bars replace provisional ones.
 
-    Each batch writes a new version beside the one it read, so a batch that
-    fails and runs again starts from the same rows.
+    A batch rewrites the periods that it touches and no others, and commits them
+    with its number: a batch that runs again finds itself in the table.
     """
-    columns = target.columns
-    target.write.mode("errorifexists").parquet(f"{path}/v=-1")
-    newest = {"no": -1}
-
-    def merge(batch: DataFrame, no: int) -> None:
-        session = batch.sparkSession
-        before = next(k for k in range(no - 1, -2, -1) if exists(session, f"{path}/v={k}/_SUCCESS"))
-        M.provisional(session.read.parquet(f"{path}/v={before}").select(*columns), batch.select(*columns)).write.mode("overwrite").parquet(f"{path}/v={no}")
-        newest["no"] = max(newest["no"], no)
-
-    drain_batches(stage, f"{path}-progress", merge)
-    return spark.read.parquet(f"{path}/v={newest['no']}")
+    drain_batches(stage, f"{path}-{stream}-progress", lambda batch, no: commits.merge(path, batch, M.provisional, (stream, no)))
 
 
 # carried indicators: the last values of each recurrence, and sums until their seeds are full
