@@ -68,7 +68,7 @@ def texts(docs):
     return {int(i): (t if isinstance(t, str) else None) for i, t in zip(docs.doc_id, docs.text)}
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(Q.queries()) if not n.startswith("op7")])
+@pytest.mark.parametrize("name", [n for n in sorted(Q.queries()) if n.split("_")[0] not in ("op7", "op12", "op13")])
 def test_empty_table(spark, empty, name):
     assert Q.queries()[name](spark, empty).count() == 0
 
@@ -229,7 +229,6 @@ def test_op10(spark, folder, texts):
 
 
 def test_op7_matches_its_sql(spark, tables):
-    from compare import database, difference
+    from compare import against_sql
 
-    got = Q.op7_exact_top_k(spark, tables).toPandas()
-    assert difference(got, database(tables).execute(Q.oracle_sql()["op7_exact_top_k"]).df()) is None
+    assert against_sql(Q.op7_exact_top_k(spark, tables), tables, Q.oracle_sql()["op7_exact_top_k"]) is None
