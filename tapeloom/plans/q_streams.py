@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import merge as M
 from ..operators import profile as P
 from ..registry import query
 from ..sinks import commits
+from ..sinks import tables as S
 from ..sources.folders import fresh
 from ..sources.tables import DAY, HOUR, daily_bars, table
 from ..streaming import bars as T
@@ -51,6 +52,16 @@ def stream_rollup(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query(with_(MESSAGES) + f""", h AS (SELECT sym AS ticker, s // {HOUR} * {HOUR} AS timestamp, arg_min(p, row(s, av)) AS open, max(p) AS high, min(p) AS low, arg_max(p, row(s, av)) AS close, count(*)::DOUBLE AS volume, sum(p) / count(*) AS vwap FROM messages GROUP BY ALL)
+SELECT ticker, timestamp // {DAY} * {DAY} AS timestamp, arg_min(open, h.timestamp) AS open, max(high) AS high, min(low) AS low, arg_max(close, h.timestamp) AS close, sum(volume) AS volume, sum(volume * vwap) / sum(volume) AS vwap, count(*) AS bar_count, min(h.timestamp) AS first_ts, max(h.timestamp) AS last_ts
+FROM h WHERE timestamp // {DAY} * {DAY} + {DAY} <= (SELECT max(s) FROM messages) - 600000 GROUP BY ticker, timestamp // {DAY} HAVING count(*) >= 6""")
+def stream_daily(spark, sf_dir):
+    """Messages to hours to days: the days that the watermark has closed."""
+    out = fresh(spark, "stream-days")
+    T.drain(T.daily(T.parse(_lines(spark, sf_dir), ["A"], _WANTED)), out)
+    return spark.read.parquet(out)
+
+
 @query(with_(MESSAGES) + "SELECT sym, s, count(DISTINCT 1) AS n FROM messages GROUP BY ALL")
 def stream_dedup(spark, sf_dir):
     """Every line arrives twice."""
@@ -72,28 +83,32 @@ def stream_provisional(spark, sf_dir):
 
 @query(with_(DAILY, *recurrences("daily"), recursive=True) + "SELECT ticker, timestamp, close, ema_20, rsi_14, atr_14 FROM rec WHERE rn = bars")
 def stream_indicators(spark, sf_dir):
-    """The bars arrive in two parts, the second when the first has been carried into the state."""
+    """The bars arrive in three parts; the third goes to a new stream that begins with the rows the first one stored."""
     bars = daily_bars(spark, sf_dir)
-    arrived, out = fresh(spark, "bars"), fresh(spark, "stream-indicators")
-    half = F.expr(f"timestamp div {DAY}") < 9500
-    for part in (bars.where(half), bars.where(~half)):
-        part.write.mode("append").parquet(arrived)
-        T.drain_batches(T.carried(spark.readStream.schema(bars.schema).parquet(arrived)), f"{out}-progress", T.versions(out), "update")
-    rows = spark.read.parquet(out)
-    newest = F.row_number().over(Window.partitionBy("ticker").orderBy(F.desc("timestamp"), F.desc("batch")))
-    return rows.withColumn("_rn", newest).where("_rn = 1").select("ticker", "timestamp", "close", "ema_20", "rsi_14", "atr_14")
+    arrived, later, out = fresh(spark, "bars"), fresh(spark, "bars"), fresh(spark, "stream-indicators")
+    day = F.expr(f"timestamp div {DAY}")
+    newest = lambda rows: M.first_per(rows, ["ticker"], F.desc("timestamp"), F.desc("batch"))
+    source = lambda path: spark.readStream.schema(bars.schema).parquet(path)
+    with T.state_on_disk(spark):
+        for part in (bars.where(day < 9000), bars.where(day.between(9000, 9700))):
+            part.write.mode("append").parquet(arrived)
+            T.drain_batches(T.carried(source(arrived), keep_days=4000), f"{out}-first", T.versions(f"{out}/first"), "update")
+        bars.where(day > 9700).write.parquet(later)
+        stored = newest(spark.read.parquet(f"{out}/first"))
+        T.drain_batches(T.carried(source(later), stored, keep_days=4000), f"{out}-second", T.versions(f"{out}/second"), "update")
+    rows = spark.read.parquet(f"{out}/first").unionByName(spark.read.parquet(f"{out}/second"))
+    return newest(rows).select("ticker", "timestamp", "close", "ema_20", "rsi_14", "atr_14")
 
 
 @query(with_(_MIN, _CUM.format("minutes"), _PROFILE) + """, days AS (SELECT ticker, d AS date, max(minute) // 5 * 5 - 240 AS et_minute, sum(volume) AS cum_vol FROM cum GROUP BY ALL),
 j AS (SELECT y.*, avg AS avg_cum_vol, CASE WHEN avg > 0 THEN cum_vol / avg ELSE 0 END AS r FROM days y JOIN prof p ON y.ticker = p.ticker AND y.et_minute = p.et_minute)
 SELECT ticker, date, et_minute::INTEGER AS et_minute, cum_vol, avg_cum_vol, round_even(r, 2) AS ratio, CASE WHEN r > 1.5 THEN 'above' WHEN r < 0.5 THEN 'below' ELSE 'normal' END AS signal FROM j""")
 def stream_volume(spark, sf_dir):
-    """Each day's volume so far against the profile of all days."""
+    """Each day's volume so far against the profile of all days, which the stream joins batch by batch."""
     minutes = _minutes(spark, sf_dir)
-    arrived, out = fresh(spark, "minutes"), fresh(spark, "stream-volume")
+    arrived, out, profile = fresh(spark, "minutes"), fresh(spark, "stream-volume"), fresh(spark, "profile")
+    S.publish(P.profile(minutes), profile)
     minutes.write.parquet(arrived)
-    days = T.day_volume(spark.readStream.schema(minutes.schema).parquet(arrived))
-    T.drain_batches(days, f"{out}-progress", T.versions(out), "update")
-    newest = F.row_number().over(Window.partitionBy("ticker", "date").orderBy(F.desc("batch")))
-    latest = spark.read.parquet(out).withColumn("_rn", newest).where("_rn = 1")
-    return T.against_profile(latest, P.profile(minutes))
+    T.volume_signals(spark.readStream.schema(minutes.schema).option("maxFilesPerTrigger", 3).parquet(arrived), profile, out, "60 days")
+    newest = M.first_per(spark.read.parquet(out), ["ticker", "date"], F.desc("batch"))
+    return newest.drop("batch")

@@ -47,6 +47,28 @@ def evolve(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def publish(rows: DataFrame, path: str) -> int:
+    """Write a small table anew as the next version beside the old ones; readers of those are not disturbed."""
+    spark = rows.sparkSession
+    no = 0
+    while exists(spark, f"{path}/v={no}"):
+        no += 1
+    rows.write.mode("errorifexists").parquet(f"{path}/v={no}")
+    return no
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version that has been written to its end."""
+    no, newest = 0, None
+    while exists(spark, f"{path}/v={no}"):
+        if exists(spark, f"{path}/v={no}/_SUCCESS"):
+            newest = no
+        no += 1
+    if newest is None:
+        raise LookupError(f"nothing is published in {path}")
+    return spark.read.parquet(f"{path}/v={newest}")
+
+
 def create_views(spark: SparkSession, views: dict[str, Callable[[], DataFrame]]) -> None:
     """A temporary view for each name."""
     for name, make in views.items():
