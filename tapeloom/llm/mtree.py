@@ -26,16 +26,20 @@ all rows share never fills a node. A row that repeats id and vector is counted,
 not repeated.
 
 Rows with a null id or vector, or with null or non-finite components, take no
-part. Vectors of other lengths than the longest are padded with zeros. Rows that
-repeat an id are separate candidates, except for a query of the same id; equal
-queries are answered once. An empty table has no result. Components beyond 2**42
-lie outside the integers that are compared.
+part. Vectors of other lengths than the longest are padded with zeros. A query
+leaves out its own row and no other: rows that repeat its id are candidates like
+any, and so are all but one of the rows that repeat it whole. Equal queries are
+answered once, queries of one id with other vectors each for itself. An empty
+table has no result. Scaled components beyond 2**56 count as that bound; up to
+there scores are exact whatever their size (as wide decimals where longs could
+overflow) and decide the ranks, and a score that a long cannot hold is null.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from decimal import Decimal
 from functools import reduce
 
 import numpy as np
@@ -45,7 +49,9 @@ from pyspark.sql import functions as F
 
 from .common import partitions, stash
 
-K, PAGE, SUBTREE, FANOUT, EVERY, UNIT = 10, 128, 4096, 64, 100, 1024
+K, PAGE, SUBTREE, FANOUT, EVERY, UNIT, BOUND = 10, 128, 4096, 64, 100, 1024, 2**56
+#: Routing objects of one level that are sent to every task, in bytes; vectors that meet their routing objects in one task where there are more.
+SENT, MEET = 32_000_000, 200_000
 
 
 def integers(vectors: DataFrame) -> DataFrame:
@@ -53,14 +59,15 @@ def integers(vectors: DataFrame) -> DataFrame:
     as_double = F.transform("embedding", lambda x: x.cast("double"))
     finite = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     out = vectors.select(F.col("vec_id").cast("long"), as_double.alias("_v")).where(F.col("vec_id").isNotNull() & F.col("_v").isNotNull() & finite)
-    return out.select("vec_id", F.transform("_v", lambda x: F.floor(x * UNIT)).alias("v"))
+    scaled = lambda x: F.greatest(F.least(x * UNIT, F.lit(float(BOUND))), F.lit(-float(BOUND)))
+    return out.select("vec_id", F.transform("_v", lambda x: F.floor(scaled(x))).alias("v"))
 
 
 def candidates(rows: DataFrame, k: int) -> DataFrame:
     """``(vec_id, v, copies)``: all that can be among the k best of any query."""
     counted = rows.groupBy("v", "vec_id").agg(F.count("*").alias("n"))
     near = counted.withColumn("_rn", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("_rn") <= k + 1)
-    return near.select("vec_id", "v", F.least("n", F.lit(k)).cast("int").alias("copies"))
+    return near.select("vec_id", "v", F.least("n", F.lit(k + 1)).cast("int").alias("copies"))
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -80,22 +87,66 @@ def lift(vectors: np.ndarray, norm2: float) -> np.ndarray:
 # The upper levels
 
 
-def _split(crowded: DataFrame, routers: DataFrame, dims: int, norm2: float) -> DataFrame:
-    """``(vec_id, v, copies, node, far)``: every vector under the nearest routing object of its node, and how far it is."""
+def _nearest(x: np.ndarray, routers: np.ndarray, norm2: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector its nearest routing object and how far it is."""
+    x, r = lift(x, norm2), lift(routers, norm2)
+    best = (x @ r.T).argmax(1)  # all lifted vectors have one norm
+    return best, np.sqrt(((x - r[best]) ** 2).sum(1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+_SPLIT = "vec_id long, v array<long>, copies int, node long, far double"
+
+
+def _moved(batch: pa.RecordBatch, node: np.ndarray, child: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
+    columns = [batch.column("vec_id"), batch.column("v"), batch.column("copies"), pa.array(node * FANOUT + child + 1), pa.array(far)]
+    return pa.RecordBatch.from_arrays(columns, names=["vec_id", "v", "copies", "node", "far"])
+
+
+def _split(crowded: DataFrame, sizes: DataFrame, routers: DataFrame, dims: int, norm2: float, sent: int = SENT, meet: int = MEET) -> DataFrame:
+    """``(vec_id, v, copies, node, far)``: every vector of ``crowded(node, ...)`` under the nearest routing object of its node.
+
+    Up to ``sent`` bytes of routing objects go to every task once. Where a level
+    has more, they go to their nodes' vectors: these are dealt by node in parts
+    of about ``meet``, so no node, however large, is one task, and every part
+    gets the node's routing objects once.
+    """
+    total = routers.agg(F.sum(F.size("routers"))).first()[0] * dims * 8
+    if total <= sent:
+        table = {r["node"]: np.array([list(v) + [0] * (dims - len(v)) for v in r["routers"]], np.int64) for r in routers.collect()}
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x, node = _matrix(batch.column("v"), dims), batch.column("node").to_numpy()
+                child, far = np.zeros(len(node), np.int64), np.zeros(len(node))
+                for n in np.unique(node):
+                    at = np.flatnonzero(node == n)
+                    child[at], far[at] = _nearest(x[at], table[int(n)], norm2)
+                yield _moved(batch, node, child, far)
+
+        return crowded.select("vec_id", "v", "copies", "node").mapInArrow(run, _SPLIT)
+
+    parts = sizes.select("node", F.ceil(F.col("n") / meet).cast("int").alias("parts"))
+    dealt = crowded.join(parts, "node").select("node", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), F.lit(0).alias("no"), "vec_id", "v", "copies")
+    objects = routers.join(parts, "node").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    objects = objects.select("node", "part", F.lit(0).alias("kind"), F.posexplode("routers").alias("no", "v"), F.lit(0).cast("long").alias("vec_id"), F.lit(0).alias("copies"))
+    both = dealt.unionByName(objects).repartition(partitions(crowded.sparkSession), "node", "part").sortWithinPartitions("node", "part", "kind", "no")
+
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, known = None, []
         for batch in batches:
-            x, node = lift(_matrix(batch.column("v"), dims), norm2), batch.column("node").to_numpy()
-            child, far = np.zeros(len(node), np.int64), np.zeros(len(node))
-            for n in np.unique(node):
-                at = np.flatnonzero(node == n)
-                r = lift(_matrix(batch.column("routers")[int(at[0])].values, dims), norm2)
-                best = (x[at] @ r.T).argmax(1)  # all lifted vectors have one norm
-                child[at] = n * FANOUT + best + 1
-                far[at] = np.sqrt(((x[at] - r[best]) ** 2).sum(1))
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), batch.column("copies"), pa.array(child), pa.array(far)], names=["vec_id", "v", "copies", "node", "far"])
+            node, part, kind = (batch.column(c).to_numpy() for c in ("node", "part", "kind"))
+            cuts = np.flatnonzero(np.concatenate(([True], (node[1:] != node[:-1]) | (part[1:] != part[:-1]) | (kind[1:] != kind[:-1]), [True])))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                piece = batch.slice(a, b - a)
+                x = _matrix(piece.column("v"), dims)
+                if (node[a], part[a]) != place:
+                    place, known = (node[a], part[a]), []
+                if kind[a] == 0:
+                    known.append(x)
+                    continue
+                yield _moved(piece, node[a:b], *_nearest(x, np.concatenate(known), norm2))
 
-    return crowded.join(routers, "node").select("vec_id", "v", "copies", "node", "routers").mapInArrow(run, "vec_id long, v array<long>, copies int, node long, far double")
+    return both.mapInArrow(meeting, _SPLIT)
 
 
 def _dot(a: str, b: str) -> Column:
@@ -110,7 +161,7 @@ def _lifted_distance(a: str, b: str, norm2: float) -> Column:
     return F.sqrt(F.greatest(2 * (F.lit(norm2) - _dot(a, b) - high(a) * high(b)), F.lit(0.0)))
 
 
-def grow(rows: DataFrame, dims: int, norm2: float, subtree: int, fanout: int) -> tuple[DataFrame, DataFrame, int]:
+def grow(rows: DataFrame, dims: int, norm2: float, subtree: int, fanout: int, sent: int = SENT) -> tuple[DataFrame, DataFrame, int]:
     """The leaves' vectors ``(node, vec_id, v, copies)``, the nodes ``(node, parent, router, radius, parent_far, leaf)`` and the number of levels."""
     now = rows.withColumn("node", F.lit(0).cast("long"))
     sizes = now.groupBy("node").agg(F.count("*").alias("n"))
@@ -121,14 +172,17 @@ def grow(rows: DataFrame, dims: int, norm2: float, subtree: int, fanout: int) ->
         if crowded.isEmpty():
             leaves.append(now.select("node", "vec_id", "v", "copies"))
             break
-        leaves.append(now.join(crowded, "node", "left_anti").select("node", "vec_id", "v", "copies"))
-        full = now.join(crowded, "node")
+        if levels:
+            leaves.append(now.join(crowded, "node", "left_anti").select("node", "vec_id", "v", "copies"))
+            full = now.join(crowded, "node")
+        else:  # all are in the root
+            full = now.withColumn("n", F.lit(sizes.first()["n"]))
         # a node needs no more routing objects than twice its leaves
         place = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("vec_id", F.lit(levels)), "vec_id"))
         wanted = F.least(F.lit(fanout), F.greatest(F.lit(2), F.ceil(2 * F.col("n") / subtree)))
         some = full.withColumn("_k", place).where((F.col("_k") <= fanout) & (F.col("_k") <= wanted))
         routers = stash(some.groupBy("node").agg(F.array_sort(F.array_distinct(F.collect_list("v"))).alias("routers")), "mtree-routers")
-        now = stash(_split(full.select("node", "vec_id", "v", "copies"), routers, dims, norm2), "mtree-level")
+        now = stash(_split(full.select("node", "vec_id", "v", "copies"), crowded, routers, dims, norm2, sent), "mtree-level")
         sizes = now.groupBy("node").agg(F.count("*").alias("n"), F.max("far").alias("radius"))
         sizes = stash(sizes, "mtree-radii")
         child = routers.select(F.col("node").alias("parent"), F.posexplode("routers").alias("no", "router")).withColumn("node", F.col("parent") * FANOUT + F.col("no") + 1)
@@ -156,22 +210,22 @@ def _below(frontier: DataFrame, nodes: DataFrame, norm2: float) -> DataFrame:
 
 
 def nearest_leaf(queries: DataFrame, nodes: DataFrame, levels: int, norm2: float) -> DataFrame:
-    """``(vec_id, v, q2, node)``: the leaf that a query reaches by its nearest routing object on every level."""
+    """``(vec_id, q, v, q2, node)``: the leaf that a query reaches by its nearest routing object on every level."""
     now, done = queries.withColumn("node", F.lit(0).cast("long")), []
     for _ in range(levels):
         step = _below(now, nodes, norm2)
-        best = F.row_number().over(Window.partitionBy("vec_id", "v").orderBy("d", "node"))
-        step = stash(step.withColumn("_rn", best).where("_rn = 1").select("vec_id", "v", "q2", "node", "leaf"), "mtree-descent")
+        best = F.row_number().over(Window.partitionBy("vec_id", "q").orderBy("d", "node"))
+        step = stash(step.withColumn("_rn", best).where("_rn = 1").select("vec_id", "q", "v", "q2", "node", "leaf"), "mtree-descent")
         done.append(step.where("leaf").drop("leaf"))
         now = step.where("NOT leaf").drop("leaf")
     return reduce(DataFrame.unionByName, done)
 
 
 def within_reach(queries: DataFrame, nodes: DataFrame, levels: int, norm2: float) -> DataFrame:
-    """``(vec_id, v, q2, reach, node)``: the leaves whose covering ball a query's ``reach`` meets."""
+    """``(vec_id, q, v, q2, reach, node)``: the leaves whose covering ball a query's ``reach`` meets."""
     now, done = queries.withColumns({"node": F.lit(0).cast("long"), "d": F.lit(None).cast("double")}), []
     for _ in range(levels):
-        step = stash(_below(now, nodes, norm2).where("low <= reach").select("vec_id", "v", "q2", "reach", "node", "d", "leaf"), "mtree-frontier")
+        step = stash(_below(now, nodes, norm2).where("low <= reach").select("vec_id", "q", "v", "q2", "reach", "node", "d", "leaf"), "mtree-frontier")
         done.append(step.where("leaf").drop("leaf", "d"))
         now = step.where("NOT leaf").drop("leaf")
     return reduce(DataFrame.unionByName, done)
@@ -206,6 +260,12 @@ class Tree:
         self.ids, self.vectors, self.copies, self.norm2 = ids, vectors, copies, norm2
         self.root = Node(lift(vectors, norm2), np.arange(len(ids)), None)
 
+    def scores(self, at: np.ndarray, query: np.ndarray) -> list[int]:
+        """Exact inner products; Python's integers where longs could overflow."""
+        if self.norm2 < 2.0**62:
+            return (self.vectors[at] @ query).tolist()
+        return (self.vectors[at].astype(object) @ query.astype(object)).tolist()
+
     def search(self, qid: int, query: np.ndarray, k: int, reach: float) -> list[tuple[int, int]]:
         """The k best ``(score, -id)`` for a query among those within its reach, best first."""
         q = np.append(query.astype(np.float64), 0.0)
@@ -226,9 +286,9 @@ class Tree:
             if node.children:
                 continue
             at = node.at[np.abs(d - node.far) <= reach + slack]
-            at = at[self.ids[at] != qid]
-            for s, i in zip((self.vectors[at] @ query).tolist(), at.tolist()):
-                for _ in range(int(self.copies[i])):
+            own = (self.ids[at] == qid) & (self.vectors[at] == query).all(1)
+            for s, i, less in zip(self.scores(at, query), at.tolist(), own.tolist()):
+                for _ in range(int(self.copies[i]) - less):
                     entry = (s, -int(self.ids[i]))
                     if len(best) < k:
                         heapq.heappush(best, entry)
@@ -240,9 +300,11 @@ class Tree:
 
 
 def searched(leaves: DataFrame, asked: DataFrame, dims: int, norm2: float, k: int) -> DataFrame:
-    """``(query_id, vec_id, score)``: the k best of each leaf for the queries ``asked(vec_id, v, reach, node)`` of it."""
-    kept = leaves.join(asked.select("node").distinct(), "node", "left_semi").select("node", F.lit(0).alias("kind"), "vec_id", "v", "copies", F.lit(0.0).alias("reach"))
-    both = kept.unionByName(asked.select("node", F.lit(1).alias("kind"), "vec_id", "v", F.lit(0).alias("copies"), "reach"))
+    """``(query_id, q, vec_id, score)``: the k best of each leaf for the queries ``asked(vec_id, v, q, reach, node)`` of it."""
+    kept = leaves.join(asked.select("node").distinct(), "node", "left_semi").select("node", F.lit(0).alias("kind"), "vec_id", "v", "copies", F.lit(0.0).alias("reach"), F.lit(0).cast("long").alias("q"))
+    both = kept.unionByName(asked.select("node", F.lit(1).alias("kind"), "vec_id", "v", F.lit(0).alias("copies"), "reach", "q"))
+    wide = norm2 >= 2.0**62
+    kind = pa.decimal128(38, 0) if wide else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, got, tree = None, [], None
@@ -259,21 +321,25 @@ def searched(leaves: DataFrame, asked: DataFrame, dims: int, norm2: float, k: in
                     continue
                 if tree is None:
                     tree, got = Tree(*(np.concatenate(y) for y in zip(*got)), norm2), []
-                out = [(int(q), -v, s) for q, y, r in zip(ids, x, part.column("reach").to_numpy()) for s, v in tree.search(int(q), y, k, float(r))]
+                out = [(int(i), int(q), -v, Decimal(s) if wide else s) for i, q, y, r in zip(ids, part.column("q").to_numpy(), x, part.column("reach").to_numpy()) for s, v in tree.search(int(i), y, k, float(r))]
                 if out:
-                    q, v, s = zip(*out)
-                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
+                    i, q, v, s = zip(*out)
+                    yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, kind)], names=["query_id", "q", "vec_id", "score"])
 
     laid = both.repartition(partitions(leaves.sparkSession), "node").sortWithinPartitions("node", "kind", "vec_id")
-    return laid.mapInArrow(run, "query_id long, vec_id long, score long")
+    return laid.mapInArrow(run, f"query_id long, q long, vec_id long, score {'decimal(38,0)' if wide else 'long'}")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "q", "rank", "vec_id", "score")
+
+
+def _shown(ranked: DataFrame) -> DataFrame:
+    return ranked.select("query_id", "rank", "vec_id", F.expr("try_cast(score AS bigint)").alias("score"))
 
 
-def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, subtree: int = SUBTREE, fanout: int = FANOUT) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, subtree: int = SUBTREE, fanout: int = FANOUT, sent: int = SENT) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the rows whose id is divisible by ``every``."""
     spark = vectors.sparkSession
     rows = stash(integers(vectors), "mtree-vectors")
@@ -281,16 +347,16 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, subtree: int = SUB
     if dims is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dims, norm2 = max(1, int(dims)), float(norm2)
-    leaves, nodes, levels = grow(stash(candidates(rows, k), "mtree-candidates"), dims, norm2, subtree, fanout)
-    queries = stash(rows.where(F.col("vec_id") % every == 0).distinct().withColumn("q2", _dot("v", "v")), "mtree-queries")
+    leaves, nodes, levels = grow(stash(candidates(rows, k), "mtree-candidates"), dims, norm2, subtree, fanout, sent)
+    queries = stash(rows.where(F.col("vec_id") % every == 0).distinct().withColumns({"q": F.xxhash64("v"), "q2": _dot("v", "v")}), "mtree-queries")
     endless = F.lit(float("inf"))
     if not levels:
-        return _ranked(searched(leaves, queries.select("vec_id", "v", endless.alias("reach"), F.lit(0).cast("long").alias("node")), dims, norm2, k), k)
+        return _shown(_ranked(searched(leaves, queries.select("vec_id", "q", "v", endless.alias("reach"), F.lit(0).cast("long").alias("node")), dims, norm2, k), k))
     first = nearest_leaf(queries, nodes, levels, norm2)
     begun = stash(_ranked(searched(leaves, first.withColumn("reach", endless), dims, norm2, k), k), "mtree-first")
-    worst = begun.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("worst"))
+    worst = begun.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "q", F.col("score").cast("double").alias("worst"))
     slack = 1e-6 * (1 + F.sqrt(F.col("q2") + norm2))
     reach = F.when(F.col("worst").isNull(), endless).otherwise(F.sqrt(F.greatest(F.col("q2") + norm2 - 2.0 * F.col("worst"), F.lit(0.0))) + slack)
-    known = queries.join(worst, "vec_id", "left").withColumn("reach", reach).drop("worst")
-    rest = within_reach(known, nodes, levels, norm2).join(first.select("vec_id", "v", "node"), ["vec_id", "v", "node"], "left_anti")
-    return _ranked(begun.select("query_id", "vec_id", "score").unionByName(searched(leaves, rest, dims, norm2, k)), k)
+    known = queries.join(worst, ["vec_id", "q"], "left").withColumn("reach", reach).drop("worst")
+    rest = within_reach(known, nodes, levels, norm2).join(first.select("vec_id", "q", "node"), ["vec_id", "q", "node"], "left_anti")
+    return _shown(_ranked(begun.select("query_id", "q", "vec_id", "score").unionByName(searched(leaves, rest, dims, norm2, k)), k))
