@@ -97,3 +97,28 @@ def rank_from_top(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
     rows, counts = _bucketed(df.select(key, column), column, descending=True, nulls_first=False)
     ranked = rows.withColumn("_k", F.rank().over(Window.partitionBy("_b").orderBy("_v"))).join(F.broadcast(counts), "_b")
     return df.join(ranked.select(key, F.when(F.col("_v").isNotNull(), F.col("_before") + F.col("_k")).cast("bigint").alias(name)), key)
+
+
+def order_statistics(rows: DataFrame, keys: list[str], value: str, ranks: dict[str, Column], steps: int = 256) -> DataFrame:
+    """``keys`` and, for each ``name: rank``, the value of that rank (from 1) in its group; a rank is a column of the group's size ``_n``.
+
+    Selection by counting: equal values are counted first, so the group with a
+    third of all rows is summed by every task; a histogram of ``steps`` equal
+    steps between a group's least and greatest value tells in which step a rank
+    lies, and only that step's values are put in order. Nulls have no rank, a
+    null key is a group, and a group's values are never held in one row.
+    """
+    group = F.struct(*keys)
+    counted = cut(rows.where(F.col(value).isNotNull()).groupBy(group.alias("_g"), F.col(value).alias("_v")).agg(F.count("*").alias("_c")))
+    sizes = counted.groupBy("_g").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    share = (F.col("_v").cast("double") - F.col("_low")) / (F.col("_high").cast("double") - F.col("_low"))
+    step = F.when(F.col("_high") > F.col("_low"), F.least(F.floor(share * steps), F.lit(steps - 1))).otherwise(0)
+    stepped = counted.join(sizes, "_g").select("_g", "_v", "_c", "_n", step.cast("int").alias("_step"))
+    counts = stepped.groupBy("_g", "_step").agg(F.sum("_c").alias("_s"), F.first("_n").alias("_n"))  # at most ``steps`` rows a group
+    upto = F.sum("_s").over(Window.partitionBy("_g").orderBy("_step"))
+    asked = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), rank.cast("long").alias("rank")) for name, rank in ranks.items())))
+    asked = counts.withColumn("_before", upto - F.col("_s")).withColumn("_r", asked).where("_before < _r.rank AND _r.rank <= _before + _s")
+    inside = stepped.select("_g", "_step", "_v", "_c").join(asked.select("_g", "_step", "_before", "_r"), ["_g", "_step"])
+    here = F.sum("_c").over(Window.partitionBy("_g", "_r.name").orderBy("_v")) + F.col("_before")
+    found = inside.withColumn("_k", here).where("_k >= _r.rank").groupBy("_g", F.col("_r.name").alias("_name")).agg(F.min("_v").alias("_v"))
+    return found.groupBy("_g").agg(*(F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks)).select("_g.*", *ranks)

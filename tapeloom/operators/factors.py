@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import cume_dists, ntile
+from ..functions.ranking import cume_dists, cut, ntile, order_statistics
 
 # Sector synonyms, grade points, themes, labels, thresholds and weights that the views are defined by.
 SECTOR_NAMES = {
@@ -127,11 +127,16 @@ SUMMARY_MEASURES = ["rsi_14", "price_vs_sma20_pct", "price_vs_sma50_pct", "price
 
 def sector_summary(universe: DataFrame) -> DataFrame:
     """Counts, caps with their median, and cap-weighted measures of each sector."""
-    return universe.groupBy("sector").agg(
+    universe = cut(universe)
+    sums = universe.groupBy("sector").agg(
         F.count("*").alias("ticker_count"), F.sum("market_cap").alias("aggregate_market_cap"), F.sum("holding_pct_value").alias("aggregate_vti_holding_pct"),
-        F.avg("market_cap").alias("avg_market_cap"), F.median("market_cap").alias("median_market_cap"), F.sum("dollar_volume_20d_polygon").alias("aggregate_20d_dollar_volume"),
+        F.avg("market_cap").alias("avg_market_cap"), F.sum("dollar_volume_20d_polygon").alias("aggregate_20d_dollar_volume"),
         *(F.sum(F.col("sector_market_cap_weight") * F.col(m)).alias(f"cap_weighted_{m}") for m in SUMMARY_MEASURES),
     )
+    n = F.col("_n")
+    middle = order_statistics(universe, ["sector"], "market_cap", {"_lower": F.floor((n + 1) / 2), "_upper": F.floor(n / 2) + 1}).withColumnRenamed("sector", "_sector")
+    both = sums.join(middle, F.col("sector").eqNullSafe(F.col("_sector")), "left")
+    return both.withColumn("median_market_cap", (F.col("_lower") + F.col("_upper")) / 2).drop("_sector", "_lower", "_upper")
 
 
 def returns(bars: DataFrame) -> DataFrame:

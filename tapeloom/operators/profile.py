@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranking import order_statistics
+
 MILESTONES = [570, 630, 720, 780, 840, 900, 930]  # fixed values: minutes of the day of the reported times
 ET_OFFSET = 4 * 60
 
@@ -28,16 +30,18 @@ def profile(bars: DataFrame, bin_minutes: int = 5) -> DataFrame:
     Volumes are whole shares, so the deviation is taken from sums that are exact in any order.
     """
     bin_ = F.expr(f"minute div {bin_minutes} * {bin_minutes}").cast("int")
-    grouped = cumulative(bars).groupBy("ticker", bin_.alias("bin")).agg(
-        F.count("*").alias("count"), F.avg("cum_vol").alias("_avg"), (F.sqrt(F.greatest(F.count("*") * F.sum(F.col("cum_vol") * F.col("cum_vol")) - F.sum("cum_vol") * F.sum("cum_vol"), F.lit(0.0))) / F.count("*")).alias("_std"), F.array_sort(F.collect_list("cum_vol")).alias("_all")
+    running = cumulative(bars).select("ticker", bin_.alias("bin"), "cum_vol").where(F.col("bin") >= ET_OFFSET)
+    grouped = running.groupBy("ticker", "bin").agg(
+        F.count("*").alias("count"), F.avg("cum_vol").alias("_avg"), (F.sqrt(F.greatest(F.count("*") * F.sum(F.col("cum_vol") * F.col("cum_vol")) - F.sum("cum_vol") * F.sum("cum_vol"), F.lit(0.0))) / F.count("*")).alias("_std")
     )
-    quarter = lambda k: F.element_at("_all", (F.expr(f"{k} * count div 4") + 1).cast("int"))
+    quarter = lambda k: F.expr(f"{k} * _n div 4 + 1")
+    grouped = grouped.join(order_statistics(running, ["ticker", "bin"], "cum_vol", {"_p25": quarter(1), "_p75": quarter(3)}), ["ticker", "bin"])
     avg, std = F.col("_avg"), F.col("_std")
-    out = grouped.where((F.col("count") >= 3) & (F.col("bin") >= ET_OFFSET))
+    out = grouped.where(F.col("count") >= 3)
     whole = lambda x: F.bround(x).cast("long")
     return out.select(
         "ticker", (F.col("bin") - ET_OFFSET).alias("et_minute"), whole(avg).alias("avg"), whole(std).alias("std"),
-        F.bround(F.round(F.when(avg > 0, std / avg * 100).otherwise(0.0), 9), 1).alias("cv_pct"), whole(quarter(1)).alias("p25"), whole(quarter(3)).alias("p75"), "count",
+        F.bround(F.round(F.when(avg > 0, std / avg * 100).otherwise(0.0), 9), 1).alias("cv_pct"), whole(F.col("_p25")).alias("p25"), whole(F.col("_p75")).alias("p75"), "count",
         whole(avg * 1.5).alias("above_15x"), whole(avg * 0.5).alias("below_05x"),
     )
 

@@ -8,6 +8,8 @@ from ..operators import bars as B
 from ..operators import indicators as I
 from ..operators import views as V
 from ..registry import query
+from ..sinks import commits as K
+from ..sources.folders import fresh
 from ..sources.tables import DAY, HOUR, daily_bars, hourly_bars, millis, table
 from .sql import DAILY, FOUR_HOURS, HOURLY, recurrences, with_
 
@@ -195,6 +197,18 @@ def indicators_latest_daily(spark, sf_dir):
     return out.select("ticker", "timestamp", "timeframe", "close", "sma_20", "sma_50", "sma_200", "volume_spike", *(F.round(c, 6).alias(c) for c in _LATEST), "macd_line")
 
 
+@query(
+    with_(DAILY, VIEW_DAILY, _tail("daily", 260), *recurrences("tail", 50), recursive=True)
+    + f"SELECT r.ticker, r.timestamp, 'daily' AS timeframe, r.close, v.sma_20, v.sma_50, v.sma_200, v.volume_spike, {', '.join(f'round(r.{c}, 6) AS {c}' for c in _LATEST)}, NULL::DOUBLE AS macd_line FROM rec r JOIN view_daily v ON r.ticker = v.ticker AND r.timestamp = v.timestamp {_LAST}"
+)
+def indicators_latest_stored(spark, sf_dir):
+    """The newest daily indicators from a table of months, of which only those that hold each ticker's last 260 bars are read."""
+    path = fresh(spark, "bars")
+    K.create(daily_bars(spark, sf_dir), path)
+    out = I.latest_daily(K.newest(spark, path, 260))
+    return out.select("ticker", "timestamp", "timeframe", "close", "sma_20", "sma_50", "sma_200", "volume_spike", *(F.round(c, 6).alias(c) for c in _LATEST), "macd_line")
+
+
 @query(with_(HOURLY, _tail("hourly", 1000), *recurrences("tail", 50), recursive=True) + f"SELECT ticker, timestamp, '1h' AS timeframe, close, {_rounded(_LATEST + _MACD)} FROM rec {_LAST}")
 def indicators_latest_1h(spark, sf_dir):
     return I.latest_only(hourly_bars(spark, sf_dir), "1h", 1000).select("ticker", "timestamp", "timeframe", "close", *(F.round(c, 6).alias(c) for c in _LATEST + _MACD))
@@ -248,6 +262,34 @@ def gap_report(spark, sf_dir):
     return of_days.unionByName(of_weeks)
 
 
+@query(
+    with_(DAILY, _SPREAD, "days AS (SELECT ticker, timestamp // 86400000 * 86400000 AS timestamp FROM spread GROUP BY ALL HAVING count(*) >= 6)")
+    + """SELECT ticker, count(*) AS bars, max(timestamp) AS last_ts FROM daily
+ WHERE ticker NOT IN (SELECT ticker FROM days WHERE timestamp > (SELECT max(timestamp) FROM days) - 30::BIGINT * 86400000) GROUP BY ticker"""
+)
+def gap_report_covered(spark, sf_dir):
+    """The daily half of the gap report from the coverage of two tables; the derived one grew by two merges."""
+    source, derived = fresh(spark, "bars"), fresh(spark, "bars")
+    K.create(daily_bars(spark, sf_dir), source)
+    rolled = B.daily_from_hourly(_spread(spark, sf_dir)).select(*B.BAR)
+    late = F.col("timestamp") >= 788_918_400_000
+    K.create(rolled.where(~late), derived)
+    K.merge(derived, rolled.where(late), B.materialise)
+    return K.gaps(spark, source, derived)
+
+
+@query(
+    with_(DAILY, _SPREAD, "days AS (SELECT ticker, timestamp // 86400000 * 86400000 AS timestamp FROM spread GROUP BY ALL HAVING count(*) >= 6)")
+    + "SELECT ticker, strftime(make_timestamp(timestamp * 1000), '%Y-%m') AS period, count(*)::INTEGER AS days FROM daily d WHERE NOT EXISTS (SELECT 1 FROM days x WHERE x.ticker = d.ticker AND x.timestamp = d.timestamp) GROUP BY ALL"
+)
+def gap_days_covered(spark, sf_dir):
+    """Days with a daily bar and no derived one, by ticker and month, from the bitmaps."""
+    source, derived = fresh(spark, "bars"), fresh(spark, "bars")
+    K.create(daily_bars(spark, sf_dir), source)
+    K.create(B.daily_from_hourly(_spread(spark, sf_dir)), derived)
+    return K.missing_days(spark, source, derived)
+
+
 # A table of daily bars that lacks each fourth day; its own bars are stamped 04:00, as a vendor's are.
 _HAVE = """d AS (SELECT ticker, timestamp // 86400000 * 86400000 AS timestamp, """ + _ROLLUP + """ FROM hourly GROUP BY ticker, timestamp // 86400000 * 86400000 HAVING count(*) >= 6),
 have AS (SELECT ticker, timestamp + 14400000 AS timestamp, open, high, low, close, volume, vwap, bar_count::INTEGER AS transactions FROM d WHERE timestamp // 86400000 % 4 <> 0),

@@ -58,7 +58,7 @@ def test_a_merge_killed_before_its_commit_leaves_the_old_table(spark, table, mon
         m.setattr(K, "_commit", killed)
         with pytest.raises(KeyboardInterrupt):
             K.merge(table, bars(spark, ("Z", 0, 1, 1)), by_date)
-    assert rows_of(spark, table) == old and K.latest(spark, table) == 0 and len(K.unused(spark, table)) == 1
+    assert rows_of(spark, table) == old and K.latest(spark, table) == 0 and len(K.unused(spark, table)) == 2
     K.merge(table, bars(spark, ("Z", 0, 1, 1)), by_date)
     assert rows_of(spark, table) == old | {("Z", 0, 1.0, 1)}
 
@@ -138,3 +138,42 @@ def test_a_stream_that_runs_a_batch_again_merges_it_once(spark, table, tmp_path)
     bars(spark, ("C", 2 * DAY, 6, 3)).write.mode("append").parquet(arrived)  # the official bar comes late
     T.provisional(source(), table)
     assert ("C", 2 * DAY, 6.0, 3) in rows_of(spark, table) and K.latest(spark, table) == version + 1
+
+
+def test_coverage_follows_every_commit(spark, table):
+    cover = lambda: {(r["ticker"], r["period"]): (r["bars"], r["days"], r["last_ts"]) for r in K.coverage(spark, table).collect()}
+    assert cover() == {("A", "1970-01"): (1, 1, 0), ("B", "1970-01"): (1, 2, DAY), ("A", "1970-02"): (1, 1, MONTH), ("A", "1970-04"): (1, 8, 3 * MONTH)}
+    K.merge(table, bars(spark, ("A", 30 * DAY, 9, 7), ("C", MONTH + 5, 8, 7)), by_date)
+    assert cover() == {("A", "1970-01"): (2, 1 | 1 << 30, 30 * DAY), ("B", "1970-01"): (1, 2, DAY), ("A", "1970-02"): (1, 1, MONTH), ("C", "1970-02"): (1, 1, MONTH + 5), ("A", "1970-04"): (1, 8, 3 * MONTH)}
+
+
+def test_newest_bars_read_few_months(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    K.create(bars(spark, *(("A", k * 10 * DAY, k, 1) for k in range(100)), *(("B", k * 10 * DAY, k, 1) for k in range(60, 100)), ("OLD", 5, 1, 1), ("NEW", 990 * DAY, 1, 1)), path)
+    for count in (1, 4, 30, 1000):
+        got = K.newest(spark, path, count)
+        want = {(t, at) for t, at in ((r["ticker"], r["timestamp"]) for r in K.read(spark, path).collect())}
+        tail = {(t, at) for t, at in want if sum(1 for u, x in want if u == t and x > at) < count}
+        assert tail <= {(r["ticker"], r["timestamp"]) for r in got.collect()}
+        from tapeloom.operators import views as V
+
+        assert {(r["ticker"], r["timestamp"]) for r in V.latest(got, count).collect()} == tail
+    few = sum("-cover" not in f for f in K.newest(spark, path, 4).inputFiles())
+    all_files = len(K.read(spark, path).inputFiles())
+    assert few <= 5 < all_files
+
+
+def test_gaps_from_coverage_equal_the_report(spark, tmp_path):
+    from tapeloom.operators import bars as B
+
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    source = bars(spark, ("gone", 1 * DAY, 1, 1), ("gone", 2 * DAY, 1, 1), ("old", 60 * DAY, 1, 1), ("edge", 100 * DAY, 1, 1), ("fresh", 100 * DAY, 1, 1))
+    derived = bars(spark, ("old", 60 * DAY, 1, 1), ("edge", 70 * DAY, 1, 1), ("fresh", 71 * DAY, 1, 1), ("other", 100 * DAY, 1, 1))
+    K.create(source, one)
+    K.create(derived.where("false"), two)
+    rows = lambda frame: sorted(tuple(r) for r in frame.select("ticker", "bars", "last_ts").collect())
+    assert rows(K.gaps(spark, one, two)) == rows(B.gap_report(source, derived.where("false")))
+    K.merge(two, derived, by_date)
+    for days in (30, None):
+        assert rows(K.gaps(spark, one, two, days)) == rows(B.gap_report(source, derived, days))
+    assert sorted(tuple(r) for r in K.missing_days(spark, one, two).collect()) == [("edge", "1970-04", 1), ("fresh", "1970-04", 1), ("gone", "1970-01", 2)]
