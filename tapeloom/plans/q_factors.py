@@ -9,6 +9,7 @@ from ..operators import factors as X
 from ..operators import laggards as L
 from ..registry import query
 from ..sources.tables import daily_bars, rich
+from . import fixed as W
 from . import sql as S
 
 
@@ -32,34 +33,34 @@ def _round(df, *columns, digits: int = 6):
 _UNI = f"""uni AS (SELECT *, market_cap / nullif(sum(market_cap) OVER (PARTITION BY sector), 0) AS sector_market_cap_weight, market_cap / nullif(sum(market_cap) OVER (), 0) AS universe_market_cap_weight,
  holding_pct_value / nullif(sum(holding_pct_value) OVER (PARTITION BY sector), 0) AS sector_vti_weight, holding_pct_value / nullif(sum(holding_pct_value) OVER (), 0) AS universe_vti_weight,
  (row_number() OVER (PARTITION BY sector ORDER BY market_cap DESC, ticker))::INTEGER AS sector_market_cap_rank, (row_number() OVER (ORDER BY market_cap DESC, ticker))::INTEGER AS universe_market_cap_rank
- FROM (SELECT *, {case([(f"raw_sector = '{k}'", v) for k, v in X.SECTOR_NAMES.items()])} AS sector FROM rich WHERE market_cap > 5e9 AND raw_sector NOT IN ('', 'No Data')) WHERE sector IS NOT NULL)"""
+ FROM (SELECT *, {case([(f"raw_sector = '{k}'", v) for k, v in W.SECTOR_NAMES.items()])} AS sector FROM rich WHERE market_cap > 5e9 AND raw_sector NOT IN ('', 'No Data')) WHERE sector IS NOT NULL)"""
 _RET = """ranked AS (SELECT ticker, timestamp, close, row_number() OVER (PARTITION BY ticker ORDER BY timestamp DESC) AS rk, max(timestamp) OVER (PARTITION BY ticker) AS last FROM daily WHERE close > 0),
-olds AS (SELECT ticker, max(last) AS last, max(close) FILTER (rk = 1) AS c0, """ + ", ".join(f"max(close) FILTER (rk = {k}) AS c_{n}" for n, k in X.RETURN_RANKS.items()) + """,
+olds AS (SELECT ticker, max(last) AS last, max(close) FILTER (rk = 1) AS c0, """ + ", ".join(f"max(close) FILTER (rk = {k}) AS c_{n}" for n, k in W.RETURN_RANKS.items()) + """,
  arg_min(close, timestamp) FILTER (year(make_timestamp(timestamp * 1000)) = year(make_timestamp(last * 1000))) AS c_ytd FROM ranked GROUP BY ticker),
-ret AS (SELECT ticker, make_timestamp(last * 1000)::DATE AS latest_price_day, c0 AS latest_close, """ + ", ".join(f"100.0 * (c0 / nullif(c_{n}, 0) - 1.0) AS ret_{n}_pct" for n in [*X.RETURN_RANKS, "ytd"]) + " FROM olds)"
-_POINTS = lambda g: case([(f"upper({g}_grade) = '{k}'", v) for k, v in X.GRADE_POINTS.items()])
+ret AS (SELECT ticker, make_timestamp(last * 1000)::DATE AS latest_price_day, c0 AS latest_close, """ + ", ".join(f"100.0 * (c0 / nullif(c_{n}, 0) - 1.0) AS ret_{n}_pct" for n in [*W.RETURN_RANKS, "ytd"]) + " FROM olds)"
+_POINTS = lambda g: case([(f"upper({g}_grade) = '{k}'", v) for k, v in W.GRADE_POINTS.items()])
 _FEAT = "feat AS (SELECT *, " + ", ".join(f"cume_dist() OVER (ORDER BY ret_{m}_pct NULLS FIRST) AS ret_{m}_pctile" for m in ("1m", "3m", "6m", "ytd")) + f""",
  cume_dist() OVER (ORDER BY volatility_annual_polygon DESC NULLS LAST) AS low_vol_pctile, cume_dist() OVER (ORDER BY dollar_volume_20d_polygon NULLS FIRST) AS liquidity_pctile
  FROM (SELECT u.*, r.* EXCLUDE (ticker), {', '.join(f'{_POINTS(g)} AS dolt_{g}_score' for g in ('value', 'growth', 'momentum'))},
- {case([(f"keyword_factor_baskets LIKE '%{t}%'", t) for t in X.THEMES])} AS clean_keyword_theme FROM uni u JOIN ret r ON u.ticker = r.ticker))"""
-_SC = f"""sc0 AS (SELECT *, 10.0 * {blend(X.MOMENTUM, '0.5')} AS price_momentum_score, least(10.0::DOUBLE, greatest(0.0::DOUBLE, {' + '.join(case(s, '0.0::DOUBLE') for s in X.TREND_POINTS)})) AS trend_structure_score,
- {case(X.RSI_SCORES)} AS rsi_regime_score, 10.0 * low_vol_pctile AS vol_risk_score, 10.0 * liquidity_pctile AS liquidity_score,
+ {case([(f"keyword_factor_baskets LIKE '%{t}%'", t) for t in W.THEMES])} AS clean_keyword_theme FROM uni u JOIN ret r ON u.ticker = r.ticker))"""
+_SC = f"""sc0 AS (SELECT *, 10.0 * {blend(W.MOMENTUM, '0.5')} AS price_momentum_score, least(10.0::DOUBLE, greatest(0.0::DOUBLE, {' + '.join(case(s, '0.0::DOUBLE') for s in W.TREND_POINTS)})) AS trend_structure_score,
+ {case(W.RSI_SCORES)} AS rsi_regime_score, 10.0 * low_vol_pctile AS vol_risk_score, 10.0 * liquidity_pctile AS liquidity_score,
  coalesce(dolt_value_score, dolt_growth_score, dolt_momentum_score) IS NOT NULL AS has_dolthub_vgm FROM feat),
-sc1 AS (SELECT *, {blend(X.QUANT)} AS quant_factor_score FROM sc0),
-sc AS (SELECT *, (ntile(5) OVER (ORDER BY quant_factor_score DESC NULLS LAST, ticker))::INTEGER AS quant_factor_quintile, {case(X.PATTERNS)} AS price_pattern_basket, {case(X.STYLES)} AS dolthub_style_basket,
- {case(X.TREND_VOL)} AS trend_vol_basket, coalesce(clean_keyword_theme, 'No Clean Keyword Theme') AS thematic_basket FROM sc1)"""
+sc1 AS (SELECT *, {blend(W.QUANT)} AS quant_factor_score FROM sc0),
+sc AS (SELECT *, (ntile(5) OVER (ORDER BY quant_factor_score DESC NULLS LAST, ticker))::INTEGER AS quant_factor_quintile, {case(W.PATTERNS)} AS price_pattern_basket, {case(W.STYLES)} AS dolthub_style_basket,
+ {case(W.TREND_VOL)} AS trend_vol_basket, coalesce(clean_keyword_theme, 'No Clean Keyword Theme') AS thematic_basket FROM sc1)"""
 _HALF = lambda **w: blend({f"{c}_pctile": x for c, x in w.items()}, "0.5")
-_PROD = f"""pr0 AS (SELECT *, {case(X.SIZES)} AS size_bucket, {case(X.LIQUIDITY)} AS liquidity_bucket, {case(X.REGIMES)} AS return_regime,
- CASE WHEN thematic_basket NOT IN ('No Clean Keyword Theme', 'Macro Rates / Inflation') THEN thematic_basket END AS production_theme, {case(X.OVERLAYS)} AS dolthub_overlay_label,
+_PROD = f"""pr0 AS (SELECT *, {case(W.SIZES)} AS size_bucket, {case(W.LIQUIDITY)} AS liquidity_bucket, {case(W.REGIMES)} AS return_regime,
+ CASE WHEN thematic_basket NOT IN ('No Clean Keyword Theme', 'Macro Rates / Inflation') THEN thematic_basket END AS production_theme, {case(W.OVERLAYS)} AS dolthub_overlay_label,
  CASE WHEN has_dolthub_vgm THEN (coalesce(dolt_value_score, 5.0) + coalesce(dolt_growth_score, 5.0) + coalesce(dolt_momentum_score, 5.0)) / 3.0 END AS dolthub_overlay_score FROM sc),
 pr1 AS (SELECT *, 10.0 * {_HALF(ret_1m=0.40, ret_3m=0.35, ret_6m=0.15, ret_ytd=0.10)} AS production_price_momentum_score,
  10.0 * ({_HALF(ret_1m=0.45, ret_3m=0.30, liquidity=0.15)} + 0.1::DOUBLE * coalesce(universe_market_cap_weight / nullif(max(universe_market_cap_weight) OVER (), 0), 0)) AS size_liquidity_momentum_score,
- 10.0 * ({_HALF(ret_1m=0.35, ret_3m=0.20, liquidity=0.25)} + 0.2::DOUBLE * {case(X.SIZE_POINTS)}) AS institutional_momentum_score,
+ 10.0 * ({_HALF(ret_1m=0.35, ret_3m=0.20, liquidity=0.25)} + 0.2::DOUBLE * {case(W.SIZE_POINTS)}) AS institutional_momentum_score,
  least(10.0::DOUBLE, greatest(0.0::DOUBLE, 0.7::DOUBLE * coalesce(primary_keyword_factor_score, 0) + CASE WHEN production_theme IS NOT NULL THEN 2.0 ELSE 0.0 END)) AS clean_theme_score,
  CASE WHEN close > sma_20 AND close > sma_50 AND close > sma_200 AND sma_20 > sma_50 THEN 1 ELSE 0 END AS aligned_uptrend_flag, CASE WHEN close > keltner_upper THEN 1 WHEN close < keltner_lower THEN -1 ELSE 0 END AS keltner_position_flag FROM pr0),
-pr2 AS (SELECT *, {blend(X.CORE)} AS core_factor_score FROM pr1),
+pr2 AS (SELECT *, {blend(W.CORE)} AS core_factor_score FROM pr1),
 pr3 AS (SELECT *, core_factor_score + CASE WHEN dolthub_overlay_score >= 7.5 THEN 0.25 WHEN dolthub_overlay_score <= 2.5 THEN -0.25 ELSE 0.0 END AS production_factor_score FROM pr2),
-prod AS (SELECT *, (ntile(5) OVER (ORDER BY production_factor_score DESC NULLS LAST, ticker))::INTEGER AS production_factor_quintile, {case(X.PRODUCTION)} AS production_factor_basket FROM pr3)"""
+prod AS (SELECT *, (ntile(5) OVER (ORDER BY production_factor_score DESC NULLS LAST, ticker))::INTEGER AS production_factor_quintile, {case(W.PRODUCTION)} AS production_factor_basket FROM pr3)"""
 
 
 def _chain(*more: str) -> str:
@@ -100,15 +101,15 @@ def sector_slice(spark, sf_dir):
     return _round(X.sector_slice(_universe(spark, sf_dir), "Financials").select(*_UNI_COLS, *_UNI_NUM), *_UNI_NUM)
 
 
-_SUM = ["aggregate_market_cap", "aggregate_vti_holding_pct", "avg_market_cap", "median_market_cap", "aggregate_20d_dollar_volume", *(f"cap_weighted_{m}" for m in X.SUMMARY_MEASURES)]
+_SUM = ["aggregate_market_cap", "aggregate_vti_holding_pct", "avg_market_cap", "median_market_cap", "aggregate_20d_dollar_volume", *(f"cap_weighted_{m}" for m in W.SUMMARY_MEASURES)]
 
 
-@query(_chain("s AS (SELECT sector, count(*) AS ticker_count, sum(market_cap) AS aggregate_market_cap, sum(holding_pct_value) AS aggregate_vti_holding_pct, avg(market_cap) AS avg_market_cap, median(market_cap) AS median_market_cap, sum(dollar_volume_20d_polygon) AS aggregate_20d_dollar_volume, " + ", ".join(f"sum(sector_market_cap_weight * {m}) AS cap_weighted_{m}" for m in X.SUMMARY_MEASURES) + " FROM uni GROUP BY sector)") + f"SELECT sector, ticker_count, {rounded(*_SUM, digits=4)} FROM s")
+@query(_chain("s AS (SELECT sector, count(*) AS ticker_count, sum(market_cap) AS aggregate_market_cap, sum(holding_pct_value) AS aggregate_vti_holding_pct, avg(market_cap) AS avg_market_cap, median(market_cap) AS median_market_cap, sum(dollar_volume_20d_polygon) AS aggregate_20d_dollar_volume, " + ", ".join(f"sum(sector_market_cap_weight * {m}) AS cap_weighted_{m}" for m in W.SUMMARY_MEASURES) + " FROM uni GROUP BY sector)") + f"SELECT sector, ticker_count, {rounded(*_SUM, digits=4)} FROM s")
 def sector_summary(spark, sf_dir):
     return _round(X.sector_summary(_universe(spark, sf_dir)), *_SUM, digits=4)
 
 
-_RETS = [f"ret_{n}_pct" for n in [*X.RETURN_RANKS, "ytd"]]
+_RETS = [f"ret_{n}_pct" for n in [*W.RETURN_RANKS, "ytd"]]
 
 
 @query(S.with_(S.DAILY, _RET) + f"SELECT ticker, latest_price_day, latest_close, {rounded(*_RETS)} FROM ret")
@@ -142,7 +143,7 @@ def _member(baskets, source: str) -> str:
     return "mem AS (" + " UNION ALL ".join(f"SELECT *, '{k}' AS basket_type, {n} AS basket_name, ({s})::DOUBLE AS basket_score FROM {source}" for k, n, s in baskets) + ")"
 
 
-_MEM = (*_ALL, _member(X.MEMBER_BASKETS, "sc"))
+_MEM = (*_ALL, _member(W.MEMBER_BASKETS, "sc"))
 
 
 @query(_chain(*_MEM) + f"SELECT ticker, basket_type, basket_name, quant_factor_quintile, {rounded('basket_score', 'quant_factor_score')} FROM mem")
@@ -150,15 +151,15 @@ def factor_membership(spark, sf_dir):
     return _round(X.membership(_scores(spark, sf_dir)).select("ticker", "basket_type", "basket_name", "quant_factor_quintile", "basket_score", "quant_factor_score"), "basket_score", "quant_factor_score")
 
 
-_AVGS = ["aggregate_market_cap", *(f"avg_{m}" for m in X.SUMMARY_AVERAGES)]
+_AVGS = ["aggregate_market_cap", *(f"avg_{m}" for m in W.SUMMARY_AVERAGES)]
 
 
-@query(_chain(*_MEM, "s AS (SELECT basket_type, basket_name, count(*) AS ticker_count, sum(market_cap) AS aggregate_market_cap, " + ", ".join(f"avg({m}) AS avg_{m}" for m in X.SUMMARY_AVERAGES) + ", string_agg(ticker, ', ' ORDER BY market_cap DESC, ticker) AS tickers_by_market_cap FROM mem GROUP BY ALL)") + f"SELECT basket_type, basket_name, ticker_count, tickers_by_market_cap, {rounded(*_AVGS, digits=4)} FROM s")
+@query(_chain(*_MEM, "s AS (SELECT basket_type, basket_name, count(*) AS ticker_count, sum(market_cap) AS aggregate_market_cap, " + ", ".join(f"avg({m}) AS avg_{m}" for m in W.SUMMARY_AVERAGES) + ", string_agg(ticker, ', ' ORDER BY market_cap DESC, ticker) AS tickers_by_market_cap FROM mem GROUP BY ALL)") + f"SELECT basket_type, basket_name, ticker_count, tickers_by_market_cap, {rounded(*_AVGS, digits=4)} FROM s")
 def factor_summary(spark, sf_dir):
     return _round(X.basket_summary(X.membership(_scores(spark, sf_dir))), *_AVGS, digits=4)
 
 
-@query(_chain(*_ALL) + " UNION ALL ".join(f"SELECT ticker, '{n}' AS list_name, round(quant_factor_score, 6) AS quant_factor_score FROM sc WHERE {c}" for n, c in (("leaders", "quant_factor_quintile = 1"), ("momentum_breakouts", f"price_pattern_basket = '{X.PATTERNS[0][1]}'"), ("oversold", f"price_pattern_basket = '{X.PATTERNS[3][1]}'"))))
+@query(_chain(*_ALL) + " UNION ALL ".join(f"SELECT ticker, '{n}' AS list_name, round(quant_factor_score, 6) AS quant_factor_score FROM sc WHERE {c}" for n, c in (("leaders", "quant_factor_quintile = 1"), ("momentum_breakouts", f"price_pattern_basket = '{W.PATTERNS[0][1]}'"), ("oversold", f"price_pattern_basket = '{W.PATTERNS[3][1]}'"))))
 def factor_leaders(spark, sf_dir):
     return _round(X.leaders(_scores(spark, sf_dir)).select("ticker", "list_name", "quant_factor_score"), "quant_factor_score")
 
@@ -177,7 +178,7 @@ def production_baskets(spark, sf_dir):
     return _round(_produced(spark, sf_dir).select("ticker", "production_factor_quintile", "production_factor_basket", "production_factor_score"), "production_factor_score")
 
 
-_PMEM = (*_PRODUCED, _member(X.PRODUCTION_BASKETS, "prod"))
+_PMEM = (*_PRODUCED, _member(W.PRODUCTION_BASKETS, "prod"))
 
 
 @query(_chain(*_PMEM) + "SELECT ticker, basket_type, basket_name, round(basket_score, 6) AS basket_score FROM mem")
@@ -185,7 +186,7 @@ def production_membership(spark, sf_dir):
     return _round(X.membership(_produced(spark, sf_dir), X.PRODUCTION_BASKETS).select("ticker", "basket_type", "basket_name", "basket_score"), "basket_score")
 
 
-_W = ["factor_score", *X.VECTOR_MEASURES, "volatility_annual"]
+_W = ["factor_score", *W.VECTOR_MEASURES, "volatility_annual"]
 _VEC_NUM = ["aggregate_market_cap", "aggregate_20d_dollar_volume", "avg_factor_score", *(f"cap_weighted_{w}" for w in _W), "liquidity_weighted_ret_1m_pct", "liquidity_weighted_ret_3m_pct"]
 _SOURCE = {"factor_score": "production_factor_score", "volatility_annual": "volatility_annual_polygon"}
 _VEC = f"""vec AS (SELECT basket_type, basket_name, count(*) AS ticker_count, sum(market_cap) AS aggregate_market_cap, sum(dollar_volume_20d_polygon) AS aggregate_20d_dollar_volume, avg(production_factor_score) AS avg_factor_score,
@@ -202,15 +203,15 @@ def basket_vectors(spark, sf_dir):
     return _round(_vectors(spark, sf_dir), *_VEC_NUM, digits=4)
 
 
-@query(_chain(*_PMEM, _VEC, "v AS (SELECT * FROM vec WHERE basket_type IN ('production_factor', 'theme') AND ticker_count >= 10)") + "SELECT a.basket_type, a.basket_name AS basket_a, b.basket_name AS basket_b, " + ", ".join(f"round(a.cap_weighted_{c} - b.cap_weighted_{c}, 4) AS {n}" for n, c in X.SPREADS.items()) + ", a.ticker_count AS basket_a_count, b.ticker_count AS basket_b_count FROM v a JOIN v b ON a.basket_type = b.basket_type AND a.basket_name < b.basket_name")
+@query(_chain(*_PMEM, _VEC, "v AS (SELECT * FROM vec WHERE basket_type IN ('production_factor', 'theme') AND ticker_count >= 10)") + "SELECT a.basket_type, a.basket_name AS basket_a, b.basket_name AS basket_b, " + ", ".join(f"round(a.cap_weighted_{c} - b.cap_weighted_{c}, 4) AS {n}" for n, c in W.SPREADS.items()) + ", a.ticker_count AS basket_a_count, b.ticker_count AS basket_b_count FROM v a JOIN v b ON a.basket_type = b.basket_type AND a.basket_name < b.basket_name")
 def basket_spreads(spark, sf_dir):
-    return _round(X.basket_spreads(_vectors(spark, sf_dir)), *X.SPREADS, digits=4)
+    return _round(X.basket_spreads(_vectors(spark, sf_dir)), *W.SPREADS, digits=4)
 
 
 _IN = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 
 
-@query(_chain(*_PRODUCED) + " UNION ALL ".join(f"SELECT ticker, '{n}' AS list_name, round(production_factor_score, 6) AS production_factor_score FROM prod WHERE {c}" for n, c in (("leaders", "production_factor_quintile = 1"), ("breakouts", f"production_factor_basket IN {_IN(X.BREAKOUTS)}"), ("overlay", "has_dolthub_vgm"))))
+@query(_chain(*_PRODUCED) + " UNION ALL ".join(f"SELECT ticker, '{n}' AS list_name, round(production_factor_score, 6) AS production_factor_score FROM prod WHERE {c}" for n, c in (("leaders", "production_factor_quintile = 1"), ("breakouts", f"production_factor_basket IN {_IN(W.BREAKOUTS)}"), ("overlay", "has_dolthub_vgm"))))
 def production_lists(spark, sf_dir):
     return _round(X.production_lists(_produced(spark, sf_dir)).select("ticker", "list_name", "production_factor_score"), "production_factor_score")
 
@@ -219,13 +220,13 @@ def production_lists(spark, sf_dir):
 
 _LB = "lb AS (SELECT *, ln(greatest(market_cap, 1)) AS log_market_cap, ln(greatest(coalesce(dollar_volume_20d_polygon, dollar_volume, close * volume, 1), 1)) AS log_dollar_volume FROM prod WHERE market_cap >= 5e9 AND ret_1m_pct IS NOT NULL AND ret_3m_pct IS NOT NULL AND production_factor_score IS NOT NULL)"
 _SLOPE = lambda c: f"CASE WHEN isnan(regr_slope(ret_1m_pct, {c})) THEN 0.0 ELSE coalesce(regr_slope(ret_1m_pct, {c}), 0.0) END"
-_LS = "ls AS (SELECT production_factor_basket, count(*) AS basket_count, avg(ret_6m_pct) AS basket_avg_ret_6m, avg(ret_ytd_pct) AS basket_avg_ret_ytd, " + ", ".join(f"avg({c}) AS basket_avg_{k}, stddev_samp({c}) AS basket_std_{k}" for k, c in L.STATS.items()) + ", " + ", ".join(f"{_SLOPE(c)} AS beta_{k}" for k, c in L.SLOPES.items()) + " FROM lb GROUP BY production_factor_basket)"
-_LE = "le AS (SELECT lb.*, ls.* EXCLUDE (production_factor_basket), " + ", ".join(f"{c} - basket_avg_{k} AS {k}_deviation, CASE WHEN basket_std_{k} > 0 THEN ({c} - basket_avg_{k}) / basket_std_{k} ELSE 0 END AS {L.Z_NAMES[k]}" for k, c in L.STATS.items()) + ", basket_avg_ret_1m + " + " + ".join(f"beta_{k} * ({c} - basket_avg_{k})" for k, c in L.SLOPES.items()) + " AS expected_ret_1m_pct FROM lb JOIN ls ON lb.production_factor_basket = ls.production_factor_basket)"
+_LS = "ls AS (SELECT production_factor_basket, count(*) AS basket_count, avg(ret_6m_pct) AS basket_avg_ret_6m, avg(ret_ytd_pct) AS basket_avg_ret_ytd, " + ", ".join(f"avg({c}) AS basket_avg_{k}, stddev_samp({c}) AS basket_std_{k}" for k, c in W.STATS.items()) + ", " + ", ".join(f"{_SLOPE(c)} AS beta_{k}" for k, c in W.SLOPES.items()) + " FROM lb GROUP BY production_factor_basket)"
+_LE = "le AS (SELECT lb.*, ls.* EXCLUDE (production_factor_basket), " + ", ".join(f"{c} - basket_avg_{k} AS {k}_deviation, CASE WHEN basket_std_{k} > 0 THEN ({c} - basket_avg_{k}) / basket_std_{k} ELSE 0 END AS {W.Z_NAMES[k]}" for k, c in W.STATS.items()) + ", basket_avg_ret_1m + " + " + ".join(f"beta_{k} * ({c} - basket_avg_{k})" for k, c in W.SLOPES.items()) + " AS expected_ret_1m_pct FROM lb JOIN ls ON lb.production_factor_basket = ls.production_factor_basket)"
 _LR = f"""lr0 AS (SELECT *, ret_1m_pct - expected_ret_1m_pct AS regression_residual_1m_pct, CASE WHEN basket_std_ret_1m > 0 THEN (ret_1m_pct - expected_ret_1m_pct) / basket_std_ret_1m ELSE 0 END AS regression_residual_z_score FROM le WHERE basket_count >= 10),
 lr1 AS (SELECT *, 0.40::DOUBLE * greatest(-regression_residual_z_score, 0) + 0.20::DOUBLE * greatest(-ret_1m_z_score, 0) + 0.15::DOUBLE * greatest(-ret_3m_z_score, 0) + 0.10::DOUBLE * greatest(factor_score_z_score, 0) + 0.075::DOUBLE * greatest(size_z_score, 0) + 0.075::DOUBLE * greatest(liquidity_z_score, 0) AS relative_value_laggard_score,
- {case(L.FLAGS)} AS laggard_methodology_flag, {case(L.THESES)} AS long_thesis_type, {case(L.RISKS)} AS risk_note, {case(L.HORIZONS)} AS expected_time_horizon FROM lr0),
+ {case(W.FLAGS)} AS laggard_methodology_flag, {case(W.THESES)} AS long_thesis_type, {case(W.RISKS)} AS risk_note, {case(W.HORIZONS)} AS expected_time_horizon FROM lr0),
 lr AS (SELECT *, (row_number() OVER (PARTITION BY production_factor_basket ORDER BY relative_value_laggard_score DESC, regression_residual_1m_pct, ret_1m_deviation, ticker))::INTEGER AS laggard_rank_in_basket FROM lr1),
-li AS (SELECT *, {case(L.CATALYSTS)} AS expected_catalyst FROM lr WHERE laggard_rank_in_basket <= 10)"""
+li AS (SELECT *, {case(W.CATALYSTS)} AS expected_catalyst FROM lr WHERE laggard_rank_in_basket <= 10)"""
 _LAG = (*_PRODUCED, _LB, _LS)
 
 
@@ -233,7 +234,7 @@ def _lag_base(spark, sf_dir):
     return L.base(_produced(spark, sf_dir))
 
 
-_ST_NUM = [f"basket_{n}_{k}" for k in L.STATS for n in ("avg", "std")] + [f"beta_{k}" for k in L.SLOPES]
+_ST_NUM = [f"basket_{n}_{k}" for k in W.STATS for n in ("avg", "std")] + [f"beta_{k}" for k in W.SLOPES]
 
 
 @query(_chain(*_LAG) + f"SELECT production_factor_basket, basket_count, {rounded(*_ST_NUM, digits=4)} FROM ls")
@@ -241,7 +242,7 @@ def laggard_stats(spark, sf_dir):
     return _round(L.stats(_lag_base(spark, sf_dir)).select("production_factor_basket", "basket_count", *_ST_NUM), *_ST_NUM, digits=4)
 
 
-_LE_NUM = [*(f"{k}_deviation" for k in L.STATS), *L.Z_NAMES.values(), "expected_ret_1m_pct"]
+_LE_NUM = [*(f"{k}_deviation" for k in W.STATS), *W.Z_NAMES.values(), "expected_ret_1m_pct"]
 
 
 @query(_chain(*_LAG, _LE) + f"SELECT ticker, production_factor_basket, {rounded(*_LE_NUM, digits=4)} FROM le")
@@ -279,7 +280,7 @@ _CB = f"""cb AS (SELECT production_factor_basket, count(*) AS basket_count, avg(
 cd AS (SELECT p.*, cb.* EXCLUDE (production_factor_basket), ret_1m_pct - basket_avg_ret_1m_pct AS ret_1m_deviation_pct, ret_3m_pct - basket_avg_ret_3m_pct AS ret_3m_deviation_pct, ret_ytd_pct - basket_avg_ret_ytd_pct AS ret_ytd_deviation_pct, rsi_14 - basket_avg_rsi_14 AS rsi_deviation, production_factor_score - basket_avg_factor_score AS factor_score_deviation FROM prod p JOIN cb ON p.production_factor_basket = cb.production_factor_basket),
 cz AS (SELECT *, CASE WHEN basket_std_ret_1m_pct > 0 THEN ret_1m_deviation_pct / basket_std_ret_1m_pct ELSE 0 END AS ret_1m_z_score, CASE WHEN basket_std_ret_3m_pct > 0 THEN ret_3m_deviation_pct / basket_std_ret_3m_pct ELSE 0 END AS ret_3m_z_score, CASE WHEN basket_std_rsi_14 > 0 THEN rsi_deviation / basket_std_rsi_14 ELSE 0 END AS rsi_z_score FROM cd),
 cs AS (SELECT *, -1.0 * (0.30::DOUBLE * coalesce(ret_1m_z_score, 0) + 0.25::DOUBLE * coalesce(ret_3m_z_score, 0) + 0.20::DOUBLE * coalesce(factor_score_deviation, 0) + 0.15::DOUBLE * coalesce(rsi_z_score, 0) + 0.10::DOUBLE * coalesce(ret_ytd_deviation_pct / nullif(abs(basket_avg_ret_ytd_pct), 0), 0)) AS combined_laggard_score,
- {case(L.REVERSION)} AS mean_reversion_regime, {case(L.ASSESSMENT)} AS relative_value_assessment, {case(L.DIVERGENCE)} AS momentum_divergence, {case(L.TREND)} AS momentum_trend, {case(L.VALUATION)} AS valuation_vs_basket FROM cz),
+ {case(W.REVERSION)} AS mean_reversion_regime, {case(W.ASSESSMENT)} AS relative_value_assessment, {case(W.DIVERGENCE)} AS momentum_divergence, {case(W.TREND)} AS momentum_trend, {case(W.VALUATION)} AS valuation_vs_basket FROM cz),
 cr AS (SELECT *, (row_number() OVER (PARTITION BY production_factor_basket ORDER BY combined_laggard_score, ret_1m_deviation_pct, ret_3m_deviation_pct, ticker))::INTEGER AS laggard_rank_in_basket, (row_number() OVER (PARTITION BY production_factor_basket ORDER BY ret_1m_deviation_pct, ret_3m_deviation_pct, ticker))::INTEGER AS worst_return_rank_in_basket,
  cume_dist() OVER (PARTITION BY production_factor_basket ORDER BY combined_laggard_score) AS laggard_percentile_in_basket FROM cs)"""
 _CB_COLS = ["ticker", "production_factor_basket", "mean_reversion_regime", "relative_value_assessment", "momentum_divergence", "momentum_trend", "valuation_vs_basket", "laggard_rank_in_basket", "worst_return_rank_in_basket", "laggard_percentile_in_basket"]
@@ -291,8 +292,8 @@ def laggard_zscore(spark, sf_dir):
     return _round(L.combined(_produced(spark, sf_dir)).select(*_CB_COLS, *num), *num, digits=4)
 
 
-@query(_chain(*_PRODUCED, _CB, f"""ci AS (SELECT *, {case(L.RATIONALE)} AS long_idea_rationale, {case(L.CATALYST)} AS catalyst, {case(L.RISK)} AS risk_assessment FROM cr
- WHERE laggard_rank_in_basket <= 10 AND momentum_divergence IN {_IN(L.KEPT_DIVERGENCE)} AND mean_reversion_regime IN {_IN(L.KEPT_REVERSION)} AND relative_value_assessment IN {_IN(L.KEPT_ASSESSMENT)})""") + """SELECT production_factor_basket, count(*) AS idea_count, round(avg(ret_1m_deviation_pct), 4) AS avg_ret_1m_deviation,
+@query(_chain(*_PRODUCED, _CB, f"""ci AS (SELECT *, {case(W.RATIONALE)} AS long_idea_rationale, {case(W.CATALYST)} AS catalyst, {case(W.RISK)} AS risk_assessment FROM cr
+ WHERE laggard_rank_in_basket <= 10 AND momentum_divergence IN {_IN(W.KEPT_DIVERGENCE)} AND mean_reversion_regime IN {_IN(W.KEPT_REVERSION)} AND relative_value_assessment IN {_IN(W.KEPT_ASSESSMENT)})""") + """SELECT production_factor_basket, count(*) AS idea_count, round(avg(ret_1m_deviation_pct), 4) AS avg_ret_1m_deviation,
  round(avg(ret_3m_deviation_pct), 4) AS avg_ret_3m_deviation, round(avg(production_factor_score), 4) AS avg_factor_score, round(avg(rsi_14), 4) AS avg_rsi_14, sum(market_cap) AS aggregate_market_cap, string_agg(ticker, ', ' ORDER BY combined_laggard_score, ticker) AS tickers,
  string_agg(production_theme, ', ' ORDER BY combined_laggard_score, ticker) AS themes, string_agg(long_idea_rationale, '. ' ORDER BY combined_laggard_score, ticker) AS idea_rationales FROM ci GROUP BY production_factor_basket""")
 def laggard_zscore_ideas(spark, sf_dir):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as X
 from ..operators import audit as A
 from ..operators import classify as C
 from ..operators import indicators as I
@@ -13,6 +12,7 @@ from ..operators import snapshot as S
 from ..operators import views as V
 from ..registry import query
 from ..sources.tables import companies, daily_bars, table
+from . import fixed as W
 from .q_bars import VIEW_DAILY
 from .sql import COMPANIES, DAILY, recurrences, with_
 
@@ -52,11 +52,11 @@ def _quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-_ALIAS = "CASE " + " ".join(f"WHEN s = '{a}' THEN '{b}'" for a, b in X.ALIASES.items()) + " ELSE s END"
-_PHRASES = " OR ".join(f"contains(keyword, '{p}')" for p in X.BLOCKED if " " in p)
+_ALIAS = "CASE " + " ".join(f"WHEN s = '{a}' THEN '{b}'" for a, b in W.ALIASES.items()) + " ELSE s END"
+_PHRASES = " OR ".join(f"contains(keyword, '{p}')" for p in W.BLOCKED if " " in p)
 NORMAL = r"trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(trim({0}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), '\s+', ' ', 'g'), '&', 'and'), '[^a-z0-9+./ -]', '', 'g'), '\s+', ' ', 'g'), ' -')"
 WORDS = f"""words AS (SELECT upper(name) AS ticker, id, published_utc, pos, {_ALIAS} AS keyword FROM (SELECT *, {NORMAL.format('k')} AS s FROM (SELECT *, unnest(keywords) AS k, unnest(range(len(keywords))) AS pos FROM articles))),
-good AS (SELECT * FROM words WHERE (length(keyword) >= 3 OR keyword IN ({_quoted(X.SHORT)})) AND keyword NOT IN ({_quoted(X.BLOCKED)}) AND NOT ({_PHRASES})),
+good AS (SELECT * FROM words WHERE (length(keyword) >= 3 OR keyword IN ({_quoted(W.SHORT)})) AND keyword NOT IN ({_quoted(W.BLOCKED)}) AND NOT ({_PHRASES})),
 firsts AS (SELECT * FROM (SELECT ticker, keyword, min(row(-epoch_ms(published_utc), id, pos)) AS f FROM good GROUP BY ticker, keyword) QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY f) <= 25),
 listed AS (SELECT ticker, list(keyword ORDER BY f) AS l FROM firsts GROUP BY ticker),
 felt AS (SELECT upper(name) AS ticker, count(*) AS n, count(*) FILTER (judged AND sentiment = 'Positive') AS p, count(*) FILTER (judged AND sentiment = 'negative') AS m, count(*) FILTER (judged AND (sentiment IS NULL OR sentiment = 'mixed')) AS o FROM articles GROUP BY ALL),
@@ -102,7 +102,7 @@ def keyword_map(spark, sf_dir):
 
 
 def _case() -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches(keyword, '{'|'.join(p)}') THEN '{name}'" for name, p in X.BASKETS.items()) + " END"
+    return "CASE " + " ".join(f"WHEN regexp_matches(keyword, '{'|'.join(p)}') THEN '{name}'" for name, p in W.BASKETS.items()) + " END"
 
 
 FORMED = f"""freq AS (SELECT keyword, count(*) AS ticker_count, (SELECT greatest(count(DISTINCT ticker), 1) FROM map) AS n FROM map GROUP BY keyword),
@@ -149,7 +149,7 @@ def keyword_coverage(spark, sf_dir):
 # classification
 
 _NOW = "2024-06-01 00:00:00"
-_SIC = "CASE left({0}, 2) " + " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in X.SIC_SECTORS.items()) + " END"
+_SIC = "CASE left({0}, 2) " + " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in W.SIC_SECTORS.items()) + " END"
 SEED = f"""base AS (SELECT ticker, no, name, industry, exchange, sic_code, CASE WHEN no % 3 = 0 THEN ' ' || exchange WHEN no % 3 = 1 THEN '' END AS yf_sector, CASE WHEN no % 6 = 0 THEN industry END AS yf_industry FROM companies),
 cache AS (SELECT ticker, CASE WHEN no % 8 = 0 THEN 'Old' END AS sector, NULL::VARCHAR AS industry, 'old' AS source, CASE WHEN no % 16 = 0 THEN 5 ELSE 50 END AS source_priority, 0.5::DOUBLE AS confidence, TIMESTAMP '2024-01-01' AS enriched_at, TIMESTAMP '2024-05-01' AS stale_after, CASE WHEN no % 5 = 0 THEN 'timeout' END AS error FROM base WHERE no % 4 = 0),
 stage1 AS (SELECT ticker, nullif(trim(yf_sector), '') AS sector, yf_industry AS industry, 'warehouse_yfinance_snapshot' AS source, 10 AS source_priority, 0.85::DOUBLE AS confidence, TIMESTAMP '{_NOW}' AS enriched_at, TIMESTAMP '{_NOW}' + INTERVAL 120 DAY AS stale_after, NULL::VARCHAR AS error FROM base WHERE no % 7 < 3 AND (nullif(trim(yf_sector), '') IS NOT NULL OR yf_industry IS NOT NULL)),
