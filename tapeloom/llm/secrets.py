@@ -2,7 +2,7 @@
 
 A candidate is a run of at least 20 token characters, or any value of at least
 8 characters that is assigned to a credential's name (``password = "..."``); a
-quoted value may hold spaces. Its features are its length, its shares of character classes and the transitions between them, its
+quoted value may hold spaces and is one candidate up to its quote, however long. Its features are its length, its shares of character classes and the transitions between them, its
 entropy, how much of it the corpus's own frequent words cover, path-like
 surroundings, and the words beside it. The forest is trained on labelled
 findings: ``labelled`` holds findings (the columns of ``findings``) and a
@@ -34,7 +34,7 @@ _NAMES = r"token|secret|passw|pwd|api.?key|auth|bearer|credential|private|access
 #: A name with a credential's in it, = or : and a quote, up to where the value begins. The name may begin inside a run, which then ends before the value.
 ASSIGNMENT = rf"(?<![\w.+/=-])(?:[\w.-]{{0,64}}?|[A-Za-z0-9+/_.=-]{{0,19}}?)(?i:{_NAMES})[\w.-]{{0,24}}[\"'`\])]{{0,2}}[ \t]{{0,8}}[=:]{{1,2}}>?\s{{0,8}}(?i:(?:bearer|basic)[ \t]+)?[\"'`]?"
 #: All up to the closing quote, or all up to white space, a quote or the next parameter of an address, without the punctuation that follows.
-VALUE = r"(?:(?<=\")[^\"\r\n]{8,200}(?=\")|(?<=')[^'\r\n]{8,200}(?=')|(?<=`)[^`\r\n]{8,200}(?=`)|[^\s\"'`]{8,}?(?=[.,;:)\]}>]*(?:&[\w.-]+=|[\s\"'`]|\z)))"
+VALUE = r"(?:(?<=\")[^\"\r\n]{8,}+(?=\")|(?<=')[^'\r\n]{8,}+(?=')|(?<=`)[^`\r\n]{8,}+(?=`)|[^\s\"'`]{8,}?(?=[.,;:)\]}>]*(?:&[\w.-]+=|[\s\"'`]|\z)))"
 CANDIDATE = f"({ASSIGNMENT})({VALUE})|({RUN})"
 TRAIN, TREES, DEPTH, LEAST_PROBABILITY, MASK = 10_000, 40, 8, 0.5, "[SECRET]"
 #: Words of the dictionary, and the letters they have.

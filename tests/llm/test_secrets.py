@@ -113,3 +113,10 @@ def test_redact_keeps_columns_whatever_their_names(spark):
     got = sorted((r["_id"], r["text"], r["n_chars"], r["_hash"]) for r in out.collect())
     one = f'token = "{secrets.MASK}"'
     assert got == [(1, one, len(one), "a")] * 2 + [(2, None, None, "c"), (3, f'password = "{secrets.MASK}"', len(f'password = "{secrets.MASK}"'), "e")]
+
+
+def test_a_quoted_value_of_any_length_is_one_candidate(spark):
+    phrase = " ".join(f"word{k}" for k in range(200))
+    texts = [f'password = "{phrase}" and more', f"secret: '{phrase}'\nnext line", 'token = "' + "open quote without an end " * 40_000, 'password="' * 20_000]
+    got = secrets.findings(table(spark, texts)).select("doc_id", "candidate").collect()
+    assert [r["candidate"] for r in got if r["doc_id"] in (0, 1)] == [phrase, phrase]
