@@ -275,6 +275,15 @@ def _answer(hot: np.ndarray, hot_counts: np.ndarray, z: float):
     return run
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a task's shards for each strength."""
+    total = np.zeros(len(STRENGTHS))
+    for batch in batches:
+        for a in batch.column("a"):
+            total += np.frombuffer(a.as_buffer(), np.float64)
+    yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], names=["i", "v"])
+
+
 def score(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row of ``docs(doc_id, text)``."""
     shards = 4 + int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES
@@ -291,8 +300,8 @@ def score(docs: DataFrame) -> DataFrame:
     answers = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "kind", "batch").mapInArrow(_answer(hot, hot_counts, z), _DEALT)
     answers = stash(answers.drop("shard"), "lm-answers")
     total = np.zeros(len(STRENGTHS))
-    for r in answers.where("kind = 3").select("a").collect():  # a few numbers for each shard
-        total += np.frombuffer(r.a, np.float64)
+    for r in answers.where("kind = 3").select("a").mapInArrow(_added, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():  # one row a strength
+        total[r.i] = r.v
     best = int(np.argmax(total - n_docs * np.log10(1 + np.maximum(n_docs - 1, 0) / np.array(STRENGTHS))))
     start = math.log10(1 + n_docs / STRENGTHS[best])
 

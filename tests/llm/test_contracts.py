@@ -203,6 +203,21 @@ def test_op8(spark, folder, texts):
         assert got[i]["score"] < 0
     score, base = (sum(got[i][c] for i in texts if held[i]) for c in ("score", "base_score"))
     assert score > base
+    # the model itself, with exact counts: the trie's probabilities are quantised
+    from tapeloom.llm.lm import STRENGTHS
+
+    z = n + v + 1
+    chains = {i: [("start",), *w, None] for i, w in tokens.items()}
+    pair, context = Counter(), Counter()
+    for i, chain in chains.items():
+        if not held[i]:
+            pair.update(zip(chain, chain[1:]))
+            context.update(chain[:-1])
+    left_out = lambda m: sum(log10(((pair[c, w] - 1) + m * count[w] / z) / (context[c] - 1 + m)) for i, x in chains.items() if not held[i] for c, w in zip(x, x[1:]))
+    m = max(STRENGTHS, key=left_out)
+    for i, x in chains.items():
+        want = sum(log10((pair[c, w] + m * (count[w] + 1) / z) / (context[c] + m)) for c, w in zip(x, x[1:]))
+        assert got[i]["score"] == pytest.approx(want, rel=0.01, abs=0.02), (i, m)
 
 
 def test_op9_finds_a_planted_key_and_leaves_plain_text(spark, folder, texts):
