@@ -62,13 +62,13 @@ ENDS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDS.it
 BESIDE_TAGS = frozenset("aside button dialog footer form head menu nav noscript option search select template".split())
 BESIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 BESIDE = frozenset(
-    "ad ads adslot advert advertisement advertisements advertising adverts adv banner billboard breadcrumb breadcrumbs comment commentary commentlist comments consent cookie cookies copyright dfp disclaimer discussion disqus "
-    "footer gdpr hidden legal login masthead menu menubar menus modal nav navbar navigation navlinks newsletter notice notices notification outbrain overlay pager pagination popular popup promo promoted promotion promotions "
+    "ad ads adsbygoogle adslot advert advertisement advertisements advertising adverts adv alert alerts banner billboard breadcrumb breadcrumbs colophon comment commentary commentlist comments consent cookie cookies copyright crumbs dfp disclaimer discussion disqus "
+    "feedback footer gdpr guestbook hidden legal login masthead menu menubar menus modal nav navbar navigation navlinks newsletter notice notices notification outbrain overlay pager pagination popular popup promo promoted promotion promotions "
     "recommendations recommended related replies reply respond responses share sharebar sharing sidebar sidebars signin signup skip skiplink social sponsor sponsored sponsors subscribe subscription taboola tagcloud toolbar topbar trending widget widgets".split()
 )
 INSIDE = frozenset("article articlebody articlecontent entry post story".split())
 REGION = frozenset("body content main maincontent prose text".split())
-TALK = frozenset("comment comments commentlist discussion disqus replies reply respond responses".split())
+TALK = frozenset("comment comments commentlist discussion disqus feedback guestbook replies reply respond responses".split())
 HEADERS = frozenset("header headers".split())
 AROUND = frozenset("has no with without".split())
 

@@ -33,7 +33,7 @@ def test_given_pages(spark, tables):
 def test_layouts(wrap):
     article = f"<h1>A title &amp; more</h1><p>{LONG * 3}</p><p>Short.</p><h2>Then</h2><p>{LONG}<b>bold</b>, <a href=/x>a link</a> &#8212; end.<ul><li>{LONG}</li><li>{LONG * 2}</ul><blockquote>{LONG}</blockquote>"
     page = f"""<!DOCTYPE html><html><head><title>Site. A title.</title><style>p {{ margin: 0 }}</style><script>if (a < b) document.write("<p>no</p>")</script></head><body class="single sidebar-right">
-      <header><div>The Site, since 1990.</div>{SIDE}</header><div class="cookie-notice"><p>{LONG}</p></div>{SIDE}<div class="ad-slot">{LONG}</div>
+      <header><div>The Site, since 1990.</div>{SIDE}</header><div class="cookie-notice"><p>{LONG}</p></div><div class="alert alert-info"><p>{LONG}</p></div>{SIDE}<div class="ad-slot">{LONG}</div>
       {wrap.format(article + '<div class="ad">Buy this, now!</div>')}
       <aside><p>{LONG}</p></aside><section id="comments"><h3>Comments</h3><div class="comment-body"><p>{LONG * 4}</p></div></section><div class="related"><p>{LONG}</p></div>
       <form action=/s><label>Your mail, please.</label><textarea>{LONG}</textarea></form><footer><p>&copy; {LONG}</p></footer></body></html>"""
