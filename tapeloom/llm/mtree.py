@@ -260,11 +260,11 @@ class Tree:
         self.ids, self.vectors, self.copies, self.norm2 = ids, vectors, copies, norm2
         self.root = Node(lift(vectors, norm2), np.arange(len(ids)), None)
 
-    def scores(self, at: np.ndarray, query: np.ndarray) -> list[int]:
+    def scores(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Exact inner products; Python's integers where longs could overflow."""
         if self.norm2 < 2.0**62:
-            return (self.vectors[at] @ query).tolist()
-        return (self.vectors[at].astype(object) @ query.astype(object)).tolist()
+            return self.vectors[at] @ query
+        return self.vectors[at].astype(object) @ query.astype(object)
 
     def search(self, qid: int, query: np.ndarray, k: int, reach: float) -> list[tuple[int, int]]:
         """The k best ``(score, -id)`` for a query among those within its reach, best first."""
@@ -286,8 +286,13 @@ class Tree:
             if node.children:
                 continue
             at = node.at[np.abs(d - node.far) <= reach + slack]
-            own = (self.ids[at] == qid) & (self.vectors[at] == query).all(1)
-            for s, i, less in zip(self.scores(at, query), at.tolist(), own.tolist()):
+            score = self.scores(at, query)
+            if len(best) == k:  # the rest cannot enter
+                near = score >= best[0][0]
+                at, score = at[near], score[near]
+            own = self.ids[at] == qid
+            own[own] = (self.vectors[at[own]] == query).all(1)
+            for s, i, less in zip(score.tolist(), at.tolist(), own.tolist()):
                 for _ in range(int(self.copies[i]) - less):
                     entry = (s, -int(self.ids[i]))
                     if len(best) < k:
