@@ -6,10 +6,9 @@ Wilder average carries its last value across them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,9 +55,8 @@ def rsi(close: np.ndarray, period: int = 14) -> np.ndarray:
     return out
 
 
-def recurrent(pdf: pd.DataFrame) -> pd.DataFrame:
-    """All recurrences of one ticker's bars in time order."""
-    high, low, close = (pdf[c].to_numpy(float) for c in ("high", "low", "close"))
+def recurrent(high: np.ndarray, low: np.ndarray, close: np.ndarray) -> dict[str, np.ndarray]:
+    """All recurrences of one ticker's bars in time order, named as in RECURRENT."""
     before = np.concatenate(([np.nan], close[:-1]))[: len(close)]
     ranges = pd.DataFrame({"a": high - low, "b": np.abs(high - before), "c": np.abs(low - before)}).max(axis=1).to_numpy()
     series = pd.Series(close)
@@ -68,27 +66,34 @@ def recurrent(pdf: pd.DataFrame) -> pd.DataFrame:
     values = {"ema_20": mid, "rsi_14": rsi(close), "atr_14": wilder(ranges, 14), "keltner_middle": mid}
     for name, m in (("", 2.0), ("_1_5", 1.5), ("_3_0", 3.0)):
         values[f"keltner_upper{name}"], values[f"keltner_lower{name}"] = mid + m * a10, mid - m * a10
-    values |= {"macd_line": line.to_numpy(), "macd_signal": signal.to_numpy(), "macd_histogram": (line - signal).to_numpy()}
-    return pd.DataFrame(values, columns=RECURRENT)
+    return values | {"macd_line": line.to_numpy(), "macd_signal": signal.to_numpy(), "macd_histogram": (line - signal).to_numpy()}
+
 
+def with_recurrences(bars: DataFrame, keep: list[str] | None = None, part: slice = slice(None)) -> DataFrame:
+    """``bars`` with the columns of RECURRENT, one pass over each ticker's bars in time order; ``part`` says which of them are returned.
 
-def with_recurrences(bars: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``bars`` with the columns of RECURRENT: one shuffle by ticker, one pass over each ticker's sorted bars."""
+    Shuffles by ticker unless the rows are so dealt already. Columns that are kept stay in Arrow.
+    """
     keep = keep or bars.columns
     kinds = {f.name: f.dataType.simpleString() for f in bars.schema}
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"{c} double" for c in RECURRENT])
     need = list(dict.fromkeys([*keep, "ticker", "timestamp", "high", "low", "close"]))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches)).sort_values("timestamp").reset_index(drop=True)
-        yield pd.concat([pdf[keep], recurrent(pdf)], axis=1)  # a NaN becomes a null on its way to Arrow
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("timestamp")
+        values = recurrent(*(table.column(c).cast(pa.float64()).to_numpy() for c in ("high", "low", "close")))  # a null becomes a NaN
+        rows = range(table.num_rows)[part]
+        out = table.select(keep).slice(rows.start, len(rows))
+        for name in RECURRENT:
+            out = out.append_column(name, pa.array(values[name][part], pa.float64(), from_pandas=True))  # and a NaN a null
+        return out
 
-    return bars.select(*need).groupBy("ticker").applyInPandas(run, schema)
+    return bars.select(*need).groupBy("ticker").applyInArrow(run, schema)
 
 
 def gate(bars: DataFrame, least: int) -> DataFrame:
     """Only tickers with ``least`` bars or more."""
-    return bars.withColumn("_n", F.count("*").over(Window.partitionBy("ticker"))).where(F.col("_n") >= least).drop("_n")
+    return bars.withColumn("_n", F.count("*").over(by_time(Window.unboundedPreceding, Window.unboundedFollowing))).where(F.col("_n") >= least).drop("_n")
 
 
 def spikes(bars: DataFrame) -> DataFrame:
@@ -123,17 +128,21 @@ def vwap_deviation(bars: DataFrame) -> DataFrame:
 
 
 def backfill(bars: DataFrame, timeframe: str, least: int = 200) -> DataFrame:
-    """The full indicator set of every ticker with ``least`` bars, from its 200th bar on."""
+    """The full indicator set of every ticker with ``least`` bars, from its 200th bar on.
+
+    One shuffle by ticker: the windows come first, so that the recurrences find
+    their rows dealt and sorted.
+    """
     if "vwap" not in bars.columns:
         bars = bars.withColumn("vwap", F.lit(None).cast("double"))
     rows = gate(bars.select(*BAR, "vwap"), least)
-    rows = bollinger_full(with_averages(with_recurrences(rows), full=True))
+    rows = bollinger_full(with_averages(rows, full=True))
     if timeframe == "daily":
         rows = anchored_vwap(rows)
     else:
         rows = rows.withColumn("volume_spike", F.lit(False)).withColumn("anchored_vwap", F.lit(None).cast("double")).withColumn("vwap_anchor", F.lit(""))
-    rows = rows.withColumn("poc_approx", F.col("vwap")).withColumn("timeframe", F.lit(timeframe))
-    return rows.withColumn("_rn", F.row_number().over(by_time())).where("_rn >= 200").drop("_rn")
+    rows = with_recurrences(rows, part=slice(199, None))
+    return rows.withColumn("poc_approx", F.col("vwap")).withColumn("timeframe", F.lit(timeframe))
 
 
 def stale(bars: DataFrame, stored: DataFrame) -> DataFrame:
@@ -144,8 +153,11 @@ def stale(bars: DataFrame, stored: DataFrame) -> DataFrame:
 
 def latest_only(bars: DataFrame, timeframe: str, lookback: int, least: int = 50) -> DataFrame:
     """The newest indicator row of each ticker, computed from its last ``lookback`` bars only."""
-    rows = gate(latest(bars.select(*BAR), lookback), least)
-    return latest(with_recurrences(rows)).withColumn("timeframe", F.lit(timeframe))
+    return _newest(latest(bars.select(*BAR), lookback), timeframe, least)
+
+
+def _newest(recent: DataFrame, timeframe: str, least: int) -> DataFrame:
+    return with_recurrences(gate(recent, least), part=slice(-1, None)).withColumn("timeframe", F.lit(timeframe))
 
 
 def latest_daily(bars: DataFrame, lookback: int = 260, least: int = 50) -> DataFrame:
@@ -153,10 +165,8 @@ def latest_daily(bars: DataFrame, lookback: int = 260, least: int = 50) -> DataF
     from .views import daily
 
     empty = ["macd_line", "macd_signal", "macd_histogram"]
-    rows = latest_only(bars, "daily", lookback, least).drop(*empty)
-    recent = latest(bars, max(lookback, 260))  # no average of the view looks back further
-    view = latest(daily(recent)).select("ticker", "timestamp", "sma_20", "sma_50", "sma_200", "volume_spike")
-    rows = rows.join(view, ["ticker", "timestamp"])
+    view = daily(latest(bars, max(lookback, 260))).drop("avg_vol_20")  # no average of the view looks back further
+    rows = _newest(view if lookback >= 260 else latest(view, lookback), "daily", least)
     return rows.withColumns({c: F.lit(None).cast("double") for c in [*empty, "bb_upper", "bb_lower", "bb_width", "vwap", "poc_approx"]})
 
 
