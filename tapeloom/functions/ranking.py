@@ -1,10 +1,12 @@
 """Global ranks without a single-partition window.
 
-A value's bucket is its place among quantiles of the column, so buckets hold
-about equal numbers of rows however the values are spread. The buckets are
-counted first; a row's rank is the count of the buckets before it plus its rank
-inside its own bucket. The quantiles are cut off from the plan before they are
-used, so both of its branches agree, and ties always share a bucket.
+Rows are put in order by ranges, as many as Spark makes partitions of them, so
+the ranges grow in number with the rows and not in size. The ranges are counted
+first; a row's rank is the count of the ranges before it plus its place in its
+own. Ties in a row's number are broken before the ranges are cut, so one value
+or null that many rows share spreads over ranges; where peers share a rank,
+equal values are counted before they are ordered. The ordered rows are cut off
+from the plan, so all of its branches see the same ranges.
 """
 
 from __future__ import annotations
@@ -14,29 +16,17 @@ from pyspark.sql import functions as F
 
 from ..sources.folders import shared
 
-BUCKETS = 128
 
+def _in_order(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` from a checkpoint, in ranges of ``order``: ``_p`` numbers the range, ``_i`` rises inside it."""
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return cut(rows.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()}))
 
-def _edges(value: str) -> Column:
-    """The values between buckets."""
-    return F.array_distinct(F.percentile_approx(value, [k / BUCKETS for k in range(1, BUCKETS)], 100 * BUCKETS))
 
-
-def _bucket(nulls: Column) -> Column:
-    """How many edges lie below the value; nulls have a bucket of their own."""
-    below = F.size(F.filter("_edges", lambda e: e < F.col("_v")))
-    return F.when(F.col("_v").isNull(), nulls).otherwise(F.coalesce(below, F.lit(0))).cast("int")
-
-
-def _bucketed(df: DataFrame, column: str, descending: bool, nulls_first: bool) -> tuple[DataFrame, DataFrame]:
-    value = -F.col(column) if descending else F.col(column)
-    df = df.withColumn("_v", value.cast("double"))
-    edges = cut(df.agg(_edges("_v").alias("_edges")))
-    rows = df.join(F.broadcast(edges), F.lit(True)).withColumn("_b", _bucket(F.lit(-1 if nulls_first else BUCKETS))).drop("_edges")  # one row
-    counts = rows.groupBy("_b").agg(F.count("*").alias("_n"))
-    total = F.sum("_n").over(Window.partitionBy())  # at most BUCKETS + 1 rows
-    before = F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")
-    return rows, counts.select("_b", before.alias("_before"), total.alias("_total"))
+def _before(ranges: DataFrame, size: str, *within: str) -> DataFrame:
+    """``ranges`` (a row for each ``_p``) with the ``size`` of all ranges before, and of all there are, of the same ``within``."""
+    w = Window.partitionBy(*within)
+    return ranges.withColumns({"_before": F.sum(size).over(w.orderBy("_p")) - F.col(size), "_total": F.sum(size).over(w)})
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -58,16 +48,13 @@ def cume_dists(df: DataFrame, key: str, orders: dict[str, tuple[str, bool, bool]
     each = []
     for name, (column, descending, nulls_first) in orders.items():
         value = F.col(column).cast("double")
-        each.append(F.struct(F.lit(name).alias("_m"), (-value if descending else value).alias("_v"), F.lit(-1 if nulls_first else BUCKETS).alias("_nb")))
+        side = F.when(value.isNull(), -1 if nulls_first else 1).otherwise(0)
+        each.append(F.struct(F.lit(name).alias("_m"), side.alias("_side"), (-value if descending else value).alias("_v")))
     rows = df.select(key, F.explode(F.array(*each)).alias("_e")).select(key, "_e.*")
-    values = rows.groupBy("_m", "_v", "_nb").agg(F.count("*").alias("_n"))
-    edges = cut(values.groupBy("_m").agg(_edges("_v").alias("_edges")))  # one row per measure
-    values = values.join(F.broadcast(edges), "_m").withColumn("_b", _bucket(F.col("_nb"))).drop("_edges")
-    w = Window.partitionBy("_m")
-    counts = values.groupBy("_m", "_b").agg(F.sum("_n").alias("_c"))  # at most BUCKETS + 1 rows per measure
-    counts = counts.select("_m", "_b", (F.sum("_c").over(w.orderBy("_b")) - F.col("_c")).alias("_before"), F.sum("_c").over(w).alias("_total"))
-    upto = F.sum("_n").over(Window.partitionBy("_m", "_b").orderBy("_v"))
-    values = values.withColumn("_k", upto).join(F.broadcast(counts), ["_m", "_b"])
+    values = _in_order(rows.groupBy("_m", "_side", "_v").agg(F.count("*").alias("_n")), F.col("_m"), F.col("_side"), F.col("_v"))
+    ranges = _before(values.groupBy("_m", "_p").agg(F.sum("_n").alias("_c")), "_c", "_m").drop("_c")  # at most one row a range and measure
+    upto = F.sum("_n").over(Window.partitionBy("_m", "_p").orderBy("_i"))
+    values = values.withColumn("_k", upto).join(F.broadcast(ranges), ["_m", "_p"])
     values = values.select(F.col("_m").alias("_name"), F.col("_v").alias("_x"), ((F.col("_before") + F.col("_k")) / F.col("_total")).alias("_share"))
     found = rows.join(values, (F.col("_m") == F.col("_name")) & F.col("_v").eqNullSafe(F.col("_x")))
     found = found.groupBy(key).agg(*(F.max(F.when(F.col("_name") == name, F.col("_share"))).alias(name) for name in orders))
@@ -76,10 +63,11 @@ def cume_dists(df: DataFrame, key: str, orders: dict[str, tuple[str, bool, bool]
 
 def position(df: DataFrame, column: str, name: str, tie: str, descending: bool = False) -> DataFrame:
     """``name``: the row's number in the order of ``column``, nulls last, then ``tie``; ``_total`` rows are added too."""
-    rows, counts = _bucketed(cut(df), column, descending, nulls_first=False)
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_v", tie))
-    out = rows.withColumn("_k", inside).join(F.broadcast(counts), "_b")
-    return out.withColumn(name, (F.col("_before") + F.col("_k")).cast("int")).drop("_b", "_v", "_k", "_before")
+    value = F.col(column).cast("double")
+    rows = _in_order(df, (-value if descending else value).asc_nulls_last(), F.col(tie))
+    ranges = _before(rows.groupBy("_p").agg(F.count("*").alias("_c"), F.min("_i").alias("_first")), "_c").drop("_c")  # one row a range
+    out = rows.join(F.broadcast(ranges), "_p")
+    return out.withColumn(name, (F.col("_before") + F.col("_i") - F.col("_first") + 1).cast("int")).drop("_p", "_i", "_first", "_before")
 
 
 def ntile(df: DataFrame, tiles: int, column: str, name: str, tie: str, descending: bool = False) -> DataFrame:
@@ -91,12 +79,15 @@ def ntile(df: DataFrame, tiles: int, column: str, name: str, tie: str, descendin
     return out.withColumn(name, (tile + 1).cast("int")).drop("_pos", "_total")
 
 
-def rank_from_top(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
-    """``name``: one more than the number of rows with a greater value; null where there is none. ``key`` tells the rows apart."""
+def rank_from_top(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``name``: one more than the number of rows with a greater value; null where there is none."""
     df = cut(df)
-    rows, counts = _bucketed(df.select(key, column), column, descending=True, nulls_first=False)
-    ranked = rows.withColumn("_k", F.rank().over(Window.partitionBy("_b").orderBy("_v"))).join(F.broadcast(counts), "_b")
-    return df.join(ranked.select(key, F.when(F.col("_v").isNotNull(), F.col("_before") + F.col("_k")).cast("bigint").alias(name)), key)
+    counted = df.select((-F.col(column).cast("double")).alias("_v")).where("_v IS NOT NULL").groupBy("_v").agg(F.count("*").alias("_n"))
+    values = _in_order(counted, F.col("_v"))
+    ranges = _before(values.groupBy("_p").agg(F.sum("_n").alias("_c")), "_c").drop("_c", "_total")  # one row a range
+    less = F.sum("_n").over(Window.partitionBy("_p").orderBy("_i")) - F.col("_n")
+    ranked = values.withColumn("_k", less).join(F.broadcast(ranges), "_p").select("_v", (F.col("_before") + F.col("_k") + 1).cast("bigint").alias(name))
+    return df.withColumn("_v", -F.col(column).cast("double")).join(ranked, "_v", "left").drop("_v")
 
 
 def order_statistics(rows: DataFrame, keys: list[str], value: str, ranks: dict[str, Column], steps: int = 256) -> DataFrame:

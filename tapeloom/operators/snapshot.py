@@ -97,7 +97,7 @@ def enriched(as_of: str, held: DataFrame, others: list[DataFrame]) -> DataFrame:
         **{f"price_vs_sma{k}_pct": over(k) for k in (20, 50, 200)}, "volume_vs_20d": F.col("volume") / F.nullif("avg_vol_20", F.lit(0.0)),
         "has_upcoming_earnings": F.col("next_earnings_date").isNotNull(), "has_polygon_keywords": F.coalesce("polygon_keyword_count", F.lit(0)) > 0,
     })
-    return rank_from_top(rows, "ticker", "market_cap", "market_cap_rank")
+    return rank_from_top(rows, "market_cap", "market_cap_rank")
 
 
 def statistics(snapshot: DataFrame) -> DataFrame:
