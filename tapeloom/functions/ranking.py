@@ -64,7 +64,7 @@ def cume_dists(df: DataFrame, key: str, orders: dict[str, tuple[str, bool, bool]
 def position(df: DataFrame, column: str, name: str, tie: str, descending: bool = False) -> DataFrame:
     """``name``: the row's number in the order of ``column``, nulls last, then ``tie``; ``_total`` rows are added too."""
     value = F.col(column).cast("double")
-    rows = _in_order(df, (-value if descending else value).asc_nulls_last(), F.col(tie))
+    rows = _in_order(cut(df), (-value if descending else value).asc_nulls_last(), F.col(tie))  # read twice: for the ranges, then into them
     ranges = _before(rows.groupBy("_p").agg(F.count("*").alias("_c"), F.min("_i").alias("_first")), "_c").drop("_c")  # one row a range
     out = rows.join(F.broadcast(ranges), "_p")
     return out.withColumn(name, (F.col("_before") + F.col("_i") - F.col("_first") + 1).cast("int")).drop("_p", "_i", "_first", "_before")
