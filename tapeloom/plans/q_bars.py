@@ -184,7 +184,7 @@ def _indicator_rows(df, columns):
 SELECT ticker, timestamp, timeframe, open, high, low, close, volume, volume_spike, vwap_anchor, {', '.join(f'round({c}, 4) AS {c}' for c in _FULL)} FROM full_set WHERE rn >= 200"""
 )
 def indicators_backfill(spark, sf_dir):
-    return _indicator_rows(I.backfill(daily_bars(spark, sf_dir), "daily"), _FULL)
+    return _indicator_rows(I.backfill(daily_bars(spark, sf_dir, dealt=True), "daily"), _FULL)
 
 
 def _tail(source, rows):
