@@ -105,6 +105,7 @@ def sector_universe(rich: DataFrame, least: float = LEAST_CAP) -> DataFrame:
     names = F.create_map(*[F.lit(x) for pair in SECTOR_NAMES.items() for x in pair])
     rows = rich.where((F.col("market_cap") > least) & F.col("raw_sector").isNotNull() & ~F.col("raw_sector").isin("", "No Data"))
     rows = rows.withColumn("sector", names[F.col("raw_sector")]).where("sector IS NOT NULL")
+    rows = cut(rows)  # read for the totals and for the ranks
     total = rows.agg(F.nullif(F.sum("market_cap"), F.lit(0.0)).alias("_cap"), F.nullif(F.sum("holding_pct_value"), F.lit(0.0)).alias("_pct"))
     rows = rows.join(F.broadcast(total), F.lit(True))  # one row
     by_cap = [F.desc_nulls_last("market_cap"), F.col("ticker")]
