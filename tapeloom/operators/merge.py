@@ -40,13 +40,18 @@ def _new_dates(target: DataFrame, stage: DataFrame, *order: Column) -> DataFrame
 
 
 def provisional(target: DataFrame, stage: DataFrame) -> DataFrame:
-    """Official staged bars replace provisional ones (no transaction count) of their date; then absent dates are inserted."""
-    stage = prefer_official(stage)
-    official = stage.where("transactions IS NOT NULL").select("ticker", utc_date().alias("_d")).distinct()
-    official = official.withColumn("_official", F.lit(True))
-    marked = target.withColumn("_d", utc_date()).join(official, ["ticker", "_d"], "left")
-    kept = marked.where("transactions IS NOT NULL OR _official IS NULL").select(*target.columns)
-    return absent_date(kept, stage, F.col("timestamp"))
+    """Official staged bars replace provisional ones (no transaction count) of their date; then absent dates are inserted.
+
+    Both sides meet in one shuffle by (ticker, UTC date): a date's bars know of each other there.
+    """
+    both = target.withColumn("_staged", F.lit(False)).unionByName(stage.select(*target.columns).withColumn("_staged", F.lit(True))).withColumn("_d", utc_date())
+    counted, known = F.col("transactions").isNotNull(), F.col("ticker").isNotNull() & F.col("_d").isNotNull()  # nulls meet nothing
+    dated = Window.partitionBy("ticker", "_d")
+    order = dated.orderBy(F.desc("_staged"), ~counted, "timestamp", "close")
+    rows = both.withColumns({"_official": known & F.max(F.col("_staged") & counted).over(dated), "_rn": F.row_number().over(order)})
+    rows = rows.withColumn("_kept", ~F.col("_staged") & (counted | ~F.col("_official")))
+    rows = rows.withColumn("_has", known & F.max("_kept").over(dated))
+    return rows.where(F.col("_kept") | (F.col("_staged") & (F.col("_rn") == 1) & ~F.col("_has"))).select(*target.columns)
 
 
 def replace(target: DataFrame, stage: DataFrame, keys: list[str], *order: Column) -> DataFrame:

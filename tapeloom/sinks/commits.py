@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.folders import fresh
 from ..sources.tables import DAY
 
 PERIOD = "_period"
@@ -112,22 +113,35 @@ def _coverage(rows: DataFrame) -> DataFrame:
     return rows.select("ticker", "timestamp", day.alias("_day"), period().alias("period")).groupBy("ticker", "period").agg(F.count("*").alias("bars"), days, F.max("timestamp").alias("last_ts"))
 
 
-def _write(rows: DataFrame, path: str, touched: list[str]) -> tuple[dict[str, str], dict[str, str], dict[str, int]]:
-    """Write the periods ``touched`` and their coverage; the folders of both, and row counts observed by the tasks that write."""
+def _write(rows: DataFrame, path: str, touched: list[str] | None) -> tuple[dict[str, str], dict[str, str], dict[str, int]]:
+    """Write the periods ``touched`` and their coverage; the folders of both, and row counts observed by the tasks that write.
+
+    Without ``touched`` all periods are written that the rows have: their folders are listed, and the coverage counts them.
+    """
     seen, schema = Observation(), rows.schema
     tagged = rows.withColumn(PERIOD, period()).hint("rebalance", F.col(PERIOD))  # files of the advised size, whatever a period's share
-    counts = [F.count_if(F.col(PERIOD) == p).alias(f"p{i}") for i, p in enumerate(touched)]
+    counts = [F.count_if(F.col(PERIOD) == p).alias(f"p{i}") for i, p in enumerate(touched or [])]
     part = f"data/{uuid.uuid4().hex}"
     tagged.observe(seen, F.count("*").alias("all"), *counts).sortWithinPartitions(PERIOD, "ticker", "timestamp").write.partitionBy(PERIOD).parquet(f"{path}/{part}")
     found = seen.get
-    counted = {p: found.get(f"p{i}") or 0 for i, p in enumerate(touched)}
-    if sum(counted.values()) != (found.get("all") or 0):
+    counted = {p: found.get(f"p{i}") or 0 for i, p in enumerate(touched or [])}
+    if touched is None:
+        folder, fs = _place(rows.sparkSession, f"{path}/{part}")
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        held = sorted(n.removeprefix(f"{PERIOD}=") for n in names if n.startswith(f"{PERIOD}="))
+    elif sum(counted.values()) != (found.get("all") or 0):
         raise ValueError("the merge has rows of periods that its stage does not touch")
-    parts = {p: f"{part}/{PERIOD}={p}" for p, n in counted.items() if n}
+    else:
+        held = [p for p, n in counted.items() if n]
+    parts = {p: f"{part}/{PERIOD}={p}" for p in held}
     if parts:
         written = rows.sparkSession.read.schema(schema).parquet(*(f"{path}/{x}" for x in parts.values()))
         _coverage(written).repartition(F.col("period")).write.partitionBy("period").parquet(f"{path}/{part}-cover")
-    return parts, {p: f"{part}-cover/period={p}" for p in parts}, {p: n for p, n in counted.items() if n}
+    cover = {p: f"{part}-cover/period={p}" for p in parts}
+    if touched is None and parts:
+        noted = coverage(rows.sparkSession, path, Manifest(0, "", parts, cover))
+        counted = {r["period"]: r["n"] for r in noted.groupBy("period").agg(F.sum("bars").alias("n")).collect()}  # one for each period
+    return parts, cover, {p: counted[p] for p in held}
 
 
 def _touched(rows: DataFrame) -> dict[str, int]:
@@ -138,8 +152,7 @@ def _touched(rows: DataFrame) -> dict[str, int]:
 def create(rows: DataFrame, path: str) -> Manifest:
     """A new table with ``rows``; it is an error if there is one."""
     spark = rows.sparkSession
-    touched = sorted(_touched(rows))
-    parts, cover, counts = _write(rows, path, touched) if touched else ({}, {}, {})
+    parts, cover, counts = _write(rows, path, None)
     new = Manifest(0, rows.schema.json(), parts, cover, counts)
     if not _commit(spark, path, new):
         raise FileExistsError(f"there is a table in {path}")
@@ -208,9 +221,12 @@ def merge(path: str, stage: DataFrame, how: Callable[[DataFrame, DataFrame], Dat
     The counts are those of the commit itself: of the stage when its periods were
     looked for, of the manifest, and of the tasks that wrote. ``batch`` names a
     stream and one of its batches; a batch that is in the table already changes
-    nothing.
+    nothing. The stage is written to the shared folder first, as it is read
+    several times and what makes it should run once.
     """
-    spark = stage.sparkSession
+    spark, kept = stage.sparkSession, fresh(stage.sparkSession, "staged")
+    stage.write.parquet(kept)
+    stage = spark.read.schema(stage.schema).parquet(kept)
     staged = _touched(stage)
     touched = sorted(staged)
     base = manifest(spark, path)
