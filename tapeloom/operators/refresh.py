@@ -66,7 +66,7 @@ def refresh(spark: SparkSession, home: str, hourly: DataFrame, official: DataFra
 
     recent = step("recent", K.newest(spark, daily, LOOKBACK))  # read once for indicators, averages, prices and returns
     stored = step("indicators", _indicators(recent))
-    taken = [S.prices(recent), S.averages(V.daily(V.latest(recent, LOOKBACK))), S.recursive(stored)]
+    taken = [S.prices(recent), S.averages(I.standing(recent, V.BAR)), S.recursive(stored)]
     snapshot = step("snapshot", S.enriched(as_of, held, [*taken, *sides]))
     universe = step("universe", X.sector_universe(rich(snapshot, classes)))
     scored = step("scores", X.production_scores(X.scores(X.features(universe, recent))))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.ranking import cut
 from ..operators import audit as A
 from ..operators import classify as C
 from ..operators import indicators as I
 from ..operators import keywords as K
 from ..operators import snapshot as S
-from ..operators import views as V
 from ..registry import query
 from ..sources.tables import companies, daily_bars, table
 from . import fixed as W
@@ -243,7 +243,7 @@ _SNAPPED = ["ticker", "as_of_date", "holding_name", "holding_value_usd", "price_
 
 def _snapshot(spark, sf_dir):
     no = F.col("no")
-    base, bars = companies(spark, sf_dir), daily_bars(spark, sf_dir)
+    base, bars = companies(spark, sf_dir), daily_bars(spark, sf_dir, dealt=True)
     listed = base.where("no % 10 <> 9").select((no * 2).alias("ordinal"), F.lower("ticker").alias("ticker"), F.lit(None).cast("string").alias("cusip"), "name", (F.col("market_cap") / 10).cast("string").alias("valUSD"), F.lit("").alias("pctVal"))
     again = listed.select((F.col("ordinal") + 1).alias("ordinal"), F.concat(F.lit(" "), "ticker").alias("ticker"), "cusip", F.lit("second").alias("name"), F.lit("0").alias("valUSD"), "pctVal")
     gone = spark.createDataFrame([(-1, "gone", None, "Gone Inc", "n/a", None)], "ordinal bigint, ticker string, cusip string, name string, valUSD string, pctVal string")
@@ -254,9 +254,9 @@ def _snapshot(spark, sf_dir):
     member = lambda rows, day, name, score: rows.select(day.alias("as_of_date"), "ticker", F.lit(name).alias("basket_name"), F.lit(score).alias("score"), F.lit("[]").alias("matched_keywords_json"), F.lit(1).alias("matched_keyword_count"))
     some = base.where("no % 7 <> 0")
     members = member(some, new, "Beta", 1.0).unionByName(member(some.where("no % 2 = 0"), new, "Alpha", 2.0)).unionByName(member(base, old, "Gamma", 9.0))
-    stored = I.backfill(bars, "daily")
+    stored, newest = I.backfill(bars, "daily", newest=True), cut(I.standing(bars))
     details = base.where("no % 8 <> 0").select("ticker", "name", "market_cap", "sic_code", "shares_outstanding")
-    others = [S.prices(bars), details, S.averages(V.daily(bars)), S.recursive(stored), I.snapshot_indicators(bars).drop("timestamp"), S.fundamentals(basic), S.calendar(cal), words, S.factors(members)]
+    others = [S.prices(newest), details, S.averages(newest), S.recursive(stored), I.snapshot_indicators(bars).drop("timestamp"), S.fundamentals(basic), S.calendar(cal), words, S.factors(members)]
     return S.enriched("2024-06-01", S.universe(listed.unionByName(again).unionByName(gone)), others)
 
 
