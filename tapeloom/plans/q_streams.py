@@ -72,12 +72,15 @@ def stream_dedup(spark, sf_dir):
 
 @query(_PAIR + _KEPT + _ABSENT_DATE.format(t="kept", o="s.transactions IS NULL, s.timestamp"))
 def stream_provisional(spark, sf_dir):
-    """The staged bars arrive as a stream, a year of them in each micro-batch, and are merged into a table of files."""
+    """The staged bars arrive as a stream, every fourth year of them in a micro-batch, and are merged into a table of files."""
     target, stage = _both(spark, sf_dir)
-    arrived, path = fresh(spark, "stage"), fresh(spark, "bars")
+    arrived, held, path = fresh(spark, "stage"), fresh(spark, "held"), fresh(spark, "bars")
     commits.create(target, path)
-    stage.repartition(4, F.expr("year(timestamp_millis(timestamp)) % 4")).write.parquet(arrived)
-    T.provisional(spark.readStream.schema(stage.schema).option("maxFilesPerTrigger", 2).parquet(arrived), path)
+    stage.write.parquet(held)  # as many files as tasks: no task has a year to itself
+    for rest in range(4):
+        part = spark.read.schema(stage.schema).parquet(held).where(F.expr(f"coalesce(year(timestamp_millis(timestamp)), 0) % 4 = {rest}"))
+        part.write.mode("append").parquet(arrived)
+        T.provisional(spark.readStream.schema(stage.schema).parquet(arrived), path)
     return commits.read(spark, path)
 
 
