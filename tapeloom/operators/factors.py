@@ -151,14 +151,28 @@ def returns(bars: DataFrame) -> DataFrame:
         F.max("_last").alias("latest_timestamp"), F.max(F.when(F.col("_rn") == 1, F.col("close"))).alias("latest_close"),
         *(F.max(F.when(F.col("_rn") == k, F.col("close"))).alias(f"_{n}") for n, k in RETURN_RANKS.items()), F.expr("min_by(close, timestamp) FILTER (WHERE _same)").alias("_ytd"),
     )
-    pct = lambda n: (100.0 * (F.col("latest_close") / F.nullif(f"_{n}", F.lit(0.0)) - 1.0)).alias(f"ret_{n}_pct")
-    return got.select("ticker", F.to_date(F.timestamp_millis("latest_timestamp")).alias("latest_price_day"), "latest_close", *map(pct, [*RETURN_RANKS, "ytd"]))
+    return got.select("ticker", *_percents("latest_timestamp", "latest_close", "_"))
 
 
-def features(universe: DataFrame, bars: DataFrame) -> DataFrame:
-    """Returns, grade points, theme and six percentiles over the universe."""
+def _percents(last: str, close: str, before: str) -> list[Column]:
+    """The last day and close, and the returns to it from the closes named ``before`` and the span."""
+    pct = lambda n: (100.0 * (F.col(close) / F.nullif(f"{before}{n}", F.lit(0.0)) - 1.0)).alias(f"ret_{n}_pct")
+    return [F.to_date(F.timestamp_millis(last)).alias("latest_price_day"), F.col(close).alias("latest_close"), *map(pct, [*RETURN_RANKS, "ytd"])]
+
+
+def with_returns(rows: DataFrame) -> DataFrame:
+    """``returns`` beside other columns, from the closes that ``indicators.standing`` found; rows without a positive close fall out."""
+    rest = [c for c in rows.columns if not c.startswith("_back_")]
+    return rows.where("_back_close IS NOT NULL").select(*rest, *_percents("_back_timestamp", "_back_close", "_back_"))
+
+
+def features(universe: DataFrame, bars: DataFrame | None = None) -> DataFrame:
+    """Returns, grade points, theme and six percentiles over the universe.
+
+    Without ``bars`` the universe brings the closes (``indicators.standing`` with ``RETURN_RANKS``), so bars are made once.
+    """
     points = F.create_map(*[F.lit(x) for pair in GRADE_POINTS.items() for x in pair])
-    rows = universe.join(returns(bars), "ticker")
+    rows = with_returns(universe) if bars is None else universe.join(returns(bars), "ticker")
     rows = rows.withColumns({f"dolt_{g}_score": points[F.upper(F.nullif(f"{g}_grade", F.lit("")))] for g in ("value", "growth", "momentum")})
     rows = rows.withColumn("clean_keyword_theme", ladder([(f"keyword_factor_baskets LIKE '%{t}%'", t) for t in THEMES]))
     orders = {f"ret_{m}_pctile": (f"ret_{m}_pct", False, True) for m in ("1m", "3m", "6m", "ytd")}

@@ -6,10 +6,13 @@ import math
 
 from pyspark.sql import functions as F
 
+from tapeloom.operators import factors as X
 from tapeloom.operators import indicators as I
 from tapeloom.operators import merge as M
 from tapeloom.operators import views as V
 from tapeloom.sinks import commits
+from tapeloom.plans import q_factors
+from tapeloom.sources import tables as T
 from tapeloom.sources.tables import daily_bars
 
 
@@ -70,3 +73,50 @@ def test_provisional_with_nulls(spark):
     stage = spark.createDataFrame([("a", 5, 10.0, None), ("a", 9, 11.0, 3), ("a", 86_400_001, 12.0, None), ("a", 172_800_001, 13.0, 3), (None, 0, 14.0, 3), ("b", 0, 15.0, None), ("b", 1, 16.0, None)], kind)
     got = sorted(r["close"] for r in M.provisional(target, stage).collect())
     assert got == [2.0, 3.0, 4.0, 11.0, 14.0, 15.0]
+
+
+def test_features_make_bars_once(spark, tables, monkeypatch):
+    made = []
+    plain = T._bars
+    monkeypatch.setattr(T, "_bars", lambda *a, **k: made.append(1) or plain(*a, **k))
+    got = {r["ticker"]: r for r in q_factors._features(spark, tables).collect()}
+    assert len(made) == 1
+    want = X.returns(daily_bars(spark, tables)).collect()
+    assert got and set(got) <= {r["ticker"] for r in want}
+    for row in want:
+        for name, value in row.asDict().items() if row["ticker"] in got else ():
+            have = got[row["ticker"]][name]
+            assert have == value or math.isclose(have, value, rel_tol=1e-12), (row["ticker"], name, have, value)
+
+
+def test_last_values_of_many_tickers_in_small_batches(spark):
+    """Tickers that span batches, with missing prices and times, short ones, and prices that stand still."""
+    kind = "ticker string, timestamp long, open double, high double, low double, close double, volume double"
+    rows = []
+    for t, n in enumerate([1, 2, 9, 14, 15, 20, 26, 34, 35, 70, 300, 40, 40, 30, 3]):
+        for k in range(n):
+            close = 50.0 if t == 11 else float((k * 37 + t * 11) % 23 - (2 if t % 3 == 0 else -1))
+            gone = t == 12 and k % 7 == 3 or t == 14
+            rows.append((f"t{t}", None if t == 13 and k == 5 else 40 * k * 86_400_000, close, close + 1, close - 1, None if gone else close, None if t == 10 and k == 290 else float(k % 5)))
+    bars = spark.createDataFrame(rows, kind).repartition(3)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r["ticker"]: r for r in I.standing(bars, ranks=X.RETURN_RANKS).collect()}
+        returned = {r["ticker"]: r for r in X.with_returns(I.standing(bars, ranks=X.RETURN_RANKS)).collect()}
+        assert {r["ticker"] for r in I.standing(bars, least=30).collect()} == {"t7", "t8", "t9", "t10", "t11", "t12", "t13"}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    same = lambda a, b: a == b or a is not None and b is not None and math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)
+    assert len(got) == 15
+    for row in I.with_recurrences(bars, part=slice(-1, None)).collect():
+        for name, value in row.asDict().items():
+            assert same(got[row["ticker"]][name], value), (row["ticker"], name, got[row["ticker"]][name], value)
+    for row in V.latest(V.daily(bars.where("ticker <> 't13'"))).collect():
+        for name, value in row.asDict().items():
+            assert same(got[row["ticker"]][name], value), (row["ticker"], name, got[row["ticker"]][name], value)
+    want = X.returns(bars).collect()
+    assert len(want) == len(returned) < 15
+    for row in want:
+        for name, value in row.asDict().items():
+            assert same(returned[row["ticker"]][name], value), (row["ticker"], name, returned[row["ticker"]][name], value)
