@@ -33,9 +33,14 @@ def _power(w: float, n: Column) -> Column:
     return F.pow(F.lit(w), n.cast("double"))
 
 
+def _beside(rows: DataFrame, segments: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their segment; hashing the few segments leaves the rows in their order."""
+    return rows.join(segments.hint("shuffle_hash"), _KEY)
+
+
 def _linear(rows: DataFrame, steps: dict[str, tuple[float, Column]]) -> DataFrame:
     """``rows`` with y[t] = w * y[t-1] + u[t] for each ``name: (w, u)``, over each ticker in the order of ``_t``."""
-    inside = Window.partitionBy(*_KEY).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*_KEY).orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
     own = {f"_own_{n}": _power(w, F.col("_i")) * F.sum(u * _power(w, -F.col("_i"))).over(inside) for n, (w, u) in steps.items()}
     rows = rows.withColumns(own)
     ends = rows.groupBy(*_KEY).agg(F.max("_t").alias("_end"), *(F.max_by(f"_own_{n}", "_i").alias(n) for n in steps))
@@ -45,7 +50,7 @@ def _linear(rows: DataFrame, steps: dict[str, tuple[float, Column]]) -> DataFram
     ends = ends.withColumns({"_before": before, "_at": first})
     weak = lambda n, w: F.aggregate("_before", F.lit(0.0), lambda s, e: s + e[n] * _power(w, F.col("_at") - e["_end"]))
     carried = ends.select(*_KEY, *(weak(n, w).alias(f"_in_{n}") for n, (w, _) in steps.items()))
-    rows = rows.join(carried, _KEY)
+    rows = _beside(rows, carried)
     out = {n: F.col(f"_own_{n}") + _power(w, F.col("_i")) * F.col(f"_in_{n}") for n, (w, _) in steps.items()}
     return rows.withColumns(out).drop(*(f"{p}_{n}" for n in steps for p in ("_own", "_in")))
 
@@ -62,13 +67,17 @@ def _wilder(x: str, period: int, seeds: int) -> tuple[float, Column]:
 
 
 def with_recurrences(bars: DataFrame, grain: int, length: int = LENGTH) -> DataFrame:
-    """``bars`` with the columns of RECURRENT; ``grain`` in milliseconds, ``length`` grains make a segment."""
-    rows = bars.withColumn("_seg", F.floor(F.col("timestamp") / (grain * length)))
+    """``bars`` with the columns of RECURRENT; ``grain`` in milliseconds, ``length`` grains make a segment.
+
+    Bars that are dealt by segment (``_seg``, as from ``tables.daily_bars`` with a ``span``) are neither shuffled nor sorted again.
+    """
+    rows = bars if "_seg" in bars.columns else bars.withColumn("_seg", F.floor(F.col("timestamp") / (grain * length)))
+    rows = rows.where("ticker IS NOT NULL AND _seg IS NOT NULL")  # what the joins keep, said once: all branches then read the same shuffle
     parts = rows.groupBy(*_KEY).agg(F.count("*").alias("_n"), F.max_by("close", "timestamp").alias("_last"))
     order = Window.partitionBy("ticker").orderBy("_seg")
     parts = parts.select(*_KEY, (F.sum("_n").over(order) - F.col("_n")).alias("_base"), F.lag("_last").over(order).alias("_close_in"))
     inside = Window.partitionBy(*_KEY).orderBy("timestamp")
-    rows = rows.join(parts, _KEY).withColumn("_i", F.row_number().over(inside)).withColumn("_t", F.col("_base") + F.col("_i") - 1)
+    rows = _beside(rows, parts).withColumn("_i", F.row_number().over(inside)).withColumn("_t", F.col("_base") + F.col("_i") - 1)
     before = F.coalesce(F.lag("close").over(inside), F.col("_close_in"))
     rows = rows.withColumn("_before", before)
     change, high, low = F.col("close") - F.col("_before"), F.col("high"), F.col("low")

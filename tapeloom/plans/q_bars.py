@@ -165,7 +165,7 @@ def ts_macd(spark, sf_dir):
 @query(_REC + f"SELECT ticker, timestamp, {_rounded(I.RECURRENT)} FROM rec")
 def ts_recurrences_scan(spark, sf_dir):
     """All recurrences by the parallel scan, in segments of 500 days."""
-    return C.with_recurrences(daily_bars(spark, sf_dir), DAY, 500).select("ticker", "timestamp", *(F.round(c, 6).alias(c) for c in I.RECURRENT))
+    return C.with_recurrences(daily_bars(spark, sf_dir, span=500 * DAY), DAY, 500).select("ticker", "timestamp", *(F.round(c, 6).alias(c) for c in I.RECURRENT))
 
 
 _FULL = ["sma_20", "sma_50", "sma_200", "ema_20", "rsi_14", "atr_14", *_KELTNER, "anchored_vwap", "bb_upper", "bb_lower", "bb_width", *_MACD, "vwap", "poc_approx"]

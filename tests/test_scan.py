@@ -9,6 +9,7 @@ import pytest
 
 from tapeloom.operators import indicators as I
 from tapeloom.operators import scan
+from tapeloom.sources import tables as T
 
 HOUR = 3_600_000
 
@@ -36,3 +37,14 @@ def test_segments_of_any_length_give_the_whole_series(spark, length):
 
 def test_no_bars(spark):
     assert scan.with_recurrences(spark.createDataFrame([], "ticker string, timestamp long, high double, low double, close double"), HOUR).count() == 0
+
+
+def test_trades_dealt_by_segment_are_shuffled_and_sorted_once(spark, tables, monkeypatch, capsys):
+    """Tasks follow the trades in number; bars are neither shuffled nor sorted again on their way to the rows."""
+    monkeypatch.setattr(T, "PER_TASK", 200)
+    tasks = T.table(spark, tables, "lineitem").count() // 200 + 1
+    scan.with_recurrences(T.daily_bars(spark, tables, span=500 * T.DAY), T.DAY, 500).explain()
+    plan = capsys.readouterr().out
+    assert f", {tasks}), REPARTITION_BY_NUM" in plan and "SortMergeJoin" not in plan, plan
+    by_time = [line for line in plan.splitlines() if "Sort [" in line and "timestamp#" in line]
+    assert by_time and 2 * len(by_time) == plan.count("- SortAggregate("), plan  # a sort for each roll-up, in two steps, and no other
