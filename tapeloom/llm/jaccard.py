@@ -6,8 +6,13 @@ sets that can reach the threshold lie in the same or in neighbouring size
 classes, and columns (n-gram hashes) so finely that two sets that differ in no
 more n-grams than the sizes allow must agree in at least one whole column
 block. A pair that agrees in no block is thereby below its size-derived bound
-and never formed. Only for the pairs left are the common n-grams counted, set
-against set, and the count compared with ``100 * overlap >= percent * union``.
+and never formed. Of the pairs left, parities of the n-grams by hash, about a
+bit or two for each n-gram, rule out nearly all that are no links. Only for the
+others are texts brought together and the common n-grams counted, set against
+set, and the count compared with ``100 * overlap >= percent * union``. What is
+written and shuffled for that follows the near pairs, not the documents that
+share a block by chance, whose part grows with the table; pairs that outweigh
+the texts are counted in parts, and so is the last turn's join.
 
 Documents with equal sets count as one row of the matrix (the smallest id
 stands for them), so copies are not multiplied. Only what connectivity needs is
@@ -28,6 +33,7 @@ and come back as often as they occur.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +44,8 @@ from . import words as W
 from .common import arrow_map, components, shared_keys, stash
 
 N, PERCENT, STAR_ROUNDS, PARITIES = 3, 90, 3, 8
+#: What weighs as much as an n-gram in a part that is shuffled by itself: the n-grams of a pair's first set, a document's key.
+PAIRS, KEYS = 2, 16
 _PARITY = [f"parity_{i}" for i in range(PARITIES)]
 
 
@@ -84,8 +92,25 @@ def sets(w: W.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return g, np.searchsorted(row, np.arange(len(w.offsets)))
 
 
+def _parities(g: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Of every set the parities of its n-grams by 64 * PARITIES hash values, and, of larger sets, by as many as the next power of two from its size on."""
+    size = np.diff(first)
+    h = W.mixed(g + np.uint64(0x1F83D9ABFB41BD6B))
+    row = np.repeat(np.arange(len(size)), size)
+    bits = 64 * PARITIES
+    odd = np.bincount(row * bits + (h % np.uint64(bits)).astype(np.int64), minlength=len(size) * bits) & 1
+    parity = np.packbits(odd.astype(np.uint8)).view("<i8").reshape(len(size), PARITIES)
+    many = np.where(size > bits, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64), 0)
+    begin = np.concatenate(([0], np.cumsum(many)))
+    inside = np.repeat(many > 0, size)
+    at = np.repeat(begin[:-1], size)[inside] + (h[inside] & (np.repeat(many, size)[inside] - 1).astype(np.uint64)).astype(np.int64)
+    fine = np.packbits((np.bincount(at, minlength=int(begin[-1])) & 1).astype(np.uint8), bitorder="little")
+    offsets = (begin // 8).astype(np.int32)
+    return parity, pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(fine)])
+
+
 def _sizes(docs: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, n_shingles, d1, d2)``: the size and a 128-bit digest of every row's set."""
+    """``(doc_id, n_shingles, d1, d2, parity_0 ..., fine)``: the size, a 128-bit digest and the parities of every row's set."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in W.pieces(batch):
@@ -93,9 +118,10 @@ def _sizes(docs: DataFrame, n: int) -> DataFrame:
             total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W.mixed(g ^ np.uint64(0x5DEECE66D)))))
             other = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W.mixed(g + np.uint64(0x2545F4914F6CDD1D)))))
             d1, d2 = (W.signed(x[first[1:]] - x[first[:-1]]) for x in (total, other))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(first)), pa.array(d1), pa.array(d2)], names=["doc_id", "n_shingles", "d1", "d2"])
+            parity, fine = _parities(g, first)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(first)), pa.array(d1), pa.array(d2), *map(pa.array, parity.T.copy()), fine], names=["doc_id", "n_shingles", "d1", "d2", *_PARITY, "fine"])
 
-    return arrow_map(docs, run, "doc_id long, n_shingles long, d1 long, d2 long")
+    return arrow_map(docs, run, "doc_id long, n_shingles long, d1 long, d2 long, " + "".join(f"{c} long, " for c in _PARITY) + "fine binary")
 
 
 def _block_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -137,23 +163,6 @@ def _block_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return arrow_map(docs, run, "key long, doc_id long")
 
 
-def _stored(docs: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, size, grams, parity_0 ...)``: sets as sorted 64-bit hashes, and the parities of the n-grams that fall to each bit."""
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in W.pieces(batch):
-            g, first = sets(W.find(part.column("text"), lower=True), n)
-            size = np.diff(first)
-            row = np.repeat(np.arange(len(size)), size)
-            bit = (W.mixed(g + np.uint64(0x1F83D9ABFB41BD6B)) % np.uint64(64 * PARITIES)).astype(np.int64)
-            odd = np.bincount(row * (64 * PARITIES) + bit, minlength=len(size) * 64 * PARITIES) & 1
-            parity = np.packbits(odd.astype(np.uint8)).view("<i8").reshape(len(size), PARITIES)
-            grams = pa.array([g[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size), grams, *map(pa.array, parity.T.copy())], names=["doc_id", "size", "grams", *_PARITY])
-
-    return arrow_map(docs, run, "doc_id long, size long, grams binary, " + ", ".join(f"{c} long" for c in _PARITY))
-
-
 def _possible(a: str, b: str, percent: int) -> Column:
     """Size-derived bounds of a pair: of the sizes themselves, and of how many n-grams the two must differ in at least.
 
@@ -175,42 +184,102 @@ def _likely(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     return pairs.join(_sided(stored, "a"), "a").join(_sided(stored, "b"), "b").where(_possible("a_", "b_", percent)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose overlap reaches the bound."""
-    both = pairs.join(_sided(stored, "a", "grams"), "a").join(_sided(stored, "b", "grams"), "b").where(_possible("a_", "b_", percent))
-    both = both.select("a", "b", F.col("a_grams").alias("ga"), F.col("b_grams").alias("gb"))
+def _differ(x: bytes, y: bytes) -> int:
+    """In so many n-grams two sets differ at least, by their fine parities; those of more hash values are folded."""
+    most, p, q = min(len(x), len(y)), int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    for half in (len(x) >> k for k in range(1, 64) if len(x) >> k >= most > 0):
+        p = (p >> 8 * half) ^ (p & (1 << 8 * half) - 1)
+    for half in (len(y) >> k for k in range(1, 64) if len(y) >> k >= most > 0):
+        q = (q >> 8 * half) ^ (q & (1 << 8 * half) - 1)
+    return (p ^ q).bit_count() if most else 0
+
+
+def _near(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, a_size)``: the pairs ``(a, b)`` that their fine parities allow."""
+    both = pairs.join(_sided(stored, "a", "fine"), "a").join(_sided(stored, "b", "fine"), "b").select("a", "b", "a_size", "b_size", "a_fine", "b_fine")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ok = []
-        for x, y in zip(batch.column("ga"), batch.column("gb")):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            at = np.searchsorted(x, y)
-            at[at == len(x)] = 0
-            overlap = int((x[at] == y).sum())
-            ok.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
-        keep = pa.array(ok, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+        size = batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy()
+        differ = np.array([_differ(x.as_py(), y.as_py()) for x, y in zip(batch.column("a_fine"), batch.column("b_fine"))], np.int64)
+        keep = pa.array(differ * (100 + percent) <= size * (100 - percent))
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "a_size")], names=["a", "b", "a_size"])
+
+    return arrow_map(both, run, "a long, b long, a_size long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose overlap reaches the bound; ``texts`` has each of their documents once."""
+    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in (p for q in W.pieces(batch, "ta") for p in W.pieces(q, "tb")):
+            found, place, many = [], [], 0
+            for x in ("a", "b"):  # each text once
+                _, one, which = np.unique(part.column(x).to_numpy(), return_index=True, return_inverse=True)
+                found.append(part.column(f"t{x}").take(pa.array(one)))
+                place.append(which + many)
+                many += len(one)
+            g, first = sets(W.find(pa.concat_arrays(found), lower=True), n)
+            ok = []
+            for i, j in zip(*place):
+                x, y = g[first[i] : first[i + 1]], g[first[j] : first[j + 1]]
+                at = np.searchsorted(x, y)
+                at[at == len(x)] = 0
+                overlap = int((x[at] == y).sum())
+                ok.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
+            keep = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep)], names=["a", "b"])
 
     return arrow_map(both, run, "a long, b long")
 
 
+def _links(pairs: DataFrame, known: DataFrame, stored: DataFrame, n: int, percent: int, grams: int) -> DataFrame:
+    """The links among ``pairs``; the documents ``known`` have ``grams`` n-grams."""
+    near = stash(_near(pairs, stored, percent), "jaccard-near")
+    links = []
+    for part in _parts(near, "a, b", PAIRS * (near.agg(F.sum("a_size")).first()[0] or 0), grams):
+        need = part.select(F.col("a").alias("doc_id")).unionByName(part.select(F.col("b").alias("doc_id"))).distinct()
+        texts = stash(known.join(need, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "jaccard-texts")
+        links.append(stash(_verified(part.select("a", "b"), texts, n, percent), "jaccard-links", spent=[texts]))
+    return reduce(DataFrame.unionByName, links)
+
+
+def _apart(rows: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of a block in ``rows(key, doc_id, comp)`` that are in different components and that the bounds allow."""
+    left = rows.select("key", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")).join(_sided(stored, "a"), "a")
+    right = rows.select("key", F.col("doc_id").alias("b"), F.col("comp").alias("comp_b")).join(_sided(stored, "b"), "b")
+    return left.join(right, "key").where(F.expr("a < b AND comp_a <> comp_b") & _possible("a_", "b_", percent)).select("a", "b").distinct()
+
+
+def _parts(rows: DataFrame, by: str, weight: int, grams: int) -> list[DataFrame]:
+    """``rows`` dealt by ``by`` into so many parts that each has a ``weight`` below the number of n-grams."""
+    many = 1 + weight // grams
+    return [rows.where(F.expr(f"pmod(xxhash64({by}), {many}) = {k}")) for k in range(many)]
+
+
 def join(docs: DataFrame, n: int = N, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     known = docs.where("doc_id IS NOT NULL")
     sized = stash(_sizes(docs, n), "jaccard-sizes")
     first = stash(sized.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
+    reps = first.select(F.col("rep").alias("doc_id"))
+    if 2 * first.count() <= sized.count():  # keys of copies would outweigh the texts of one of each
+        known = stash(known.join(reps, "doc_id", "left_semi"), "jaccard-reps")
 
     # a document has a key once; repeated rows of one may pass here and are one row below
     shared = shared_keys(_block_keys(known, n, percent), "key", None, "jaccard")
-    reps = first.select(F.col("rep").alias("doc_id"))
     rows = stash(shared.distinct().join(reps, "doc_id", "left_semi"), "jaccard-rows")
     # a block that only one class of equal sets holds asks for nothing
-    rows = stash(shared_keys(rows, "key", None, "jaccard-classes"), "jaccard-blocks")
-    stored = stash(_stored(known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), n), "jaccard-sets")
+    rows = stash(shared_keys(rows, "key", None, "jaccard-classes"), "jaccard-blocks", spent=[rows])
+    stored = sized.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    stored = stash(stored.select("doc_id", F.col("n_shingles").alias("size"), *_PARITY, "fine"), "jaccard-sets")
+    grams = first.agg(F.sum("n_shingles")).first()[0] or 1
 
     links = tested = labels = None
     for turn in range(star_rounds + 1):
+        spent = []
         open_rows = rows.withColumn("comp", F.col("doc_id"))
         if labels is not None:
             open_rows = rows.join(labels, rows["doc_id"] == labels["node"], "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
@@ -219,23 +288,25 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, star_rounds: int =
             if mixed.isEmpty():  # every block lies in one component
                 break
             open_rows = open_rows.join(mixed, "key")
+            spent.append(mixed)
         if turn < star_rounds:
             hub = F.min("doc_id") if turn == 0 else F.min_by("doc_id", F.xxhash64("doc_id", F.lit(turn)))
             hubs = stash(open_rows.groupBy("key").agg(hub.alias("hub"), F.min_by("comp", F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))).alias("hub_comp")), "jaccard-hubs")
+            spent.append(hubs)
             pairs = open_rows.join(hubs, "key").where("comp <> hub_comp").select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"))
         else:
-            left = open_rows.select("key", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")).join(_sided(stored, "a"), "a")
-            right = open_rows.select("key", F.col("doc_id").alias("b"), F.col("comp").alias("comp_b")).join(_sided(stored, "b"), "b")
-            pairs = left.join(right, "key").where(F.expr("a < b AND comp_a <> comp_b") & _possible("a_", "b_", percent)).select("a", "b")
+            parts = [stash(_apart(part, stored, percent), "jaccard-apart") for part in _parts(open_rows, "key", KEYS * rows.count(), grams)]
+            spent += parts
+            pairs = reduce(DataFrame.unionByName, parts)
         pairs = pairs.where("a <> b").distinct()
         if turn < star_rounds:
             pairs = _likely(pairs, stored, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stash(pairs, "jaccard-pairs")
+        pairs = stash(pairs, "jaccard-pairs", spent)
         if labels is not None and pairs.isEmpty():
             continue
-        found = stash(_verified(pairs, stored, percent), "jaccard-links")
+        found = _links(pairs, known, stored, n, percent, grams)
         tested = pairs if tested is None else tested.unionByName(pairs)
         if links is not None and found.isEmpty():  # the components stay as they are
             continue
